@@ -63,6 +63,9 @@ def type_differences(frame, connection, sql):
     ]
 
 
+LOCAL = {"spark.ui.enabled": "false", "spark.driver.memory": "8g"}
+
+
 def main() -> None:
     sys.path.insert(0, ".")
     from __spark_entry__ import oracle_sql, queries
@@ -70,7 +73,7 @@ def main() -> None:
     from tripfold.session import build_session
 
     sf_dir, wanted = sys.argv[1], sys.argv[2:]
-    spark = build_session("oracle-check", "local[8]", 8, **{"spark.ui.enabled": "false"})
+    spark = build_session("oracle-check", "local[8]", 8, **LOCAL)
     spark.sparkContext.setLogLevel("ERROR")
     connection, oracle = connect(sf_dir), oracle_sql()
     failed = 0

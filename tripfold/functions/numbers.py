@@ -8,12 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Digits kept beyond the wanted scale before rounding; noise below them cannot flip a tie.
+GUARD_DIGITS = 4
+
+
 def rounded(value: Column, scale: int) -> Column:
-    """Round half up on the decimal value, so summation noise cannot flip a tie.
+    """Round half up on the decimal value, whatever order the summands came in.
 
     NaN and values beyond the decimal range pass through unchanged.
     """
-    exact = F.round(value.try_cast("decimal(28,8)"), scale).cast("double")
+    near = value.try_cast(f"decimal(28,{scale + GUARD_DIGITS})")
+    exact = F.round(near, scale).cast("double")
     return F.coalesce(exact, value.cast("double"))
 
 

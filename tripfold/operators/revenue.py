@@ -36,6 +36,7 @@ MEASURES = (
     "tip_amount",
     "surcharges",
 )
+THRESHOLD = "support_threshold"
 GROUP_KEYS = ("pickup_borough", "pickup_zone", "distance_bucket")
 
 
@@ -52,13 +53,28 @@ def revenue_by_zone_bucket(
     trips: DataFrame,
     zones: DataFrame,
     window: TripWindow = REVENUE_WINDOW,
-    min_support: int | AdaptiveSupport | None = None,
+    min_support: int | AdaptiveSupport = 0,
 ) -> DataFrame:
-    """Revenue measures per (borough, zone, distance bucket).
+    """Revenue measures per (borough, zone, distance bucket) of at least ``min_support`` trips.
 
-    ``min_support`` keeps groups of at least so many trips: a fixed number, or a rule that
-    follows the number of windowed trips (counted before the zone join).
+    The support is a fixed number, or a rule that follows the number of windowed trips,
+    counted before the zone join.
     """
+    return supported(revenue_with_threshold(trips, zones, window, min_support))
+
+
+def supported(groups: DataFrame) -> DataFrame:
+    """Groups that reach the threshold they carry."""
+    return groups.filter(F.col("trips") >= F.col(THRESHOLD)).drop(THRESHOLD)
+
+
+def revenue_with_threshold(
+    trips: DataFrame,
+    zones: DataFrame,
+    window: TripWindow = REVENUE_WINDOW,
+    min_support: int | AdaptiveSupport = 0,
+) -> DataFrame:
+    """All groups, each with the support threshold in a column."""
     windowed = window_trips(trips, window)
     by_id = (
         windowed.withColumns(
@@ -70,37 +86,33 @@ def revenue_by_zone_bucket(
         .groupBy("pu_location_id", "distance_bucket")
         .agg(F.count("*").alias("trips"), *partials(MEASURES))
     )
-    adaptive = isinstance(min_support, AdaptiveSupport)
-    if adaptive:
+    if isinstance(min_support, AdaptiveSupport):
         by_id = with_total(by_id, "trips", "window_trips")
-
-    measures = [
-        F.sum("trips").alias("trips"),
-        rounded(merged_sum("total_amount"), 2).alias("total_revenue"),
-        rounded(merged_avg("total_amount"), 2).alias("avg_revenue_per_trip"),
-        rounded(merged_ratio("total_amount", "trip_distance"), 2).alias("revenue_per_mile"),
-        rounded(merged_ratio("total_amount", "duration_minutes"), 2).alias("revenue_per_minute"),
-        rounded(merged_avg("fare_amount"), 2).alias("avg_fare_amount"),
-        rounded(merged_avg("tip_amount"), 2).alias("avg_tip_amount"),
-        rounded(merged_ratio("surcharges", "total_amount"), 4).alias("surcharge_share"),
-    ]
-    if adaptive:
-        measures.append(F.max("window_trips").alias("window_trips"))
-    groups = (
+        threshold = _threshold(F.max("window_trips"), min_support)
+    else:
+        threshold = F.lit(min_support)
+    return (
         join_zone(by_id, zones, "pu")
         .withColumnsRenamed({"pu_borough": "pickup_borough", "pu_zone": "pickup_zone"})
         .groupBy(*GROUP_KEYS)
-        .agg(*measures)
+        .agg(
+            F.sum("trips").alias("trips"),
+            rounded(merged_sum("total_amount"), 2).alias("total_revenue"),
+            rounded(merged_avg("total_amount"), 2).alias("avg_revenue_per_trip"),
+            rounded(merged_ratio("total_amount", "trip_distance"), 2).alias("revenue_per_mile"),
+            rounded(merged_ratio("total_amount", "duration_minutes"), 2).alias(
+                "revenue_per_minute"
+            ),
+            rounded(merged_avg("fare_amount"), 2).alias("avg_fare_amount"),
+            rounded(merged_avg("tip_amount"), 2).alias("avg_tip_amount"),
+            rounded(merged_ratio("surcharges", "total_amount"), 4).alias("surcharge_share"),
+            threshold.cast("bigint").alias(THRESHOLD),
+        )
     )
-    if adaptive:
-        return groups.filter(F.col("trips") >= _threshold(min_support)).drop("window_trips")
-    if min_support is not None:
-        return groups.filter(F.col("trips") >= min_support)
-    return groups
 
 
-def _threshold(rule: AdaptiveSupport) -> Column:
-    wanted = F.floor(F.col("window_trips") * F.lit(rule.share))
+def _threshold(window_trips: Column, rule: AdaptiveSupport) -> Column:
+    wanted = F.floor(window_trips * F.lit(rule.share))
     return F.greatest(F.lit(rule.low), F.least(F.lit(rule.high), wanted))
 
 
@@ -115,7 +127,7 @@ def revenue_topk(
     window: TripWindow = REVENUE_WINDOW,
     measure: str = "total_revenue",
     k: int = DEFAULT_K,
-    min_support: int | AdaptiveSupport | None = DEFAULT_SUPPORT,
+    min_support: int | AdaptiveSupport = DEFAULT_SUPPORT,
 ) -> DataFrame:
     groups = revenue_by_zone_bucket(trips, zones, window, min_support)
     return revenue_ranked(groups, measure, k)

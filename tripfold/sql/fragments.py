@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from tripfold.functions.clock import LAST_TIME_BAND, TIME_BANDS
 from tripfold.functions.money import DISTANCE_BUCKETS, LAST_DISTANCE_BUCKET
+from tripfold.functions.numbers import GUARD_DIGITS
 from tripfold.params import SpecialZones, TripWindow
 from tripfold.schemas import SURCHARGES
 
@@ -32,7 +33,8 @@ def double(value: float) -> str:
 
 
 def rounded(value: str, scale: int) -> str:
-    return f"cast(round(try_cast({value} AS decimal(28,8)), {scale}) AS double)"
+    near = f"try_cast({value} AS decimal(28,{scale + GUARD_DIGITS}))"
+    return f"cast(round({near}, {scale}) AS double)"
 
 
 def banded(value: str, upper_bounds: Sequence[tuple[float, str]], last: str) -> str:

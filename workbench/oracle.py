@@ -82,7 +82,8 @@ BAND = """CASE WHEN pickup_hour IN (0, 1, 2, 3, 4, 5) THEN 'Night'
 
 
 def r(expression: str, scale: int = 2) -> str:
-    return f"CAST(round(CAST(({expression}) AS DECIMAL(28,8)), {scale}) AS DOUBLE)"
+    near = f"CAST(({expression}) AS DECIMAL(28,{scale + 4}))"
+    return f"CAST(round({near}, {scale}) AS DOUBLE)"
 
 
 def named(scale: int, *names: str) -> str:

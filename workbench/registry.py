@@ -185,7 +185,7 @@ def revenue_adaptive_support(spark, sf_dir):
 
 @query
 def revenue_unsupported_extreme(spark, sf_dir):
-    return _revenue_topk(spark, sf_dir, "revenue_per_mile", None, k=1)
+    return _revenue_topk(spark, sf_dir, "revenue_per_mile", 0, k=1)
 
 
 @query

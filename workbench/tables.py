@@ -28,14 +28,16 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One trip per line item.
 
     The order side is joined with its customers first, so line items, the big side, are
-    shuffled at most once, by order. Only the columns a query uses reach the scans.
+    shuffled once, by order. Both sides of that join grow with the data, so it is asked for
+    as a sort-merge join, which spills and which adaptive execution can split on a hot key;
+    the others are left to Spark's size check.
     """
     lineitem = table(spark, sf_dir, "lineitem")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     placed = orders.join(customer, orders.o_custkey == customer.c_custkey)
-    joined = lineitem.join(placed, lineitem.l_orderkey == placed.o_orderkey).join(
+    joined = lineitem.join(placed.hint("merge"), lineitem.l_orderkey == placed.o_orderkey).join(
         supplier, lineitem.l_suppkey == supplier.s_suppkey
     )
     return with_measures(with_calendar(joined.select(*_trip_columns())))
