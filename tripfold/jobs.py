@@ -1,7 +1,4 @@
-"""Command line: one subcommand per question, for spark-submit.
-
-    spark-submit --py-files tripfold.zip -m tripfold.jobs demand --trips … --output …
-"""
+"""Command line: one subcommand per step or question."""
 
 from __future__ import annotations
 
