@@ -2,25 +2,73 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tripfold.sources.prepare import with_calendar, with_measures
 
+# Declared, so opening a table reads no file footers.
+SCHEMAS = {
+    "lineitem": """
+        l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT,
+        l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE,
+        l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ
+    """,
+    "orders": """
+        o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE,
+        o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING
+    """,
+    "customer": """
+        c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING
+    """,
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "region": "r_regionkey INT, r_name STRING",
+    "events": """
+        event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE,
+        props STRING
+    """,
+}
+
+# A trip per line item: ends from customer and supplier, money from the item, times made from
+# the order date and the keys, with nulls and zeros on purpose.
+TRIP_COLUMNS = (
+    "l_orderkey",
+    "l_linenumber",
+    "cast(l_suppkey % 2 + 1 AS int) AS vendor_id",
+    "timestampadd(SECOND, cast((l_orderkey * 7919 + l_linenumber * 613) % 86400 AS int),"
+    " o_orderdate) AS pickup_ts",
+    "timestampadd(SECOND, datediff(l_shipdate, o_orderdate) * 6, pickup_ts) AS dropoff_ts",
+    "nullif(l_linenumber, 7) AS passenger_count",
+    "l_quantity / 4 AS trip_distance",
+    "c_nationkey AS pu_location_id",
+    "s_nationkey + 5 AS do_location_id",
+    "CASE l_returnflag WHEN 'A' THEN 1 WHEN 'R' THEN 2 ELSE 3 END AS payment_type",
+    "l_extendedprice AS fare_amount",
+    "if(l_returnflag = 'A', l_extendedprice * l_discount, 0e0) AS tip_amount",
+    "l_extendedprice * l_tax AS extra",
+    "CASE WHEN l_linestatus = 'F' THEN NULL WHEN l_linenumber = 6 THEN 1.75e0 ELSE 0e0 END"
+    " AS airport_fee",
+    "l_extendedprice * (1 + l_tax) AS total_amount",
+    "if(l_orderkey % 50 = 0, 0e0, 40.6e0 + c_nationkey % 5 * 0.05e0 + l_linenumber * 0.001e0)"
+    " AS pickup_latitude",
+    "-74e0 + floor(c_nationkey / 5) * 0.04e0 AS pickup_longitude",
+    "40.6e0 + s_nationkey % 5 * 0.05e0 AS dropoff_latitude",
+    "-74e0 + floor(s_nationkey / 5) * 0.04e0 AS dropoff_longitude",
+)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    parity = F.when(F.col("n_nationkey") % 2 == 0, "even").otherwise("odd")
-    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        F.col("n_nationkey").alias("location_id"),
-        F.col("r_name").alias("borough"),
-        F.col("n_name").alias("zone"),
-        parity.alias("service_zone"),
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).selectExpr(
+        "n_nationkey AS location_id",
+        "r_name AS borough",
+        "n_name AS zone",
+        "if(n_nationkey % 2 = 0, 'even', 'odd') AS service_zone",
     )
 
 
@@ -33,52 +81,11 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     the others are left to Spark's size check.
     """
     lineitem = table(spark, sf_dir, "lineitem")
-    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    supplier = table(spark, sf_dir, "supplier")
+    orders = table(spark, sf_dir, "orders")
+    customer = table(spark, sf_dir, "customer")
     placed = orders.join(customer, orders.o_custkey == customer.c_custkey)
-    joined = lineitem.join(placed.hint("merge"), lineitem.l_orderkey == placed.o_orderkey).join(
-        supplier, lineitem.l_suppkey == supplier.s_suppkey
-    )
-    return with_measures(with_calendar(joined.select(*_trip_columns())))
-
-
-def _shifted(start: Column, seconds: Column) -> Column:
-    return F.timestamp_add("SECOND", seconds.cast("int"), start)
-
-
-def _trip_columns() -> list[Column]:
-    c = F.col
-    line = c("l_linenumber")
-    second_of_day = (c("l_orderkey") * 7919 + line * 613) % 86400
-    pickup = _shifted(c("o_orderdate"), second_of_day)
-    days = F.datediff("l_shipdate", "o_orderdate")
-    flag = c("l_returnflag")
-    price = c("l_extendedprice")
-    fee = F.when(c("l_linestatus") == "F", None).when(line == 6, 1.75).otherwise(0.0)
-
-    def grid(base: float, step: float, part: Column) -> Column:
-        return F.lit(base) + part * F.lit(step)
-
-    latitude = grid(40.6, 0.05, c("c_nationkey") % 5) + line * F.lit(0.001)
-    return [
-        c("l_orderkey"),
-        line,
-        (c("l_suppkey") % 2 + 1).cast("int").alias("vendor_id"),
-        pickup.alias("pickup_ts"),
-        _shifted(pickup, days * 6).alias("dropoff_ts"),
-        F.when(line != 7, line).alias("passenger_count"),
-        (c("l_quantity") / 4).alias("trip_distance"),
-        c("c_nationkey").alias("pu_location_id"),
-        (c("s_nationkey") + 5).alias("do_location_id"),
-        F.when(flag == "A", 1).when(flag == "R", 2).otherwise(3).alias("payment_type"),
-        price.alias("fare_amount"),
-        F.when(flag == "A", price * c("l_discount")).otherwise(0.0).alias("tip_amount"),
-        (price * c("l_tax")).alias("extra"),
-        fee.alias("airport_fee"),
-        (price * (1 + c("l_tax"))).alias("total_amount"),
-        F.when(c("l_orderkey") % 50 == 0, 0.0).otherwise(latitude).alias("pickup_latitude"),
-        grid(-74.0, 0.04, F.floor(c("c_nationkey") / 5)).alias("pickup_longitude"),
-        grid(40.6, 0.05, c("s_nationkey") % 5).alias("dropoff_latitude"),
-        grid(-74.0, 0.04, F.floor(c("s_nationkey") / 5)).alias("dropoff_longitude"),
-    ]
+    joined = lineitem.join(
+        placed.hint("merge"), lineitem.l_orderkey == placed.o_orderkey
+    ).join(supplier, lineitem.l_suppkey == supplier.s_suppkey)
+    return with_measures(with_calendar(joined.selectExpr(*TRIP_COLUMNS)))
