@@ -126,6 +126,12 @@ def test_report_sections(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "report" / "b")).first().k == "x"
 
 
+def test_plan_as_text(spark, tmp_path):
+    writers.write_plan(spark.range(3).groupBy("id").count(), str(tmp_path / "plan"))
+    text = spark.read.text(str(tmp_path / "plan"), wholetext=True).first().value
+    assert "HashAggregate" in text and "Exchange" in text
+
+
 def test_staging_folder_comes_from_the_session():
     class Session:
         """Settings of a cluster session."""

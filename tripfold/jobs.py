@@ -118,7 +118,7 @@ def _sections(spark: SparkSession, options: argparse.Namespace) -> reports.Secti
         case "profile":
             return reports.profile_report(trips, zones)
         case "demand":
-            return reports.demand_report(trips, window, k)
+            return reports.demand_report(trips, window, folder, k)
         case "congestion":
             return reports.congestion_report(
                 trips, window.requiring(CONGESTION_WINDOW.positive)
@@ -129,7 +129,7 @@ def _sections(spark: SparkSession, options: argparse.Namespace) -> reports.Secti
         case "revenue":
             return reports.revenue_report(trips, zones, window, folder, k)
         case "payments":
-            return reports.payment_report(trips, window)
+            return reports.payment_report(trips, window, folder)
         case "flows":
             return reports.flow_report(trips, zones, window, folder, k=k)
         case "imbalance":

@@ -10,24 +10,35 @@ from tripfold.functions.numbers import percent, rounded
 from tripfold.operators.window import window_trips
 from tripfold.params import DEFAULT_K, TripWindow
 from tripfold.plans.ranking import top_k
-from tripfold.plans.rollups import mean, with_total
+from tripfold.plans.rollups import mean, merged_avg, merged_sum, partials, with_total
 from tripfold.sources.prepare import prepared_trips
 
 
-def demand_by_hour(trips: DataFrame, window: TripWindow = TripWindow()) -> DataFrame:
-    """Trips, reach and averages per (date, hour), with the share of the whole window."""
-    groups = (
+MEASURES = ("passenger_count", "duration_minutes", "trip_distance", "total_amount")
+
+
+def demand_rollup(trips: DataFrame, window: TripWindow = TripWindow()) -> DataFrame:
+    """Mergeable demand state per (date, hour, pickup zone).
+
+    With the zone in the key, the distinct zones of an hour are a plain count one level up.
+    """
+    return (
         window_trips(trips, window)
-        .groupBy("pickup_date", "pickup_hour")
-        .agg(
-            F.count("*").alias("trips"),
-            F.countDistinct("pu_location_id").alias("unique_pickup_zones"),
-            mean("passenger_count").alias("avg_passenger_count"),
-            mean("duration_minutes").alias("avg_duration_minutes"),
-            mean("trip_distance").alias("avg_trip_distance"),
-            mean("total_amount").alias("avg_total_amount"),
-            rounded(F.sum("total_amount"), 2).alias("total_revenue"),
-        )
+        .groupBy("pickup_date", "pickup_hour", "pu_location_id")
+        .agg(F.count("*").alias("trips"), *partials(MEASURES))
+    )
+
+
+def hourly_of(rollup: DataFrame) -> DataFrame:
+    """Trips, reach and averages per (date, hour), with the share of the whole window."""
+    groups = rollup.groupBy("pickup_date", "pickup_hour").agg(
+        F.sum("trips").alias("trips"),
+        F.count("pu_location_id").alias("unique_pickup_zones"),
+        rounded(merged_avg("passenger_count"), 2).alias("avg_passenger_count"),
+        rounded(merged_avg("duration_minutes"), 2).alias("avg_duration_minutes"),
+        rounded(merged_avg("trip_distance"), 2).alias("avg_trip_distance"),
+        rounded(merged_avg("total_amount"), 2).alias("avg_total_amount"),
+        rounded(merged_sum("total_amount"), 2).alias("total_revenue"),
     )
     return with_total(groups, "trips", "window_trips").select(
         "pickup_date",
@@ -44,6 +55,22 @@ def demand_by_hour(trips: DataFrame, window: TripWindow = TripWindow()) -> DataF
     )
 
 
+def bands_of(rollup: DataFrame) -> DataFrame:
+    """Trips and average amount per time band of any rollup by hour."""
+    return (
+        rollup.groupBy(time_band(F.col("pickup_hour")).alias("time_band"))
+        .agg(
+            F.sum("trips").alias("total_trips"),
+            rounded(merged_avg("total_amount"), 2).alias("avg_total_amount"),
+        )
+        .orderBy(F.desc("total_trips"), "time_band")
+    )
+
+
+def demand_by_hour(trips: DataFrame, window: TripWindow = TripWindow()) -> DataFrame:
+    return hourly_of(demand_rollup(trips, window))
+
+
 def busiest(hourly: DataFrame, k: int = DEFAULT_K) -> DataFrame:
     """Top rows of an hourly demand table: trips, then revenue, then earliest."""
     return top_k(
@@ -62,19 +89,22 @@ def demand_topk(
 
 
 def time_band_summary(trips: DataFrame, window: TripWindow = TripWindow()) -> DataFrame:
-    return (
+    by_hour = (
         window_trips(trips, window)
-        .groupBy(time_band(F.col("pickup_hour")).alias("time_band"))
-        .agg(F.count("*").alias("total_trips"), mean("total_amount").alias("avg_total_amount"))
-        .orderBy(F.desc("total_trips"), "time_band")
+        .groupBy("pickup_hour")
+        .agg(F.count("*").alias("trips"), *partials(["total_amount"]))
     )
+    return bands_of(by_hour)
 
 
 def weekend_profile(trips: DataFrame, window: TripWindow = TripWindow()) -> DataFrame:
     """Demand per weekday (1 = Sunday) with the weekend flag."""
     return (
         window_trips(trips, window)
-        .groupBy(F.dayofweek("pickup_date").alias("weekday"), is_weekend(F.col("pickup_date")).alias("is_weekend"))
+        .groupBy(
+            F.dayofweek("pickup_date").alias("weekday"),
+            is_weekend(F.col("pickup_date")).alias("is_weekend"),
+        )
         .agg(F.count("*").alias("trips"), mean("total_amount").alias("avg_total_amount"))
         .orderBy("weekday")
     )

@@ -9,10 +9,19 @@ from tripfold.functions.money import CARD, CASH, tip_rate, zero_tip_flag
 from tripfold.functions.numbers import ratio, rounded
 from tripfold.operators.window import window_trips
 from tripfold.params import POSITIVE_PRICED, TripWindow
-from tripfold.plans.rollups import mean, with_total
+from tripfold.plans.rollups import merged_avg, partials, with_total
 
 PAYMENT_WINDOW = TripWindow(positive=POSITIVE_PRICED)
 ELECTRONIC_OR_CASH = (CARD, CASH)
+MEASURES = (
+    "fare_amount",
+    "total_amount",
+    "tip_amount",
+    "tip_rate",
+    "zero_tip",
+    "trip_distance",
+    "duration_minutes",
+)
 
 
 def paid_trips(trips: DataFrame, window: TripWindow = PAYMENT_WINDOW) -> DataFrame:
@@ -28,22 +37,27 @@ def payment_counts(trips: DataFrame) -> DataFrame:
     )
 
 
-def payment_hourly(trips: DataFrame, window: TripWindow = PAYMENT_WINDOW) -> DataFrame:
-    """Averages per (hour, payment type) and the share of the type within its hour."""
-    groups = (
+def payment_rollup(trips: DataFrame, window: TripWindow = PAYMENT_WINDOW) -> DataFrame:
+    """Mergeable payment state per (hour, vendor, payment type); serves all three tables."""
+    return (
         paid_trips(trips, window)
         .withColumns({"tip_rate": tip_rate(), "zero_tip": zero_tip_flag()})
-        .groupBy("pickup_hour", "payment_type")
-        .agg(
-            F.count("*").alias("trips"),
-            mean("fare_amount").alias("avg_fare_amount"),
-            mean("total_amount").alias("avg_total_amount"),
-            mean("tip_amount").alias("avg_tip_amount"),
-            mean("tip_rate", 4).alias("tip_rate"),
-            mean("zero_tip", 4).alias("zero_tip_share"),
-            mean("trip_distance").alias("avg_trip_distance"),
-            mean("duration_minutes").alias("avg_duration_minutes"),
-        )
+        .groupBy("pickup_hour", "vendor_id", "payment_type")
+        .agg(F.count("*").alias("trips"), *partials(MEASURES))
+    )
+
+
+def hourly_of(rollup: DataFrame) -> DataFrame:
+    """Averages per (hour, payment type) and the share of the type within its hour."""
+    groups = rollup.groupBy("pickup_hour", "payment_type").agg(
+        F.sum("trips").alias("trips"),
+        rounded(merged_avg("fare_amount"), 2).alias("avg_fare_amount"),
+        rounded(merged_avg("total_amount"), 2).alias("avg_total_amount"),
+        rounded(merged_avg("tip_amount"), 2).alias("avg_tip_amount"),
+        rounded(merged_avg("tip_rate"), 4).alias("tip_rate"),
+        rounded(merged_avg("zero_tip"), 4).alias("zero_tip_share"),
+        rounded(merged_avg("trip_distance"), 2).alias("avg_trip_distance"),
+        rounded(merged_avg("duration_minutes"), 2).alias("avg_duration_minutes"),
     )
     share = rounded(ratio(F.col("trips"), F.col("hour_trips")), 4)
     return (
@@ -65,12 +79,9 @@ def payment_hourly(trips: DataFrame, window: TripWindow = PAYMENT_WINDOW) -> Dat
     )
 
 
-def vendor_payment_share(trips: DataFrame, window: TripWindow = PAYMENT_WINDOW) -> DataFrame:
-    groups = (
-        paid_trips(trips, window)
-        .groupBy("vendor_id", "payment_type")
-        .agg(F.count("*").alias("trips"))
-    )
+def vendors_of(rollup: DataFrame) -> DataFrame:
+    """Share of each payment type within its vendor."""
+    groups = rollup.groupBy("vendor_id", "payment_type").agg(F.sum("trips").alias("trips"))
     share = rounded(ratio(F.col("trips"), F.col("vendor_trips")), 4)
     return (
         with_total(groups, "trips", "vendor_trips", within=("vendor_id",))
@@ -79,25 +90,40 @@ def vendor_payment_share(trips: DataFrame, window: TripWindow = PAYMENT_WINDOW)
     )
 
 
-def payment_card_vs_cash(trips: DataFrame, window: TripWindow = PAYMENT_WINDOW) -> DataFrame:
-    """Card and cash side by side per hour, from one conditional aggregate."""
-    card, cash = F.col("payment_type") == CARD, F.col("payment_type") == CASH
+def card_vs_cash_of(rollup: DataFrame) -> DataFrame:
+    """Card and cash side by side per hour."""
+
+    def trips_by(code: int) -> Column:
+        return F.sum(F.when(F.col("payment_type") == code, F.col("trips")).otherwise(0))
 
-    def average(when: Column, name: str) -> Column:
-        return rounded(F.avg(F.when(when, F.col(name))), 2)
+    def average(code: int, name: str, scale: int = 2) -> Column:
+        paid = F.col("payment_type") == code
+        total = F.sum(F.when(paid, F.col(f"{name}__sum")))
+        return rounded(ratio(total, F.sum(F.when(paid, F.col(f"{name}__n")))), scale)
 
     return (
-        paid_trips(trips, window)
-        .groupBy("pickup_hour")
+        rollup.groupBy("pickup_hour")
         .agg(
-            F.count_if(card).alias("card_trips"),
-            F.count_if(cash).alias("cash_trips"),
-            rounded(ratio(F.count_if(card), F.count("*")), 4).alias("card_share"),
-            average(card, "total_amount").alias("avg_total_card"),
-            average(cash, "total_amount").alias("avg_total_cash"),
-            average(card, "fare_amount").alias("avg_fare_card"),
-            average(cash, "fare_amount").alias("avg_fare_cash"),
-            rounded(F.avg(tip_rate(card_only=True)), 4).alias("avg_tip_rate_card"),
+            trips_by(CARD).alias("card_trips"),
+            trips_by(CASH).alias("cash_trips"),
+            rounded(ratio(trips_by(CARD), F.sum("trips")), 4).alias("card_share"),
+            average(CARD, "total_amount").alias("avg_total_card"),
+            average(CASH, "total_amount").alias("avg_total_cash"),
+            average(CARD, "fare_amount").alias("avg_fare_card"),
+            average(CASH, "fare_amount").alias("avg_fare_cash"),
+            average(CARD, "tip_rate", 4).alias("avg_tip_rate_card"),
         )
         .orderBy("pickup_hour")
     )
+
+
+def payment_hourly(trips: DataFrame, window: TripWindow = PAYMENT_WINDOW) -> DataFrame:
+    return hourly_of(payment_rollup(trips, window))
+
+
+def vendor_payment_share(trips: DataFrame, window: TripWindow = PAYMENT_WINDOW) -> DataFrame:
+    return vendors_of(payment_rollup(trips, window))
+
+
+def payment_card_vs_cash(trips: DataFrame, window: TripWindow = PAYMENT_WINDOW) -> DataFrame:
+    return card_vs_cash_of(payment_rollup(trips, window))

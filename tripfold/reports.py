@@ -35,10 +35,13 @@ from tripfold.sources.staging import materialised
 Sections = dict[str, DataFrame]
 
 
-def demand_report(trips: DataFrame, window: TripWindow, k: int = DEFAULT_K) -> Sections:
+def demand_report(
+    trips: DataFrame, window: TripWindow, folder: str, k: int = DEFAULT_K
+) -> Sections:
+    rollup = materialised(demand.demand_rollup(trips, window), f"{folder}/_rollup")
     return {
-        "top_demand_hours": demand.demand_topk(trips, window, k),
-        "time_band_summary": demand.time_band_summary(trips, window),
+        "top_demand_hours": demand.busiest(demand.hourly_of(rollup), k),
+        "time_band_summary": demand.bands_of(rollup),
     }
 
 
@@ -73,12 +76,13 @@ def revenue_report(
     }
 
 
-def payment_report(trips: DataFrame, window: TripWindow) -> Sections:
+def payment_report(trips: DataFrame, window: TripWindow, folder: str) -> Sections:
     window = window.requiring(POSITIVE_PRICED)
+    rollup = materialised(payments.payment_rollup(trips, window), f"{folder}/_rollup")
     return {
-        "hourly_payment_stats": payments.payment_hourly(trips, window),
-        "vendor_summary": payments.vendor_payment_share(trips, window),
-        "card_vs_cash_comparison": payments.payment_card_vs_cash(trips, window),
+        "hourly_payment_stats": payments.hourly_of(rollup),
+        "vendor_summary": payments.vendors_of(rollup),
+        "card_vs_cash_comparison": payments.card_vs_cash_of(rollup),
     }
 
 

@@ -387,7 +387,12 @@ _PAYMENT_COUNTS = over_trips(
     FROM trips WHERE payment_type IN (1, 2) GROUP BY payment_type"""
 )
 
-_AT_END = f"ORDER BY trips DESC, pu_zone, do_zone LIMIT 17"
+_AT_END = "ORDER BY trips DESC, pu_zone, do_zone LIMIT 17"
+
+# Ids that are not numbers keep the whole column text.
+ZONES_AS_TEXT = f"WITH {ZONES}" + """
+    SELECT CASE WHEN location_id % 10 = 3 THEN 'N/A' ELSE CAST(location_id AS VARCHAR) END
+        AS location_id, borough, zone, service_zone FROM zones"""
 
 ORACLE: dict[str, str] = {
     "window_filter": over_trips(
@@ -614,10 +619,8 @@ ORACLE: dict[str, str] = {
     + """
     SELECT CASE WHEN location_id % 10 <> 3 THEN location_id END AS location_id,
         borough, zone, service_zone FROM zones""",
-    "zones_text_csv": f"WITH {ZONES}"
-    + """
-    SELECT CASE WHEN location_id % 10 = 3 THEN 'N/A' ELSE CAST(location_id AS VARCHAR) END
-        AS location_id, borough, zone, service_zone FROM zones""",
+    "zones_text_csv": ZONES_AS_TEXT,
+    "zones_inferred_csv": ZONES_AS_TEXT,
     "csv_line_demand": over_trips(
         f"""
     SELECT pickup_date, pickup_hour, count(*) AS trips, {r("sum(total_amount)")} AS total_revenue

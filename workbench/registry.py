@@ -533,6 +533,11 @@ def zones_text_csv(spark, sf_dir):
     return readers.read_zones_csv(spark, raw_files.zones_csv(spark, sf_dir), types="text")
 
 
+@query
+def zones_inferred_csv(spark, sf_dir):
+    return readers.read_zones_csv(spark, raw_files.zones_csv(spark, sf_dir), types="inferred")
+
+
 @query
 def payment_counts_csv(spark, sf_dir):
     raw = readers.read_zoned_csv(spark, raw_files.zoned_csv(spark, sf_dir))
