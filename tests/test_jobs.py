@@ -10,6 +10,8 @@ import pytest
 from tripfold.jobs import NEEDS_ZONES, QUESTIONS, parser, run
 from workbench import raw_files
 
+TRIPS = "rows/ingest_status=kept"
+
 
 def section(output, name):
     parts = sorted(Path(output, name).glob("*.json"))
@@ -35,17 +37,19 @@ def ready(spark, sf_dir, tmp_path_factory):
 def test_prepared_tables(spark, ready):
     base, _, _ = ready
     (accounting,) = section(base / "zoned", "accounting")
-    assert accounting["prepared_rows"] == spark.read.parquet(str(base / "zoned" / "trips")).count()
+    assert accounting["prepared_rows"] == spark.read.parquet(str(base / "zoned" / TRIPS)).count()
     assert accounting["raw_rows"] == 6000
-    assert len(list((base / "zoned" / "trips").glob("pickup_day=*"))) == 31
-    assert len(list((base / "gps" / "trips").glob("pickup_hour=*"))) == 24
+    assert len(list((base / "zoned" / TRIPS).glob("pickup_day=*"))) == 31
+    assert len(list((base / "gps" / TRIPS).glob("pickup_hour=*"))) == 24
+    rejects = spark.read.parquet(str(base / "zoned" / "rows")).filter("ingest_status <> 'kept'")
+    assert rejects.count() == accounting["raw_rows"] - accounting["prepared_rows"]
 
 
 @pytest.mark.parametrize("question", QUESTIONS)
 def test_question(ready, question):
     base, job, _ = ready
     kind = "gps" if question in ("congestion", "route-quality") else "zoned"
-    arguments = [question, "--trips", base / kind / "trips", "--output", base / "out" / question]
+    arguments = [question, "--trips", base / kind / TRIPS, "--output", base / "out" / question]
     if question in NEEDS_ZONES:
         arguments += ["--zones", base / "zones"]
     job(*arguments, "--days", "--k", 5)
@@ -66,6 +70,6 @@ def test_raw_jobs(ready):
     job("demand-lines", "--raw", csv, "--year", 1998, "--days", "--output", base / "lines")
     assert len(section(base / "lines", "top_demand_hours")) == 17
     job("payment-counts", "--trips", csv, "--csv", "--output", base / "from_csv")
-    job("payment-counts", "--trips", base / "zoned" / "trips", "--output", base / "from_parquet")
+    job("payment-counts", "--trips", base / "zoned" / TRIPS, "--output", base / "from_parquet")
     assert {row["payment_type"] for row in section(base / "from_csv", "payment_counts")} == {1, 2}
     assert {row["payment_type"] for row in section(base / "from_parquet", "payment_counts")} == {1, 2}

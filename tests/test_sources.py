@@ -127,7 +127,7 @@ def test_report_sections(spark, tmp_path):
 
 
 def test_plan_as_text(spark, tmp_path):
-    writers.write_plan(spark.range(3).groupBy("id").count(), str(tmp_path / "plan"))
+    writers.write_plan(spark.range(9).selectExpr("id % 2 AS k").groupBy("k").count(), str(tmp_path / "plan"))
     text = spark.read.text(str(tmp_path / "plan"), wholetext=True).first().value
     assert "HashAggregate" in text and "Exchange" in text
 

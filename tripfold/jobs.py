@@ -90,10 +90,12 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
     output = options.output
     if options.command == "prepare":
         read, layout, split_by = RAW_KINDS[options.kind]
-        raw = read(spark, options.raw)
-        ready = prepare.prepared_trips(raw, layout, options.year)
-        writers.write_partitioned(ready, f"{output}/trips", split_by)
-        accounting = prepare.ingest_accounting(raw, layout, options.year)
+        tagged = prepare.tagged_trips(read(spark, options.raw), layout, options.year)
+        # Rejects go to partitions of their own: one pass over the text serves the trips,
+        # the accounting and whoever wants to look at the rejects.
+        table = f"{output}/rows"
+        writers.write_partitioned(tagged, table, prepare.STATUS, split_by)
+        accounting = prepare.accounting_of(readers.read_trips(spark, table))
         writers.write_sections({"accounting": accounting}, output)
     elif options.command == "prepare-zones":
         writers.write_table(readers.read_zones_csv(spark, options.raw), output)

@@ -12,6 +12,8 @@ from tripfold.params import POSITIVE_ROUTE, BoundingBox, TripWindow
 from tripfold.plans.rollups import mean
 
 CONGESTION_WINDOW = TripWindow(positive=("duration_minutes",))
+# Spark's own default.
+PERCENTILE_ACCURACY = 10_000
 ROUTE_WINDOW = TripWindow(days=None, positive=POSITIVE_ROUTE)
 
 
@@ -64,10 +66,12 @@ def route_quality_by_hour(
     slow_below_kmh: float = 10.0,
     slow_from_km: float = 1.0,
     scale: int | None = None,
+    accuracy: int = PERCENTILE_ACCURACY,
 ) -> DataFrame:
     """Metered against straight-line distance per hour: speed, detour, slow share.
 
-    ``scale`` rounds the measures; by default they stay as computed.
+    ``scale`` rounds the measures; by default they stay as computed. ``accuracy`` bounds the
+    rank error of the percentiles to one in so many rows, at the price of larger sketches.
     """
     kept = (
         window_trips(trips, window)
@@ -98,13 +102,16 @@ def route_quality_by_hour(
     def shown(value: Column) -> Column:
         return value if scale is None else rounded(value, scale)
 
+    def percentile(share: float) -> Column:
+        return F.percentile_approx("duration_minutes", share, accuracy)
+
     return (
         measured.groupBy("pickup_hour")
         .agg(
             F.count("*").alias("trips"),
             shown(F.avg("duration_minutes")).alias("avg_duration_minutes"),
-            shown(F.percentile_approx("duration_minutes", 0.5)).alias("median_duration_minutes"),
-            shown(F.percentile_approx("duration_minutes", 0.9)).alias("p90_duration_minutes"),
+            shown(percentile(0.5)).alias("median_duration_minutes"),
+            shown(percentile(0.9)).alias("p90_duration_minutes"),
             shown(F.avg("speed_kmh")).alias("avg_speed_kmh"),
             shown(ratio(F.sum("metered_km"), F.sum("hours_driven"))).alias("agg_speed_kmh"),
             shown(F.avg("straight_km")).alias("avg_haversine_km"),
@@ -116,9 +123,11 @@ def route_quality_by_hour(
     )
 
 
-def duration_percentiles(trips: DataFrame, window: TripWindow = ROUTE_WINDOW) -> DataFrame:
+def duration_percentiles(
+    trips: DataFrame, window: TripWindow = ROUTE_WINDOW, accuracy: int = PERCENTILE_ACCURACY
+) -> DataFrame:
     """Median and 90th percentile of the duration per hour, from one mergeable sketch."""
-    cuts = F.percentile_approx("duration_minutes", [0.5, 0.9])
+    cuts = F.percentile_approx("duration_minutes", [0.5, 0.9], accuracy)
     return (
         window_trips(trips, window)
         .groupBy("pickup_hour")

@@ -56,15 +56,27 @@ def with_measures(parsed: DataFrame) -> DataFrame:
     )
 
 
+def tagged_trips(raw: DataFrame, layout: str, year: int) -> DataFrame:
+    """Every row with calendar columns, measures and its status; rejects included."""
+    return with_measures(with_calendar(with_status(with_timestamps(raw, layout), year)))
+
+
 def prepared_trips(raw: DataFrame, layout: str, year: int) -> DataFrame:
     """Kept rows with calendar columns and measures."""
-    tagged = with_status(with_timestamps(raw, layout), year)
-    return with_measures(with_calendar(tagged.filter(F.col(STATUS) == KEPT).drop(STATUS)))
+    return tagged_trips(raw, layout, year).filter(F.col(STATUS) == KEPT).drop(STATUS)
 
 
 def ingest_accounting(raw: DataFrame, layout: str, year: int) -> DataFrame:
-    """Rows in, rows kept, rows rejected by cause and the kept time range, in one pass."""
-    tagged = with_status(with_timestamps(raw, layout), year)
+    """Accounting straight from raw rows."""
+    return accounting_of(with_status(with_timestamps(raw, layout), year))
+
+
+def accounting_of(tagged: DataFrame) -> DataFrame:
+    """Rows in, rows kept, rows rejected by cause and the kept time range, in one pass.
+
+    Over a written table of tagged rows this reads the status and one column, so the raw text
+    need not be parsed a second time.
+    """
     kept = F.col(STATUS) == KEPT
     kept_pickup = F.when(kept, F.col("pickup_ts"))
     return tagged.agg(

@@ -33,7 +33,10 @@ def _read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def read_trips(spark: SparkSession, path: str) -> DataFrame:
-    """Prepared trips; partition columns come from the directories."""
+    """Prepared trips; partition columns come from the directories.
+
+    For a table written by the prepare job, the trips are those of ``rows/ingest_status=kept``.
+    """
     return spark.read.parquet(path)
 
 

@@ -41,4 +41,4 @@ def write_plan(frame: DataFrame, path: str) -> None:
     with redirect_stdout(plan):
         frame.explain("formatted")
     text = frame.sparkSession.createDataFrame([(plan.getvalue(),)], "plan string")
-    text.write.mode("overwrite").text(path)
+    text.coalesce(1).write.mode("overwrite").text(path)
