@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A session that runs many queries outgrows the default of 100 compiled stages.
+    "spark.sql.codegen.cache.maxEntries": "2000",
     # Recording the Python call site of every column costs more than building the plan.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
