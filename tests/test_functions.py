@@ -4,6 +4,8 @@ import datetime as dt
 import math
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tripfold import schemas
@@ -126,6 +128,9 @@ POINTS = [
     (40.0, -74.0, 41.0, -74.0),
     (0.0, 0.0, 0.0, 180.0),
     (None, -74.0, 41.0, -74.0),
+    (40.0, -74.0, 41.0, None),
+    (40.0, -74.0, 140.0, -74.0),
+    (12.3456789, 45.6789, -12.3456789, -134.3211),
 ]
 DEGREE = math.pi * 6371.0 / 180
 
@@ -138,7 +143,9 @@ def test_haversine_known_pairs(spark, form):
     assert distances[0] == 0.0
     assert distances[1] == pytest.approx(DEGREE)
     assert distances[2] == pytest.approx(180 * DEGREE)
-    assert distances[3] is None or math.isnan(distances[3])
+    assert all(value is None or math.isnan(value) for value in distances[3:5])
+    assert distances[5] == pytest.approx(100 * DEGREE)  # beyond the pole, still a number
+    assert distances[6] == pytest.approx(180 * DEGREE, abs=0.01)
 
 
 def test_coordinates_filters(spark):
@@ -155,6 +162,25 @@ def test_coordinates_filters(spark):
     assert frame.filter(geo.within(BoundingBox())).count() == 2
 
 
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(
+        st.tuples(*[st.sampled_from([-90.0, -73.9, 0.0, 1e-9, 40.7, 40.7 + 1e-9, 90.0, 137.0])] * 4),
+        min_size=1,
+        max_size=200,
+    )
+)
+def test_moved_is_distance_above_zero(spark, points):
+    names = ", ".join(f"{name} double" for name in geo.COORDINATES)
+    frame = spark.createDataFrame(points, names)
+    distances = (geo.straight_line_km(), geo.haversine_asin_km(*map(F.col, geo.COORDINATES)))
+    differing = " OR ".join(f"moved <> (d{i} > 0)" for i in range(2))
+    tested = frame.select(
+        geo.moved().alias("moved"), *(d.alias(f"d{i}") for i, d in enumerate(distances))
+    )
+    assert tested.filter(differing).count() == 0
+
+
 def test_slow_flag_and_detour(spark):
     frame = spark.createDataFrame([(9.0, 0.5), (9.0, 1.0), (10.0, 1.0)], "s double, d double")
     flags = frame.select(geo.slow_flag(F.col("s"), 10, F.col("d"), 1).alias("r")).collect()

@@ -29,25 +29,29 @@ def miles_to_km(miles: Column) -> Column:
 
 
 def _half_chord_squared(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    """Haversine of the central angle, held within [0, 1] against rounding."""
+    """Haversine of the central angle; never negative, null when a coordinate is missing."""
     north = F.sin(F.radians(lat2 - lat1) / 2)
     east = F.sin(F.radians(lon2 - lon1) / 2)
-    shrink = F.cos(F.radians(lat1)) * F.cos(F.radians(lat2))
-    chord = north * north + shrink * east * east
-    # greatest/least skip nulls, which would turn a missing coordinate into a distance.
-    return F.when(chord > 1, 1.0).when(chord < 0, 0.0).otherwise(chord)
+    # Negative only for latitudes beyond a pole; the null that greatest() skips is kept by
+    # the other terms.
+    shrink = F.greatest(F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)), F.lit(0.0))
+    return north * north + shrink * east * east
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    """Great-circle distance by the two-argument arctangent."""
+    """Great-circle distance by the two-argument arctangent.
+
+    Rounding can lift the chord a little above one; the absolute value keeps the root real.
+    """
     chord = _half_chord_squared(lat1, lon1, lat2, lon2)
-    return F.atan2(F.sqrt(chord), F.sqrt(1 - chord)) * (2 * EARTH_RADIUS_KM)
+    return F.atan2(F.sqrt(chord), F.sqrt(F.abs(1 - chord))) * (2 * EARTH_RADIUS_KM)
 
 
 def haversine_asin_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Great-circle distance by the arcsine."""
     chord = _half_chord_squared(lat1, lon1, lat2, lon2)
-    return F.asin(F.sqrt(chord)) * (2 * EARTH_RADIUS_KM)
+    held = F.when(chord > 1, 1.0).otherwise(chord)
+    return F.asin(F.sqrt(held)) * (2 * EARTH_RADIUS_KM)
 
 
 @pandas_udf(DoubleType())
@@ -58,7 +62,8 @@ def haversine_batch_km(
     phi1, phi2 = np.radians(lat1), np.radians(lat2)
     north = np.sin((phi2 - phi1) / 2)
     east = np.sin(np.radians(lon2 - lon1) / 2)
-    chord = (north**2 + np.cos(phi1) * np.cos(phi2) * east**2).clip(0.0, 1.0)
+    shrink = (np.cos(phi1) * np.cos(phi2)).clip(lower=0.0)
+    chord = (north**2 + shrink * east**2).clip(upper=1.0)
     return 2 * EARTH_RADIUS_KM * np.arctan2(np.sqrt(chord), np.sqrt(1 - chord))
 
 
@@ -74,6 +79,16 @@ def has_coordinates() -> Column:
     return condition
 
 
+def moved() -> Column:
+    """The two ends differ: true exactly when the great-circle distance is above zero.
+
+    Comparing coordinates is cheap and reaches the scan, where a test on the distance would
+    evaluate the whole formula once in the filter and again in the projection.
+    """
+    lat1, lon1, lat2, lon2 = (F.col(name) for name in COORDINATES)
+    return (lat1 != lat2) | (lon1 != lon2)
+
+
 def within(box: BoundingBox) -> Column:
     """Both ends inside the box, limits included."""
     condition = F.lit(True)

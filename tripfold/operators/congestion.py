@@ -43,8 +43,7 @@ def congestion_by_hour(
     """Straight-line distance and speed per hour and the share of slow trips."""
     speed = geo.speed_kmh(F.col("haversine_km"), F.col("duration_minutes"))
     return (
-        with_haversine(trips, window, form)
-        .filter((F.col("haversine_km") > 0) & (F.col("duration_minutes") > 0))
+        with_haversine(trips.filter(geo.moved() & (F.col("duration_minutes") > 0)), window, form)
         .withColumn("speed_kmh", speed)
         .withColumn("slow", geo.slow_flag(F.col("speed_kmh"), slow_below_kmh))
         .groupBy("pickup_hour")
