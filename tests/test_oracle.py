@@ -6,6 +6,7 @@ import pytest
 from oracle_check import connect, duck_side, spark_side, type_differences
 
 from __spark_entry__ import entry, oracle_sql, queries
+from workbench import raw_files
 
 
 @pytest.fixture(scope="module")
@@ -29,6 +30,9 @@ def test_entry_runs(spark, sf_dir):
     assert len(entry(spark).collect()) == 17
 
 
+RAW = ("ingest_accounting", "ingest_csv_typed", "ingest_csv_gps")
+
+
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
 def test_results_do_not_depend_on_session_settings(spark, sf_dir, duck, setting, zone):
     setting(
@@ -36,5 +40,6 @@ def test_results_do_not_depend_on_session_settings(spark, sf_dir, duck, setting,
         spark__sql__adaptive__enabled="false",
         spark__sql__autoBroadcastJoinThreshold="-1",
     )
-    for name in ("demand_topk", "flows_by_borough", "zone_imbalance", "ingest_accounting"):
+    raw_files._written.clear()  # the raw files too are written under these settings
+    for name in ("demand_topk", "flows_by_borough", "zone_imbalance", *RAW):
         assert spark_side(queries()[name](spark, sf_dir)) == duck_side(duck, oracle_sql()[name])

@@ -33,14 +33,19 @@ def _once(spark: SparkSession, sf_dir: str, kind: str, write: Callable[[str], No
     return _written[key]
 
 
-def _pickup_text(layout: str) -> Column:
-    unparsable = F.col("l_orderkey") % UNPARSABLE_EVERY == 0
-    text = F.date_format("pickup_ts", layout)
-    return F.when(unparsable, UNPARSABLE).otherwise(text).alias("tpep_pickup_datetime")
+def _seconds_text(name: str, separator: str, end: str) -> Column:
+    """Wall-clock text to the second; formatting functions would go through the session zone."""
+    text = F.substring(F.col(name).cast("string"), 1, 19)
+    return F.concat(F.translate(text, " ", separator), F.lit(end))
 
 
-def _dropoff_text(layout: str) -> Column:
-    return F.date_format("dropoff_ts", layout).alias("tpep_dropoff_datetime")
+def _time_texts(separator: str, end: str) -> list[Column]:
+    unparsable = F.col("l_orderkey") % UNPARSABLE_EVERY == 0
+    pickup = F.when(unparsable, UNPARSABLE).otherwise(_seconds_text("pickup_ts", separator, end))
+    return [
+        pickup.alias("tpep_pickup_datetime"),
+        _seconds_text("dropoff_ts", separator, end).alias("tpep_dropoff_datetime"),
+    ]
 
 
 def _blank(type_name: str, name: str) -> Column:
@@ -48,13 +53,10 @@ def _blank(type_name: str, name: str) -> Column:
 
 
 def zoned_csv(spark: SparkSession, sf_dir: str) -> str:
-    layout = "yyyy-MM-dd'T'HH:mm:ss.SSS"
-
     def write(path: str) -> None:
         tables.trips(spark, sf_dir).select(
             F.col("vendor_id").alias("VendorID"),
-            _pickup_text(layout),
-            _dropoff_text(layout),
+            *_time_texts("T", ".000"),
             "passenger_count",
             "trip_distance",
             _blank("int", "RatecodeID"),
@@ -77,13 +79,10 @@ def zoned_csv(spark: SparkSession, sf_dir: str) -> str:
 
 
 def gps_csv(spark: SparkSession, sf_dir: str) -> str:
-    layout = "yyyy-MM-dd HH:mm:ss"
-
     def write(path: str) -> None:
         tables.trips(spark, sf_dir).select(
             F.col("vendor_id").alias("VendorID"),
-            _pickup_text(layout),
-            _dropoff_text(layout),
+            *_time_texts(" ", ""),
             "passenger_count",
             "trip_distance",
             "pickup_longitude",
