@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripfold.llm import decontaminate
+from tripfold.llm import decontaminate, lines, packing, token_files
 from tripfold.llm.common import read_table
+from tripfold.sources.staging import new_folder
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,8 +24,29 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the documents as an ORC token corpus, read it back and sum the ids up."""
+    path = new_folder(spark, "token-files")
+    token_files.write_corpus(read_table(spark, sf_dir, "documents"), path)
+    return token_files.with_crc32(token_files.read_corpus(spark, path))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their place in sequences of at most 1024 ids."""
+    return packing.with_crc32(packing.pack(read_table(spark, sf_dir, "documents")))
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that three sources or more share."""
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return lines.without_boilerplate(documents).drop("source")
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op3_token_files": op3_token_files,
+    "op7_packing": op7_packing,
+    "op9_line_dedup": op9_line_dedup,
 }
 
 _WORDS = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '')"
@@ -47,4 +69,22 @@ ORACLE = {
         FROM hits JOIN sized USING (item_id)
         WHERE shared >= ceil(0.8 * item_shingles - 1e-9)
     """,
+    "op9_line_dedup": r"""
+        WITH raw AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS parts FROM documents),
+             split AS (SELECT doc_id, source, unnest(parts) AS part,
+                              unnest(range(len(parts))) AS position
+                       FROM raw WHERE text IS NOT NULL),
+             l AS (SELECT *, trim(part, E' \t\r') AS line FROM split),
+             spread AS (SELECT line FROM l WHERE line <> '' GROUP BY line
+                        HAVING count(DISTINCT coalesce(source, 'no source')) >= 3),
+             marked AS (SELECT l.*, spread.line IS NOT NULL AND row_number() OVER (
+                                   PARTITION BY l.line ORDER BY doc_id NULLS FIRST, position) > 1 AS cut
+                        FROM l LEFT JOIN spread USING (line)),
+             joined AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE cut) AS n_removed,
+                               string_agg(part, chr(10) ORDER BY position) FILTER (WHERE NOT cut) AS text
+                        FROM marked GROUP BY doc_id)
+        SELECT doc_id, CASE WHEN raw.text IS NULL THEN NULL ELSE coalesce(joined.text, '') END AS text,
+               coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed
+        FROM raw LEFT JOIN joined USING (doc_id)
+    """,
 }
