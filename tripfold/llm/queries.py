@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripfold.llm import decontaminate, lines, packing, token_files
+from tripfold.llm import decontaminate, html_text, lines, packing, token_files
 from tripfold.llm.common import read_table
 from tripfold.sources.staging import new_folder
 
@@ -42,11 +42,17 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.without_boilerplate(documents).drop("source")
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.extract_text(read_table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_token_files": op3_token_files,
     "op7_packing": op7_packing,
     "op9_line_dedup": op9_line_dedup,
+    "op10_html_text": op10_html_text,
 }
 
 _WORDS = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '')"
