@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripfold.llm import decontaminate, html_text, lines, packing, token_files
+from tripfold.llm import decontaminate, html_text, lines, packing, secret_scan, token_files
 from tripfold.llm.common import read_table
 from tripfold.sources.staging import new_folder
 
@@ -36,6 +36,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.with_crc32(packing.pack(read_table(spark, sf_dir, "documents")))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets of every document as spans."""
+    return secret_scan.scan(read_table(spark, sf_dir, "documents"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that three sources or more share."""
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -51,6 +56,7 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_token_files": op3_token_files,
     "op7_packing": op7_packing,
+    "op8_secret_scan": op8_secret_scan,
     "op9_line_dedup": op9_line_dedup,
     "op10_html_text": op10_html_text,
 }
