@@ -45,3 +45,27 @@ def whole_text(column: str = "text") -> Column:
 def row_key(text: str = "text") -> Column:
     """Tells rows of one document id apart by their text; equal rows share it."""
     return F.xxhash64(F.col(text))
+
+
+# Beyond so many shards they grow instead: their cuts are part of the plan.
+MOST_SHARDS = 4096
+
+
+def in_id_shards(documents: DataFrame, rows_per_shard: int) -> tuple[DataFrame, int]:
+    """doc_id, text (null: empty) and shard, and how many shards there may be.
+
+    Shards are ranges of ids, ascending, cut at approximate quantiles; null ids are in the first.
+    Rows of one id share a shard. The quantiles read the id column alone.
+    """
+    rows = documents.count()
+    count = min(MOST_SHARDS, max(1, -(-rows // rows_per_shard)))
+    ids = documents.select(F.col("doc_id").cast("bigint").alias("id")).where("id IS NOT NULL")
+    steps = [i / count for i in range(1, count)]
+    cuts = sorted({int(cut) for cut in ids.approxQuantile("id", steps, 0.2 / count)}) if steps else []
+    held = F.array(*(F.lit(cut).cast("bigint") for cut in cuts)) if cuts else None
+    place = F.lit(0)
+    if cuts:
+        below = F.size(F.filter(held, lambda cut: cut < F.col("doc_id")))
+        place = F.when(F.col("doc_id").isNull(), 0).otherwise(below)
+    frame = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
+    return frame.withColumn("shard", place.cast("int")), len(cuts) + 1

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripfold.llm import decontaminate, html_text, lines, packing, secret_scan, token_files
+from tripfold.llm import decontaminate, fingerprints, html_text, lines, packing, secret_scan, token_files
 from tripfold.llm.common import read_table
 from tripfold.sources.staging import new_folder
 
@@ -31,6 +31,11 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.with_crc32(token_files.read_corpus(spark, path))
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and how alike they are."""
+    return fingerprints.edit_report(read_table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their place in sequences of at most 1024 ids."""
     return packing.with_crc32(packing.pack(read_table(spark, sf_dir, "documents")))
@@ -55,6 +60,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_token_files": op3_token_files,
+    "op6_fingerprints": op6_fingerprints,
     "op7_packing": op7_packing,
     "op8_secret_scan": op8_secret_scan,
     "op9_line_dedup": op9_line_dedup,

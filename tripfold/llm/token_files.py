@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripfold.llm.common import whole_text
+from tripfold.llm.common import in_id_shards
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
@@ -67,24 +67,6 @@ def in_slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa
             yield batch.slice(start, rows)
 
 
-def _shards(documents: DataFrame, count: int) -> DataFrame:
-    """doc_id, text and shard: ranges of ids, ascending, cut at approximate quantiles."""
-    shard = F.lit(0)
-    if count > 1:
-        steps = [i / count for i in range(1, count)]
-        # The quantiles read the id column alone; nulls have no place among them.
-        cuts = sorted(set(documents.select(F.col("doc_id").cast("double").alias("id")).approxQuantile("id", steps, 0.2 / count)))
-        held = F.array(*(F.lit(int(cut)) for cut in cuts)).cast("array<bigint>")
-        # how many cuts lie below the id
-        place = F.size(F.filter(held, lambda cut: cut < F.col("doc_id")))
-        shard = F.when(F.col("doc_id").isNull(), 0).otherwise(place)
-    return documents.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
-        whole_text().alias("text"),
-        shard.cast("int").alias("shard"),
-    )
-
-
 def write_corpus(
     documents: DataFrame,
     path: str,
@@ -93,8 +75,7 @@ def write_corpus(
     documents_per_shard: int = DOCUMENTS_PER_SHARD,
 ) -> None:
     """Encode all documents in ascending id order into ORC files under ``path``."""
-    rows = documents.count()
-    shards = max(1, -(-rows // documents_per_shard))
+    texts, shards = in_id_shards(documents, documents_per_shard)
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,8 +104,7 @@ def write_corpus(
             )
 
     (
-        _shards(documents, shards)
-        .repartition(shards, "shard")
+        texts.repartitionById(shards, F.col("shard"))
         .sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "text")
         .mapInArrow(encoded, ROWS)
         .write.mode("overwrite")
