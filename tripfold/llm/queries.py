@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripfold.llm import decontaminate, fingerprints, html_text, lines, packing, secret_scan, token_files
+from tripfold.llm import decontaminate, fingerprints, html_text, lines, packing, secret_scan, simhash, token_files
 from tripfold.llm.common import read_table
 from tripfold.sources.staging import new_folder
 
@@ -31,6 +31,12 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.with_crc32(token_files.read_corpus(spark, path))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The SimHash of every document and the component of near duplicates it is in."""
+    found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.as_hex().alias("fingerprint"), "component_id")
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and its edited text, and how alike they are."""
     return fingerprints.edit_report(read_table(spark, sf_dir, "documents"))
@@ -60,6 +66,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_token_files": op3_token_files,
+    "op5_simhash": op5_simhash,
     "op6_fingerprints": op6_fingerprints,
     "op7_packing": op7_packing,
     "op8_secret_scan": op8_secret_scan,

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 
 # Pieces kept per worker; beyond that the store starts anew.
-STORED_PIECES = 700_000
+STORED_PIECES = 500_000
 # So many characters of new pieces go to the library in one call.
 BATCH_CHARS = 4000
 # A character no piece has stands between pieces in a call.
