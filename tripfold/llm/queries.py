@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripfold.llm import decontaminate, fingerprints, html_text, lines, packing, secret_scan, simhash, token_files
+from tripfold.llm import decontaminate, fingerprints, html_text, language_id, lines, packing, secret_scan, simhash, token_files
 from tripfold.llm.common import read_table
 from tripfold.sources.staging import new_folder
 
@@ -31,6 +31,16 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.with_crc32(token_files.read_corpus(spark, path))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document; learned without the documents it calls held out."""
+    documents = read_table(spark, sf_dir, "documents")
+    out = language_id.held_out(4, 2)
+    model = language_id.fitted(documents.where(~out))
+    return language_id.identify(documents, model).select(
+        "doc_id", out.alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The SimHash of every document and the component of near duplicates it is in."""
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
@@ -66,6 +76,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_token_files": op3_token_files,
+    "op4_language_id": op4_language_id,
     "op5_simhash": op5_simhash,
     "op6_fingerprints": op6_fingerprints,
     "op7_packing": op7_packing,
