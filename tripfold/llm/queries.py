@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripfold.llm import decontaminate, fingerprints, html_text, language_id, lines, packing, secret_scan, simhash, token_files
+from tripfold.llm import decontaminate, fingerprints, html_text, language_id, language_model, lines, packing, secret_scan, simhash, token_files
 from tripfold.llm.common import read_table
 from tripfold.sources.staging import new_folder
 
@@ -24,6 +24,14 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every document by a model of those it does not call held out."""
+    documents = read_table(spark, sf_dir, "documents")
+    out = language_id.held_out(10, 0)
+    scored = language_model.score_corpus(documents, documents.where(~out))
+    return scored.withColumn("held_out", out)
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the documents as an ORC token corpus, read it back and sum the ids up."""
     path = new_folder(spark, "token-files")
@@ -75,6 +83,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_language_model": op2_language_model,
     "op3_token_files": op3_token_files,
     "op4_language_id": op4_language_id,
     "op5_simhash": op5_simhash,
