@@ -106,7 +106,8 @@ def without_boilerplate(
     )
     doc, positions = fresh_name(documents, "line_doc"), fresh_name(documents, "line_positions")
     n_lines, n_removed = fresh_name(documents, "n_lines"), fresh_name(documents, "n_removed")
-    removed = small_side(removed.select(F.col("doc").alias(doc), F.col("positions").alias(positions)))
+    # Not forced to broadcast: rows hold arrays, and the planner knows the size of the files.
+    removed = removed.select(F.col("doc").alias(doc), F.col("positions").alias(positions))
     key = F.struct(F.col("doc_id").alias("id"), row_key().alias("hash"))
     # One array per call of the outer lambda, so that lines are split once a row.
     kept_text = F.get(
