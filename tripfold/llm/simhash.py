@@ -196,8 +196,9 @@ def spanning_links(home: np.ndarray, visitors: np.ndarray, within: bool, radius:
     for at in range(start, len(nodes), 64):
         rows = nodes[at : at + 64]
         hits = np.bitwise_count(rows[:, None] ^ home[None, :]) <= radius
-        if at < len(home):  # each pair within the leaf once: partners after the row itself
-            hits &= np.arange(len(home))[None, :] > np.arange(at, at + len(rows))[:, None]
+        if at < len(home):  # each pair at home once: partners after the row; visitors meet all
+            own = np.arange(at, at + len(rows))[:, None]
+            hits &= (np.arange(len(home))[None, :] > own) | (own >= len(home))
         for i in np.flatnonzero(hits.any(axis=1)):
             partners = np.flatnonzero(hits[i])
             labels, first = np.unique(label[partners], return_index=True)
