@@ -8,18 +8,19 @@ import pytest
 sys.path.insert(0, str(Path(__file__).parent.parent))
 
 from tripfold.session import build_session  # noqa: E402
+from tripfold.sources.staging import SHARED_FOLDER  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session(
-        "tests",
-        "local[8]",
-        shuffle_partitions=4,
-        **{"spark.ui.enabled": "false", "spark.driver.memory": "4g"},
-    )
+def spark(tmp_path_factory):
+    settings = {"spark.ui.enabled": "false", "spark.driver.memory": "4g"}
+    session = build_session("tests", "local[8]", shuffle_partitions=4, **settings)
+    if not session.conf.get(SHARED_FOLDER, None):  # only where none is named
+        session.stop()
+        settings[SHARED_FOLDER] = str(tmp_path_factory.mktemp("shared"))
+        session = build_session("tests", "local[8]", shuffle_partitions=4, **settings)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

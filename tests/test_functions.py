@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tripfold import schemas
 from tripfold.functions import clock, geo, money
+from tripfold.sql import fragments
 from tripfold.functions.numbers import banded, optional_amount, percent_change, ratio, rounded
 from tripfold.params import BoundingBox, TripWindow, wrapped_hours
 
@@ -86,11 +87,19 @@ def test_time_does_not_depend_on_the_session_zone(spark, setting):
     assert column(spark, text, "string", minutes) == [180.0]
 
 
-def test_rounding_ignores_summation_noise(spark):
-    values = [113.27499999999999, 113.275, 2.5, -2.5, float("nan"), 1e25, None]
-    result = column(spark, values, "double", lambda c: rounded(c, 2))
-    assert result[:4] == [113.28, 113.28, 2.5, -2.5]
-    assert math.isnan(result[4]) and result[5:] == [1e25, None]
+@pytest.mark.parametrize("form", ["frame", "text"])
+def test_rounding_happens_once(spark, form):
+    values = [2.0049999996, 2.005, 113.275, -2.675, 2.5, float("nan"), 1e23, float("inf"), None]
+    round_up = (lambda c: rounded(c, 2)) if form == "frame" else (lambda c: F.expr(fragments.rounded("v", 2)))
+    result = [
+        row.r
+        for row in spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+        .select("i", round_up(F.col("v")).alias("r"))
+        .orderBy("i")
+        .collect()
+    ]
+    assert result[:5] == [2.0, 2.01, 113.28, -2.68, 2.5]
+    assert math.isnan(result[5]) and result[6:] == [1e23, float("inf"), None]
 
 
 def test_ratio_and_change_survive_zero(spark):

@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tripfold.functions import geo
+from tripfold.functions.numbers import exact_avg, exact_sum
 from tripfold.operators import (
     congestion,
     demand,
@@ -23,8 +24,9 @@ from tripfold.operators import (
 from tripfold.operators.window import window_trips, window_trips_unpruned
 from tripfold.params import AdaptiveSupport, SpecialZones, TripWindow
 from tripfold.plans.dimensions import duplicate_zone_ids
+from tripfold.plans.rollups import merged_sum, partials
 from tripfold.sources.readers import register_views
-from tripfold.sql import variants
+from tripfold.sql import fragments, variants
 
 OPEN = TripWindow(days=None, hours=None)
 ZONE_SCHEMA = "location_id int, borough string, zone string, service_zone string"
@@ -238,6 +240,43 @@ def test_duplicate_zone_ids_are_reported(spark, two_zones):
     assert rows(duplicate_zone_ids(two_zones.union(two_zones.limit(1)))) == [(1, 2)]
 
 
+def test_a_repeated_zone_id_fails_instead_of_multiplying_trips(make, two_zones):
+    doubled = two_zones.union(two_zones.limit(1))
+    frame = make(trip(1, 2), trip(2, 1))
+    for result in (
+        revenue.revenue_by_zone_bucket(frame, doubled),
+        imbalance.label_zones(imbalance.zone_balance(frame, OPEN), doubled),
+        profile.top_zones(frame, doubled),
+    ):
+        with pytest.raises(Exception, match="zone id listed more than once: 1"):
+            result.collect()
+
+
+def test_money_sums_do_not_depend_on_the_partitions(spark):
+    values = spark.range(400_000).selectExpr("1 AS k", "cast(id * 7919 % 100000 AS double) / 100 AS total_amount")
+    sums = set()
+    for parts in (3, 16, 61):
+        groups = values.repartition(parts).groupBy("k").agg(*partials(["total_amount"]))
+        sums.add(groups.groupBy("k").agg(merged_sum("total_amount").alias("s")).first().s)
+    exact = spark.range(400_000).selectExpr("sum(id * 7919 % 100000) AS cents").first().cents
+    assert sums == {exact / 100}
+
+
+@pytest.mark.parametrize("form", ["frame", "text"])
+def test_values_without_an_exact_form_still_show_in_sums(spark, form):
+    def total(*values):
+        frame = spark.createDataFrame([(v,) for v in values], "x double")
+        if form == "frame":
+            return frame.select(exact_sum(F.col("x")).alias("s"), exact_avg(F.col("x")).alias("a")).first()
+        text = f"SELECT {fragments.exact('sum(x)')} AS s, {fragments.exact('avg(x)')} AS a FROM {{frame}}"
+        return spark.sql(text, frame=frame).first()
+
+    assert tuple(total(1.5, None, 2.5)) == (4.0, 2.0)
+    assert tuple(total(None)) == (None, None)
+    assert tuple(total(1e23, 1.0)) == (1e23, 5e22)
+    assert total(float("nan"), 1.0).s != total(float("nan"), 1.0).s
+
+
 # --- payments -------------------------------------------------------------------------
 
 
@@ -394,7 +433,22 @@ def test_histogram_loses_no_row(make):
     frame = make(*(trip(total_amount=v) for v in (-7.5, 0.0, 0.9, 5.0, 900.0, None)))
     counted = profile.histogram(frame, "total_amount", 0, 10)
     assert rows(counted) == [(-1, 1), (0, 2), (10, 1), (5, 1), (None, 1)]
-    assert rows(profile.lowest_buckets(frame, "total_amount", 2)) == [(-8, 1), (0, 2)]
+    assert rows(profile.bucket_counts(frame, "total_amount")) == [(-8, 1), (0, 2), (5, 1), (900, 1)]
+    both = profile.histograms(frame, {"total_amount": (0, 10), "trip_distance": (0, 3)})
+    assert rows(profile.histogram_of(both, "total_amount")) == rows(counted)
+    assert rows(profile.histogram_of(both, "trip_distance")) == rows(
+        profile.histogram(frame, "trip_distance", 0, 3)
+    )
+
+
+def test_samples_of_one_scan_are_those_taken_one_by_one(trips):
+    samples = profile.extreme_samples(trips)
+    for name, (_, lead, columns) in profile.SAMPLES.items():
+        alone = {
+            "negative_fare": profile.negative_fares,
+            "zero_duration": profile.zero_durations,
+        }.get(name, lambda t: profile.largest(t, lead, columns))(trips)
+        assert profile.sample_of(samples, name).collect() == alone.collect()
 
 
 def test_samples_repeat(make):

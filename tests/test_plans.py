@@ -6,12 +6,23 @@ import pytest
 from plan_text import executed, planned, scans_of
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
 from tripfold.functions import geo
-from tripfold.operators import congestion, demand, flows, imbalance, payments, periods, revenue
+from tripfold.operators import (
+    congestion,
+    demand,
+    flows,
+    imbalance,
+    payments,
+    periods,
+    profile,
+    revenue,
+)
 from tripfold.operators.window import window_trips, window_trips_unpruned
-from tripfold.params import TripWindow
+from tripfold.params import AdaptiveSupport, TripWindow
+from tripfold.reports import profile_report
+from tripfold.sql import variants
 from workbench import raw_files
+from workbench.registry import REGISTRY
 
 OPEN = TripWindow(days=None, hours=None)
 
@@ -21,9 +32,9 @@ def by_day(spark, sf_dir):
     return raw_files.read_trips_by_day(spark, sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_no_query_pairs_rows_without_a_key(spark, sf_dir, name):
-    plan = planned(queries()[name](spark, sf_dir))
+    plan = planned(REGISTRY[name](spark, sf_dir))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
@@ -111,6 +122,44 @@ def test_scans_of_the_facts(by_day, zones):
     assert scans(revenue.revenue_by_zone_bucket(by_day, zones)) == 1
 
 
+def test_a_profile_reads_the_trips_four_times(by_day, zones, tmp_path):
+    names = profile_report(by_day, zones, str(tmp_path))
+    assert len(names) == 11
+    assert sum(scans_of(planned(frame), "trips-by-day") for frame in names.values()) == 1
+    for stage in (
+        profile.trip_counts(by_day),
+        profile.histograms(by_day, {"trip_distance": (0, 9), "total_amount": (0, 9)}),
+        profile.extreme_samples(by_day),
+    ):
+        assert scans_of(planned(stage), "trips-by-day") == 1
+    assert "WindowGroupLimit" in planned(profile.extreme_samples(by_day))
+
+
+def test_a_year_reaches_the_scan_as_bounds(by_day, setting):
+    setting(spark__sql__maxMetadataStringLength="2000")
+    for form in (congestion.route_quality_by_hour, variants.route_quality_by_hour):
+        plan = planned(form(by_day, year=1998))
+        assert "GreaterThanOrEqual(pickup_ts,1998-01-01T00:00" in plan
+        assert "LessThan(pickup_ts,1999-01-01T00:00" in plan
+
+
+def test_percentiles_count_before_they_rank(by_day):
+    plan = planned(congestion.duration_percentiles(by_day))
+    assert "percentile" not in plan
+    lines = plan.splitlines()
+    window = next(i for i, line in enumerate(lines) if " Window " in line)
+    assert any("partial_count" in line for line in lines[window:])
+
+
+def test_adaptive_total_is_taken_over_named_groups(by_day, zones):
+    plan = planned(revenue.revenue_by_zone_bucket(by_day, zones, min_support=AdaptiveSupport()))
+    lines = plan.splitlines()
+    single = next(i for i, line in enumerate(lines) if "SinglePartition" in line)
+    named = next(i for i, line in enumerate(lines) if "HashAggregate(keys=[pickup_borough" in line)
+    assert single < named
+    assert scans_of(plan, "trips-by-day") == 1
+
+
 def test_native_distance_stays_in_the_jvm(by_day):
     native = planned(congestion.with_haversine(by_day, OPEN).select("haversine_km"))
     batch = planned(

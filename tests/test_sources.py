@@ -85,7 +85,7 @@ def test_bad_lines_drop_out_of_the_demand(zoned):
 def test_zone_lookup_types(spark, tmp_path):
     path = tmp_path / "zones.csv"
     path.write_text('LocationID,Borough,Zone,service_zone\n1,EWR,"Newark, NJ",EWR\nN/A,Queens,X,Y\n')
-    declared = readers.read_zones(spark, str(path))
+    declared = readers.read_zones(spark, str(path), "csv")
     assert [tuple(row) for row in declared.collect()] == [
         (1, "EWR", "Newark, NJ", "EWR"),
         (None, "Queens", "X", "Y"),
@@ -96,6 +96,17 @@ def test_zone_lookup_types(spark, tmp_path):
     assert dict(inferred.dtypes)["location_id"] == "string"
     writers.write_table(declared, str(tmp_path / "zones"))
     assert readers.read_zones(spark, str(tmp_path / "zones")).count() == 2
+    declared.write.option("header", True).csv(str(tmp_path / "folder of csv"))
+    folder = readers.read_zones(spark, str(tmp_path / "folder of csv"), "csv")
+    assert folder.where("zone = 'Newark, NJ'").count() == 1
+    with pytest.raises(ValueError):
+        readers.read_zones(spark, str(path), "json")
+
+
+def test_zone_accounting(spark):
+    zones = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "d")], "location_id int, zone string")
+    assert tuple(prepare.zone_accounting(zones).first()) == (4, 3, 1, 1)
+    assert tuple(prepare.zone_accounting(zones.limit(0)).first()) == (0, 0, 0, 0)
 
 
 def test_partitioned_write_splits_a_hot_day_and_joins_small_ones(spark, tmp_path, setting):
@@ -126,12 +137,6 @@ def test_report_sections(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "report" / "b")).first().k == "x"
 
 
-def test_plan_as_text(spark, tmp_path):
-    writers.write_plan(spark.range(9).selectExpr("id % 2 AS k").groupBy("k").count(), str(tmp_path / "plan"))
-    text = spark.read.text(str(tmp_path / "plan"), wholetext=True).first().value
-    assert "HashAggregate" in text and "Exchange" in text
-
-
 def test_staging_folder_comes_from_the_session():
     class Session:
         """Settings of a cluster session."""
@@ -145,8 +150,11 @@ def test_staging_folder_comes_from_the_session():
     assert staging.new_folder(Session("hdfs://shared", "yarn"), "step") != shared
     with pytest.raises(ValueError):
         staging.new_folder(Session(None, "yarn"), "step")
-    local = Path(staging.new_folder(Session(None, "local[2]"), "step"))
-    assert local.is_dir() and not list(local.iterdir())
+    with pytest.raises(ValueError):
+        staging.new_folder(Session(None, "local[2]"), "step")
+    with pytest.raises(ValueError):
+        staging.new_folder(Session("file:///tmp/shared", "yarn"), "step")
+    assert staging.new_folder(Session("file:///shared", "local-cluster[2,1,1024]"), "step")
 
 
 def test_materialised_reads_back_the_same(spark, tmp_path):
@@ -166,7 +174,9 @@ def test_arriving_files_are_prepared_once(spark, tmp_path):
         raw = ingest.read_arriving_csv(spark, folder, schemas.TRIPS_ZONED_RAW)
         query = ingest.prepare_available(raw, schemas.ISO_MILLIS, 2024, path, checkpoint)
         assert query.awaitTermination(120)
-        return sorted(tuple(r) for r in spark.read.parquet(path).select("pickup_day", "total_amount").collect())
+        return sorted(
+            tuple(r) for r in readers.read_trips(spark, path).select("pickup_day", "total_amount").collect()
+        )
 
     arrive("one.csv", *LINES[:6])
     assert run() == [(13, 14.0), (13, 16.0), (31, 14.0)]
@@ -177,3 +187,7 @@ def test_arriving_files_are_prepared_once(spark, tmp_path):
         readers.read_zoned_csv(spark, folder), schemas.ISO_MILLIS, 2024
     )
     assert batch.count() == 4
+    arrived = prepare.accounting_of(readers.read_rows(spark, path)).first()
+    assert arrived == prepare.ingest_accounting(
+        readers.read_zoned_csv(spark, folder), schemas.ISO_MILLIS, 2024
+    ).first()

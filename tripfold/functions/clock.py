@@ -33,3 +33,9 @@ def time_band(hour: Column) -> Column:
 
 def is_weekend(date: Column) -> Column:
     return F.dayofweek(date).isin(*WEEKEND)
+
+
+def in_year(moment: Column, year: int) -> Column:
+    """Whether a wall-clock time lies in a year, as bounds a Parquet scan can use."""
+    first, beyond = (F.expr(f"TIMESTAMP_NTZ'{int(y):04d}-01-01 00:00:00'") for y in (year, year + 1))
+    return (moment >= first) & (moment < beyond)

@@ -8,18 +8,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-# Digits kept beyond the wanted scale before rounding; noise below them cannot flip a tie.
-GUARD_DIGITS = 4
+# Measures are summed as decimals of this type, so that no order of the summands shows.
+EXACT = "decimal(18,6)"
 
 
 def rounded(value: Column, scale: int) -> Column:
-    """Round half up on the decimal value, whatever order the summands came in.
+    """Round half up, once, the decimal digits a double stands for; NaN and infinity stay."""
+    return F.round(value.cast("double"), scale)
 
-    NaN and values beyond the decimal range pass through unchanged.
-    """
-    near = value.try_cast(f"decimal(28,{scale + GUARD_DIGITS})")
-    exact = F.round(near, scale).cast("double")
-    return F.coalesce(exact, value.cast("double"))
+
+def exact_part(value: Column) -> Column:
+    """The value as an exact summand; null if it is NaN, infinite or too large to be one."""
+    return value.try_cast(EXACT)
+
+
+def inexact_part(value: Column) -> Column:
+    """The value if it has no exact form: added as a double, it shows in the total."""
+    return F.when(exact_part(value).isNull(), value.cast("double"))
+
+
+def joined_sum(exact: Column, inexact: Column) -> Column:
+    """Total of both parts as a double; null if there is neither."""
+    total = exact.cast("double")
+    return F.when(inexact.isNull(), total).otherwise(F.coalesce(total, F.lit(0.0)) + inexact)
+
+
+def exact_sum(value: Column) -> Column:
+    """Sum as a double that does not depend on how the rows are spread over tasks."""
+    return joined_sum(F.sum(exact_part(value)), F.sum(inexact_part(value)))
+
+
+def exact_avg(value: Column) -> Column:
+    return ratio(exact_sum(value), F.count(value))
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

@@ -6,15 +6,25 @@ import argparse
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from tripfold import reports, schemas
 from tripfold.operators.congestion import CONGESTION_WINDOW, ROUTE_WINDOW
 from tripfold.operators.demand import line_demand_topk
 from tripfold.operators.payments import payment_counts
 from tripfold.params import (
+    DEFAULT_ACTIVITY,
+    DEFAULT_AMOUNT_RANGE,
     DEFAULT_DAYS,
+    DEFAULT_DISTANCE_RANGE,
     DEFAULT_HOURS,
     DEFAULT_K,
+    DEFAULT_PERIOD_K,
+    DEFAULT_PERIOD_SUPPORT,
+    DEFAULT_SPLIT_DAY,
+    AdaptiveSupport,
+    BoundingBox,
+    SpecialZones,
     TripWindow,
 )
 from tripfold.session import build_session
@@ -25,18 +35,42 @@ RAW_KINDS = {
     "gps": (readers.read_gps_csv, schemas.SPACED_SECONDS, "pickup_hour"),
     "zoned": (readers.read_zoned_csv, schemas.ISO_MILLIS, "pickup_day"),
 }
+PARTITIONS = ("pickup_year", "pickup_month", "pickup_day", "pickup_hour")
 NEEDS_ZONES = ("profile", "revenue", "flows", "imbalance")
-QUESTIONS = (
-    "profile",
-    "demand",
-    "congestion",
-    "route-quality",
-    "revenue",
-    "payments",
-    "flows",
-    "imbalance",
-    "periods",
-)
+# The options each question takes; one it would ignore is not offered.
+QUESTIONS = {
+    "profile": ("distance-range", "amount-range"),
+    "demand": ("days", "hours", "k"),
+    "congestion": ("days", "hours", "slow-below"),
+    "route-quality": ("hours", "year", "slow-below", "slow-from", "latitudes", "longitudes"),
+    "revenue": ("days", "hours", "k", "support", "support-share", "support-bounds"),
+    "payments": ("days", "hours"),
+    "flows": ("days", "hours", "k", "special-pattern", "special-boroughs"),
+    "imbalance": ("days", "hours", "k", "min-activity"),
+    "periods": ("k", "min-support", "split-day"),
+}
+_BOX, _ADAPTIVE, _SPECIAL = BoundingBox(), AdaptiveSupport(), SpecialZones()
+OPTIONS = {
+    "days": {"type": int, "nargs": "*", "default": list(DEFAULT_DAYS)},
+    "hours": {"type": int, "nargs": "*", "default": list(DEFAULT_HOURS)},
+    "k": {"type": int, "default": DEFAULT_K},
+    "year": {"type": int},
+    "distance-range": {"type": int, "nargs": 2, "default": DEFAULT_DISTANCE_RANGE},
+    "amount-range": {"type": int, "nargs": 2, "default": DEFAULT_AMOUNT_RANGE},
+    "slow-below": {"type": float, "help": "km/h under which a trip is slow"},
+    "slow-from": {"type": float, "default": 1.0, "help": "km from which a trip can be slow"},
+    "latitudes": {"type": float, "nargs": 2, "default": _BOX.latitude},
+    "longitudes": {"type": float, "nargs": 2, "default": _BOX.longitude},
+    "support": {"type": int, "help": "trips a group needs; by default a share of all trips"},
+    "support-share": {"type": float, "default": _ADAPTIVE.share},
+    "support-bounds": {"type": int, "nargs": 2, "default": (_ADAPTIVE.low, _ADAPTIVE.high)},
+    "special-pattern": {"default": _SPECIAL.pattern},
+    "special-boroughs": {"nargs": "*", "default": list(_SPECIAL.boroughs)},
+    "min-activity": {"type": int, "default": DEFAULT_ACTIVITY},
+    "min-support": {"type": int, "default": DEFAULT_PERIOD_SUPPORT},
+    "split-day": {"type": int, "default": DEFAULT_SPLIT_DAY},
+}
+DEFAULTS = {("periods", "k"): DEFAULT_PERIOD_K, ("congestion", "slow-below"): 15.0, ("route-quality", "slow-below"): 10.0}
 
 
 def parser() -> argparse.ArgumentParser:
@@ -47,6 +81,7 @@ def parser() -> argparse.ArgumentParser:
     ready.add_argument("--raw", required=True)
     ready.add_argument("--kind", choices=RAW_KINDS, default="zoned")
     ready.add_argument("--year", type=int, required=True)
+    ready.add_argument("--partition-by", nargs="+", choices=PARTITIONS)
     ready.add_argument("--output", required=True)
 
     lookup = commands.add_parser("prepare-zones", help="zone lookup CSV to Parquet")
@@ -57,28 +92,30 @@ def parser() -> argparse.ArgumentParser:
     lines.add_argument("--raw", required=True)
     lines.add_argument("--year", type=int, required=True)
     lines.add_argument("--output", required=True)
-    _window_options(lines)
+    _add(lines, "demand-lines", ("days", "hours", "k"))
 
     counts = commands.add_parser("payment-counts", help="card and cash trips, CSV or Parquet")
     counts.add_argument("--trips", required=True)
     counts.add_argument("--csv", action="store_true")
     counts.add_argument("--output", required=True)
 
-    for name in QUESTIONS:
+    for name, options in QUESTIONS.items():
         question = commands.add_parser(name)
         question.add_argument("--trips", required=True)
         if name in NEEDS_ZONES:
             question.add_argument("--zones", required=True)
+            question.add_argument("--zones-format", choices=("parquet", "csv"), default="parquet")
         question.add_argument("--output", required=True)
-        question.add_argument("--year", type=int)
-        _window_options(question)
+        _add(question, name, options)
     return root
 
 
-def _window_options(command: argparse.ArgumentParser) -> None:
-    command.add_argument("--days", type=int, nargs="*", default=list(DEFAULT_DAYS))
-    command.add_argument("--hours", type=int, nargs="*", default=list(DEFAULT_HOURS))
-    command.add_argument("--k", type=int, default=DEFAULT_K)
+def _add(command: argparse.ArgumentParser, name: str, options: Sequence[str]) -> None:
+    for option in options:
+        settings = dict(OPTIONS[option])
+        if (name, option) in DEFAULTS:
+            settings["default"] = DEFAULTS[name, option]
+        command.add_argument(f"--{option}", **settings)
 
 
 def _window(options: argparse.Namespace) -> TripWindow:
@@ -91,14 +128,22 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
     if options.command == "prepare":
         read, layout, split_by = RAW_KINDS[options.kind]
         tagged = prepare.tagged_trips(read(spark, options.raw), layout, options.year)
+        by = options.partition_by or [split_by]
+        for name in by:
+            if name in prepare.CALENDAR:
+                tagged = tagged.withColumn(name, prepare.CALENDAR[name](F.col("pickup_ts")))
         # Rejects go to partitions of their own: one pass over the text serves the trips,
         # the accounting and whoever wants to look at the rejects.
         table = f"{output}/rows"
-        writers.write_partitioned(tagged, table, prepare.STATUS, split_by)
-        accounting = prepare.accounting_of(readers.read_trips(spark, table))
+        inside = tuple(name for name in ("pickup_hour",) if name not in by)
+        writers.write_partitioned(tagged, table, prepare.STATUS, *by, sort_within=inside)
+        accounting = prepare.accounting_of(readers.read_rows(spark, table))
         writers.write_sections({"accounting": accounting}, output)
     elif options.command == "prepare-zones":
         writers.write_table(readers.read_zones_csv(spark, options.raw), output)
+        written = readers.read_zones(spark, output)
+        # Readers of the table pass over folders that begin with an underscore.
+        writers.write_sections({"_accounting": prepare.zone_accounting(written)}, output)
     elif options.command == "demand-lines":
         raw = readers.read_zoned_csv(spark, options.raw)
         window = _window(options)
@@ -113,31 +158,44 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
 
 
 def _sections(spark: SparkSession, options: argparse.Namespace) -> reports.Sections:
-    trips = readers.read_trips(spark, options.trips)
-    zones = readers.read_zones(spark, options.zones) if "zones" in options else None
-    window, k, folder = _window(options), options.k, options.output
+    trips, folder = readers.read_trips(spark, options.trips), options.output
+    zones = None
+    if "zones" in options:
+        zones = readers.read_zones(spark, options.zones, options.zones_format)
+    window = _window(options) if "days" in options else None
     match options.command:
         case "profile":
-            return reports.profile_report(trips, zones)
+            ranges = tuple(options.distance_range), tuple(options.amount_range)
+            return reports.profile_report(trips, zones, folder, *ranges)
         case "demand":
-            return reports.demand_report(trips, window, folder, k)
+            return reports.demand_report(trips, window, folder, options.k)
         case "congestion":
-            return reports.congestion_report(
-                trips, window.requiring(CONGESTION_WINDOW.positive)
-            )
+            required = window.requiring(CONGESTION_WINDOW.positive)
+            return reports.congestion_report(trips, required, options.slow_below)
         case "route-quality":
-            hours_only = TripWindow(None, window.hours, ROUTE_WINDOW.positive)
-            return reports.route_quality_report(trips, hours_only, options.year)
+            hours_only = TripWindow(None, tuple(options.hours) or None, ROUTE_WINDOW.positive)
+            box = BoundingBox(tuple(options.latitudes), tuple(options.longitudes))
+            return reports.route_quality_report(
+                trips, hours_only, options.year, box, options.slow_below, options.slow_from
+            )
         case "revenue":
-            return reports.revenue_report(trips, zones, window, folder, k)
+            support = options.support
+            if support is None:
+                support = AdaptiveSupport(options.support_share, *options.support_bounds)
+            return reports.revenue_report(trips, zones, window, folder, options.k, support)
         case "payments":
             return reports.payment_report(trips, window, folder)
         case "flows":
-            return reports.flow_report(trips, zones, window, folder, k=k)
+            rule = SpecialZones(options.special_pattern, tuple(options.special_boroughs))
+            return reports.flow_report(trips, zones, window, folder, rule, options.k)
         case "imbalance":
-            return reports.imbalance_report(trips, zones, window, folder, k=k)
+            return reports.imbalance_report(
+                trips, zones, window, folder, options.min_activity, options.k
+            )
         case _:
-            return reports.period_report(trips, folder)
+            return reports.period_report(
+                trips, folder, options.min_support, options.k, options.split_day
+            )
 
 
 def main(arguments: Sequence[str] | None = None) -> None:

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripfold.functions import geo
+from tripfold.functions.clock import in_year
 from tripfold.functions.numbers import ratio, rounded
 from tripfold.operators.window import window_trips
 from tripfold.params import POSITIVE_ROUTE, BoundingBox, TripWindow
 from tripfold.plans.rollups import mean
 
 CONGESTION_WINDOW = TripWindow(positive=("duration_minutes",))
-# Spark's own default.
-PERCENTILE_ACCURACY = 10_000
+COUNT, RUNNING, WHOLE = "rows__n", "rows__running", "rows__whole"
 ROUTE_WINDOW = TripWindow(days=None, positive=POSITIVE_ROUTE)
 
 
@@ -60,17 +60,17 @@ def congestion_by_hour(
 def route_quality_by_hour(
     trips: DataFrame,
     window: TripWindow = ROUTE_WINDOW,
-    year: int | None = 2015,
+    year: int | None = None,
     box: BoundingBox = BoundingBox(),
     slow_below_kmh: float = 10.0,
     slow_from_km: float = 1.0,
     scale: int | None = None,
-    accuracy: int = PERCENTILE_ACCURACY,
 ) -> DataFrame:
     """Metered against straight-line distance per hour: speed, detour, slow share.
 
-    ``scale`` rounds the measures; by default they stay as computed. ``accuracy`` bounds the
-    rank error of the percentiles to one in so many rows, at the price of larger sketches.
+    Trips collapse to counts and sums per hour and duration, so that the exact percentiles and
+    everything else come from one scan. ``scale`` rounds the measures; by default they stay as
+    computed.
     """
     kept = (
         window_trips(trips, window)
@@ -78,7 +78,7 @@ def route_quality_by_hour(
         .filter(geo.within(box))
     )
     if year is not None:
-        kept = kept.filter(F.year("pickup_ts") == year)
+        kept = kept.filter(in_year(F.col("pickup_ts"), year))
     metered, straight, speed = F.col("metered_km"), F.col("straight_km"), F.col("speed_kmh")
     measured = (
         kept.withColumns(
@@ -91,50 +91,76 @@ def route_quality_by_hour(
         .withColumn("speed_kmh", ratio(metered, F.col("hours_driven")))
         .withColumns(
             {
-                "gap_km": metered - straight,
                 "detour": geo.detour_ratio(metered, straight),
                 "slow": geo.slow_flag(speed, slow_below_kmh, metered, slow_from_km),
             }
         )
     )
+    sums = ("speed_kmh", "metered_km", "hours_driven", "straight_km", "detour", "slow")
+    counted = measured.groupBy("pickup_hour", "duration_minutes").agg(
+        F.count("*").alias(COUNT),
+        F.count("detour").alias("detours"),
+        *(F.sum(name).alias(name) for name in sums),
+    )
 
     def shown(value: Column) -> Column:
         return value if scale is None else rounded(value, scale)
 
-    def percentile(share: float) -> Column:
-        return F.percentile_approx("duration_minutes", share, accuracy)
+    def average(total: Column, over: str = COUNT) -> Column:
+        return shown(ratio(F.sum(total), F.sum(over)))
 
     return (
-        measured.groupBy("pickup_hour")
+        with_ranks(counted, "pickup_hour", "duration_minutes")
+        .groupBy("pickup_hour")
         .agg(
-            F.count("*").alias("trips"),
-            shown(F.avg("duration_minutes")).alias("avg_duration_minutes"),
-            shown(percentile(0.5)).alias("median_duration_minutes"),
-            shown(percentile(0.9)).alias("p90_duration_minutes"),
-            shown(F.avg("speed_kmh")).alias("avg_speed_kmh"),
-            shown(ratio(F.sum("metered_km"), F.sum("hours_driven"))).alias("agg_speed_kmh"),
-            shown(F.avg("straight_km")).alias("avg_haversine_km"),
-            shown(F.avg("gap_km")).alias("avg_distance_gap_km"),
-            shown(F.avg("detour")).alias("avg_detour_ratio"),
-            shown(F.avg("slow")).alias("congestion_candidate_share"),
+            F.sum(COUNT).alias("trips"),
+            average(F.col("duration_minutes") * F.col(COUNT)).alias("avg_duration_minutes"),
+            shown(discrete_percentile("duration_minutes", 0.5)).alias("median_duration_minutes"),
+            shown(discrete_percentile("duration_minutes", 0.9)).alias("p90_duration_minutes"),
+            average(speed).alias("avg_speed_kmh"),
+            average(metered, "hours_driven").alias("agg_speed_kmh"),
+            average(straight).alias("avg_haversine_km"),
+            average(metered - straight).alias("avg_distance_gap_km"),
+            average(F.col("detour"), "detours").alias("avg_detour_ratio"),
+            average(F.col("slow")).alias("congestion_candidate_share"),
         )
         .orderBy("pickup_hour")
     )
 
 
-def duration_percentiles(
-    trips: DataFrame, window: TripWindow = ROUTE_WINDOW, accuracy: int = PERCENTILE_ACCURACY
-) -> DataFrame:
-    """Median and 90th percentile of the duration per hour, from one mergeable sketch."""
-    cuts = F.percentile_approx("duration_minutes", [0.5, 0.9], accuracy)
-    return (
+def duration_percentiles(trips: DataFrame, window: TripWindow = ROUTE_WINDOW) -> DataFrame:
+    """Exact median and 90th percentile of the duration per hour."""
+    counted = (
         window_trips(trips, window)
+        .filter(F.col("duration_minutes").isNotNull())
+        .groupBy("pickup_hour", "duration_minutes")
+        .agg(F.count("*").alias(COUNT))
+    )
+    return (
+        with_ranks(counted, "pickup_hour", "duration_minutes")
         .groupBy("pickup_hour")
-        .agg(cuts.alias("cuts"))
-        .select(
-            "pickup_hour",
-            F.col("cuts")[0].alias("median_duration_minutes"),
-            F.col("cuts")[1].alias("p90_duration_minutes"),
+        .agg(
+            discrete_percentile("duration_minutes", 0.5).alias("median_duration_minutes"),
+            discrete_percentile("duration_minutes", 0.9).alias("p90_duration_minutes"),
         )
         .orderBy("pickup_hour")
     )
+
+
+def with_ranks(counted: DataFrame, group: str, value: str) -> DataFrame:
+    """Add the running and the whole count of the group, in the order of the values.
+
+    Takes counts per group and value, not trips: durations are whole seconds, so a group has few.
+    """
+    within = Window.partitionBy(group)
+    return counted.withColumns(
+        {
+            RUNNING: F.sum(COUNT).over(within.orderBy(value)),
+            WHOLE: F.sum(COUNT).over(within),
+        }
+    )
+
+
+def discrete_percentile(value: str, share: float) -> Column:
+    """The least value that at least ``share`` of the rows do not exceed."""
+    return F.min(F.when(F.col(RUNNING) >= F.lit(share) * F.col(WHOLE), F.col(value)))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripfold.functions.clock import is_weekend, time_band
-from tripfold.functions.numbers import percent, rounded
+from tripfold.functions.numbers import exact_sum, percent, rounded
 from tripfold.operators.window import window_trips
 from tripfold.params import DEFAULT_K, TripWindow
 from tripfold.plans.ranking import top_k
@@ -124,6 +124,6 @@ def line_demand_topk(
     groups = (
         window_trips(prepared_trips(raw, layout, year), window)
         .groupBy("pickup_date", "pickup_hour")
-        .agg(F.count("*").alias("trips"), rounded(F.sum("total_amount"), 2).alias("total_revenue"))
+        .agg(F.count("*").alias("trips"), rounded(exact_sum(F.col("total_amount")), 2).alias("total_revenue"))
     )
     return busiest(groups, k)

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripfold.functions.numbers import rounded
 from tripfold.operators.window import window_trips
 from tripfold.params import DEFAULT_ACTIVITY, DEFAULT_K, POSITIVE_BALANCE, TripWindow
+from tripfold.plans.dimensions import unique_zones
 from tripfold.plans.ranking import top_k
+from tripfold.plans.rollups import mean
 
 BALANCE_WINDOW = TripWindow(positive=POSITIVE_BALANCE)
 
@@ -67,7 +68,7 @@ def _with_balance(counted: DataFrame) -> DataFrame:
 
 def label_zones(balance: DataFrame, zones: DataFrame) -> DataFrame:
     """Add zone names; zones missing from the dimension keep their row."""
-    names = zones.select("location_id", "borough", "zone", "service_zone")
+    names = unique_zones(zones).select("location_id", "borough", "zone", "service_zone")
     return balance.join(names, "location_id", "left").select(
         *balance.columns, "borough", "zone", "service_zone"
     )
@@ -111,7 +112,7 @@ def imbalance_hourly_of(balance: DataFrame) -> DataFrame:
         balance.groupBy("pickup_hour")
         .agg(
             F.sum(F.abs("net_pickups")).alias("total_abs_net_pickups"),
-            rounded(F.avg("abs_imbalance_ratio"), 4).alias("avg_abs_imbalance_ratio"),
+            mean("abs_imbalance_ratio", 4).alias("avg_abs_imbalance_ratio"),
         )
         .orderBy("pickup_hour")
     )

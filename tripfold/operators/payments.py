@@ -98,8 +98,7 @@ def card_vs_cash_of(rollup: DataFrame) -> DataFrame:
 
     def average(code: int, name: str, scale: int = 2) -> Column:
         paid = F.col("payment_type") == code
-        total = F.sum(F.when(paid, F.col(f"{name}__sum")))
-        return rounded(ratio(total, F.sum(F.when(paid, F.col(f"{name}__n")))), scale)
+        return rounded(merged_avg(name, paid), scale)
 
     return (
         rollup.groupBy("pickup_hour")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripfold.functions.numbers import percent_change, rounded
+from tripfold.functions.numbers import exact_avg, percent_change, rounded
 from tripfold.operators.window import window_trips
 from tripfold.params import (
     DEFAULT_PERIOD_K,
@@ -64,8 +64,8 @@ def od_period_join(
 def _half(suffix: str, rows: Column) -> list[Column]:
     return [
         F.count_if(rows).alias(f"trips_{suffix}"),
-        F.avg(F.when(rows, F.col("fare_amount"))).alias(f"avg_fare_{suffix}"),
-        F.avg(F.when(rows, F.col("total_amount"))).alias(f"avg_total_{suffix}"),
+        exact_avg(F.when(rows, F.col("fare_amount"))).alias(f"avg_fare_{suffix}"),
+        exact_avg(F.when(rows, F.col("total_amount"))).alias(f"avg_total_{suffix}"),
     ]
 
 

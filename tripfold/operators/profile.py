@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripfold.functions.numbers import percent, unit_bucket
+from tripfold.plans.dimensions import unique_zones
 from tripfold.plans.ranking import top_k
 
 DISTANCE_SAMPLE = ("vendor_id", "pickup_ts", "trip_distance", "total_amount")
@@ -28,9 +29,19 @@ def null_profile(frame: DataFrame) -> DataFrame:
     )
 
 
+def trip_counts(trips: DataFrame) -> DataFrame:
+    """Trips per day, hour and zone ids: what the distributions and zone tables derive from."""
+    keys = ("pickup_day", "pickup_hour", "pu_location_id", "do_location_id")
+    return trips.groupBy(*keys).agg(F.count("*").alias("n"))
+
+
 def distribution(frame: DataFrame, key: str) -> DataFrame:
     """Rows per value of a column, in the order of the values."""
-    return frame.groupBy(key).agg(F.count("*").alias("trips")).orderBy(key)
+    return distribution_of(frame.groupBy(key).agg(F.count("*").alias("n")), key)
+
+
+def distribution_of(counts: DataFrame, key: str) -> DataFrame:
+    return counts.groupBy(key).agg(F.sum("n").alias("trips")).orderBy(key)
 
 
 def hourly_distribution(trips: DataFrame) -> DataFrame:
@@ -47,12 +58,16 @@ def joinability(trips: DataFrame, zones: DataFrame) -> DataFrame:
     Trips are counted per zone id before they meet the dimension, whose ids are made
     distinct first, so a repeated id cannot raise the share.
     """
+    return joinability_of(trips.withColumn("n", F.lit(1)), zones)
+
+
+def joinability_of(counts: DataFrame, zones: DataFrame) -> DataFrame:
     pickup, dropoff = F.col("pu_location_id"), F.col("do_location_id")
     ends = F.stack(F.lit(2), F.lit("pickup"), pickup, F.lit("dropoff"), dropoff)
     counted = (
-        trips.select(ends.alias("endpoint", "location_id"))
+        counts.select("n", ends.alias("endpoint", "location_id"))
         .groupBy("endpoint", "location_id")
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("n").alias("n"))
     )
     known = zones.select("location_id").distinct().withColumn("known", F.lit(True))
     unmatched = F.sum(F.when(F.col("known").isNull(), F.col("n")).otherwise(0))
@@ -68,39 +83,63 @@ def joinability(trips: DataFrame, zones: DataFrame) -> DataFrame:
 
 def top_zones(trips: DataFrame, zones: DataFrame, k: int = 10) -> DataFrame:
     """Busiest pickup zones by name; ids without a zone count together under null."""
-    counted = trips.groupBy(F.col("pu_location_id").alias("location_id")).agg(
-        F.count("*").alias("n")
+    return top_zones_of(trips.withColumn("n", F.lit(1)), zones, k)
+
+
+def top_zones_of(counts: DataFrame, zones: DataFrame, k: int = 10) -> DataFrame:
+    counted = counts.groupBy(F.col("pu_location_id").alias("location_id")).agg(
+        F.sum("n").alias("n")
     )
     groups = (
-        counted.join(zones.select("location_id", "zone"), "location_id", "left")
+        counted.join(unique_zones(zones).select("location_id", "zone"), "location_id", "left")
         .groupBy("zone")
         .agg(F.sum("n").alias("trips"))
     )
     return top_k(groups, k, F.desc("trips"), ties=("zone",))
 
 
+def histograms(frame: DataFrame, ranges: dict[str, tuple[int, int]]) -> DataFrame:
+    """``histogram`` of several columns from one scan: measure, bucket and trips."""
+    parts = []
+    for column, (low, high) in ranges.items():
+        parts += [F.lit(column), _held_bucket(F.col(column), low, high)]
+    return (
+        frame.select(F.stack(F.lit(len(ranges)), *parts).alias("measure", "bucket"))
+        .groupBy("measure", "bucket")
+        .agg(F.count("*").alias("trips"))
+    )
+
+
+def histogram_of(counts: DataFrame, column: str) -> DataFrame:
+    return counts.filter(F.col("measure") == column).select("bucket", "trips").orderBy("bucket")
+
+
+def _held_bucket(value: Column, low: int, high: int) -> Column:
+    bucket = unit_bucket(value)
+    held = F.when(bucket < low, F.lit(low - 1)).when(bucket >= high, F.lit(high)).otherwise(bucket)
+    return held.cast("bigint")
+
+
 def histogram(frame: DataFrame, column: str, low: int, high: int) -> DataFrame:
     """Rows per unit bucket in [low, high); the rest counts in one bucket on either side.
 
     The bucket below is ``low - 1`` and the one above is ``high``, so no row is lost.
     """
-    bucket = unit_bucket(F.col(column))
-    held = F.when(bucket < low, F.lit(low - 1)).when(bucket >= high, F.lit(high)).otherwise(bucket)
     return (
-        frame.groupBy(held.cast("bigint").alias("bucket"))
+        frame.groupBy(_held_bucket(F.col(column), low, high).alias("bucket"))
         .agg(F.count("*").alias("trips"))
         .orderBy("bucket")
     )
 
 
-def lowest_buckets(frame: DataFrame, column: str, buckets: int) -> DataFrame:
-    """Rows per unit bucket, for the lowest buckets that occur."""
-    groups = (
+def bucket_counts(frame: DataFrame, column: str) -> DataFrame:
+    """Rows per unit bucket, for every bucket that occurs; null values are not counted."""
+    return (
         frame.filter(F.col(column).isNotNull())
         .groupBy(unit_bucket(F.col(column)).alias("bucket"))
         .agg(F.count("*").alias("trips"))
+        .orderBy("bucket")
     )
-    return top_k(groups, buckets, F.asc("bucket"))
 
 
 def largest(frame: DataFrame, measure: str, columns: tuple[str, ...], k: int = 5) -> DataFrame:
@@ -122,3 +161,44 @@ def negative_fares(trips: DataFrame, k: int = 5) -> DataFrame:
 
 def zero_durations(trips: DataFrame, k: int = 5) -> DataFrame:
     return sample_where(trips, F.col("duration_minutes") == 0, ZERO_DURATION_SAMPLE, k)
+
+
+# Sample by name: which rows it takes, the measure that leads its order, its columns.
+SAMPLES = {
+    "largest_distance": ("true", "trip_distance", DISTANCE_SAMPLE),
+    "largest_duration": ("true", "duration_minutes", DURATION_SAMPLE),
+    "negative_fare": ("fare_amount < 0", None, NEGATIVE_FARE_SAMPLE),
+    "zero_duration": ("duration_minutes = 0", None, ZERO_DURATION_SAMPLE),
+}
+
+
+def extreme_samples(trips: DataFrame, k: int = 5) -> DataFrame:
+    """The rows of all samples with the name of theirs, from one scan.
+
+    Same rows as ``largest`` and ``sample_where`` take one by one: each row is offered to its
+    samples, and every task keeps ``k`` rows a sample before anything is shuffled.
+    """
+    offers = []
+    for name, (condition, lead, columns) in SAMPLES.items():
+        third, fourth = (*(c for c in columns[2:] if c != lead), None)[:2]
+        offer = F.struct(
+            F.lit(name).alias("sample"),
+            (F.col(lead) if lead else F.lit(0)).cast("double").alias("lead"),
+            F.col(third).cast("double").alias("third"),
+            (F.col(fourth) if fourth else F.lit(None)).cast("double").alias("fourth"),
+        )
+        offers.append(F.when(F.expr(condition), offer))
+    order = Window.partitionBy("sample").orderBy(
+        F.desc("lead"), "vendor_id", "pickup_ts", "third", "fourth"
+    )
+    wanted = sorted({column for _, _, columns in SAMPLES.values() for column in columns})
+    return (
+        trips.select(*wanted, F.inline(F.array_compact(F.array(*offers))))
+        .withColumn("place", F.row_number().over(order))
+        .filter(F.col("place") <= k)
+        .select("sample", "place", *wanted)
+    )
+
+
+def sample_of(samples: DataFrame, name: str) -> DataFrame:
+    return samples.filter(F.col("sample") == name).orderBy("place").select(*SAMPLES[name][2])

@@ -76,6 +76,7 @@ def revenue_with_threshold(
 ) -> DataFrame:
     """All groups, each with the support threshold in a column."""
     windowed = window_trips(trips, window)
+    adaptive = isinstance(min_support, AdaptiveSupport)
     by_id = (
         windowed.withColumns(
             {
@@ -86,15 +87,15 @@ def revenue_with_threshold(
         .groupBy("pu_location_id", "distance_bucket")
         .agg(F.count("*").alias("trips"), *partials(MEASURES))
     )
-    if isinstance(min_support, AdaptiveSupport):
-        by_id = with_total(by_id, "trips", "window_trips")
-        threshold = _threshold(F.max("window_trips"), min_support)
-    else:
-        threshold = F.lit(min_support)
-    return (
-        join_zone(by_id, zones, "pu")
-        .withColumnsRenamed({"pu_borough": "pickup_borough", "pu_zone": "pickup_zone"})
-        .groupBy(*GROUP_KEYS)
+    # The adaptive rule counts trips of unknown zones too: they stay, as a group of their own,
+    # until the total over the named groups is taken.
+    flagged = zones.withColumn("known", F.lit(True))
+    named = join_zone(
+        by_id, flagged, "pu", "borough", "zone", "known", how="left" if adaptive else "inner"
+    )
+    groups = (
+        named.withColumnsRenamed({"pu_borough": "pickup_borough", "pu_zone": "pickup_zone"})
+        .groupBy(*GROUP_KEYS, "pu_known")
         .agg(
             F.sum("trips").alias("trips"),
             rounded(merged_sum("total_amount"), 2).alias("total_revenue"),
@@ -106,9 +107,16 @@ def revenue_with_threshold(
             rounded(merged_avg("fare_amount"), 2).alias("avg_fare_amount"),
             rounded(merged_avg("tip_amount"), 2).alias("avg_tip_amount"),
             rounded(merged_ratio("surcharges", "total_amount"), 4).alias("surcharge_share"),
-            threshold.cast("bigint").alias(THRESHOLD),
         )
     )
+    threshold = F.lit(min_support) if not adaptive else _threshold(F.col("window_trips"), min_support)
+    if adaptive:
+        groups = with_total(groups, "trips", "window_trips")
+    return (
+        groups.filter("pu_known")
+        .withColumn(THRESHOLD, threshold.cast("bigint"))
+        .drop("pu_known", "window_trips")
+    )
 
 
 def _threshold(window_trips: Column, rule: AdaptiveSupport) -> Column:

@@ -21,6 +21,10 @@ DEFAULT_PERIOD_SUPPORT = 50
 DEFAULT_PERIOD_K = 5
 DEFAULT_SPLIT_DAY = 15
 
+# Unit buckets of the profile histograms; what lies outside counts in one on either side.
+DEFAULT_DISTANCE_RANGE = (0, 100)
+DEFAULT_AMOUNT_RANGE = (0, 200)
+
 
 def wrapped_hours(start_hour: int, length: int) -> tuple[int, ...]:
     """Return ``length`` hours of the day from ``start_hour``, wrapping past midnight."""

@@ -17,24 +17,43 @@ from tripfold.params import SpecialZones
 STRATEGIES = {"auto": None, "merge": "merge", "shuffle_hash": "shuffle_hash"}
 
 
+def unique_zones(zones: DataFrame) -> DataFrame:
+    """The dimension, failing when used if an id is listed twice: it would multiply trips."""
+    others = [name for name in zones.columns if name != "location_id"]
+    location = F.col("location_id")
+    message = F.concat(F.lit("zone id listed more than once: "), location.cast("string"))
+    repeated = location.isNotNull() & (F.col("zone__entries") > 1)
+    return (
+        zones.groupBy("location_id")
+        .agg(F.count("*").alias("zone__entries"), *(F.first(name).alias(name) for name in others))
+        .withColumn("location_id", F.when(repeated, F.raise_error(message)).otherwise(location))
+        .drop("zone__entries")
+    )
+
+
 def zone_role(zones: DataFrame, role: str, *columns: str) -> DataFrame:
     """The dimension under the names of one role: ``pu`` gives pu_location_id, pu_zone, …"""
     wanted = columns or ("borough", "zone")
-    return zones.select(
+    return unique_zones(zones).select(
         F.col("location_id").alias(f"{role}_location_id"),
         *(F.col(name).alias(f"{role}_{name}") for name in wanted),
     )
 
 
 def join_zone(
-    facts: DataFrame, zones: DataFrame, role: str, *columns: str, strategy: str = "auto"
+    facts: DataFrame,
+    zones: DataFrame,
+    role: str,
+    *columns: str,
+    strategy: str = "auto",
+    how: str = "inner",
 ) -> DataFrame:
-    """Inner join on the zone id of a role; facts of unknown zones drop out."""
+    """Join on the zone id of a role; facts of unknown zones drop out, or stay with ``left``."""
     side = zone_role(zones, role, *columns)
     hint = STRATEGIES[strategy]
     if hint is not None:
         side = side.hint(hint)
-    return facts.join(side, f"{role}_location_id", "inner")
+    return facts.join(side, f"{role}_location_id", how)
 
 
 def special_zones(zones: DataFrame, rule: SpecialZones) -> DataFrame:

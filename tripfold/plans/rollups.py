@@ -12,24 +12,42 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripfold.functions.numbers import ratio, rounded
+from tripfold.functions.numbers import (
+    exact_avg,
+    exact_part,
+    inexact_part,
+    joined_sum,
+    ratio,
+    rounded,
+)
 
 
 def partials(measures: Iterable[str]) -> list[Column]:
-    """Mergeable state per measure: the sum and the number of non-null values."""
+    """Mergeable state per measure: the sum and the number of non-null values.
+
+    The sum is kept as an exact decimal, apart from values that have no such form.
+    """
     state = []
     for name in measures:
-        state.append(F.sum(name).alias(f"{name}__sum"))
+        state.append(F.sum(exact_part(F.col(name))).alias(f"{name}__sum"))
+        state.append(F.sum(inexact_part(F.col(name))).alias(f"{name}__odd"))
         state.append(F.count(name).alias(f"{name}__n"))
     return state
 
 
-def merged_sum(name: str) -> Column:
-    return F.sum(f"{name}__sum")
+def merged_sum(name: str, where: Column | None = None) -> Column:
+    """Sum over merged groups, or over those that meet a condition."""
+
+    def part(suffix: str) -> Column:
+        value = F.col(f"{name}__{suffix}")
+        return F.sum(value if where is None else F.when(where, value))
+
+    return joined_sum(part("sum"), part("odd"))
 
 
-def merged_avg(name: str) -> Column:
-    return ratio(merged_sum(name), F.sum(f"{name}__n"))
+def merged_avg(name: str, where: Column | None = None) -> Column:
+    counted = F.col(f"{name}__n")
+    return ratio(merged_sum(name, where), F.sum(counted if where is None else F.when(where, counted)))
 
 
 def merged_ratio(numerator: str, denominator: str) -> Column:
@@ -38,7 +56,7 @@ def merged_ratio(numerator: str, denominator: str) -> Column:
 
 def mean(name: str, scale: int = 2) -> Column:
     """Rounded average over the rows of a single-level group."""
-    return rounded(F.avg(name), scale)
+    return rounded(exact_avg(F.col(name)), scale)
 
 
 def with_total(groups: DataFrame, count: str, total: str, within: tuple[str, ...] = ()) -> DataFrame:

@@ -21,12 +21,16 @@ from tripfold.operators import (
 )
 from tripfold.params import (
     DEFAULT_ACTIVITY,
+    DEFAULT_AMOUNT_RANGE,
+    DEFAULT_DISTANCE_RANGE,
     DEFAULT_K,
     DEFAULT_PERIOD_K,
     DEFAULT_PERIOD_SUPPORT,
+    DEFAULT_SPLIT_DAY,
     POSITIVE_BALANCE,
     POSITIVE_PRICED,
     AdaptiveSupport,
+    BoundingBox,
     SpecialZones,
     TripWindow,
 )
@@ -45,12 +49,24 @@ def demand_report(
     }
 
 
-def congestion_report(trips: DataFrame, window: TripWindow) -> Sections:
-    return {"hourly_metrics": congestion.congestion_by_hour(trips, window)}
+def congestion_report(
+    trips: DataFrame, window: TripWindow, slow_below_kmh: float = 15.0
+) -> Sections:
+    return {"hourly_metrics": congestion.congestion_by_hour(trips, window, slow_below_kmh)}
 
 
-def route_quality_report(trips: DataFrame, window: TripWindow, year: int | None) -> Sections:
-    return {"summary": congestion.route_quality_by_hour(trips, window, year)}
+def route_quality_report(
+    trips: DataFrame,
+    window: TripWindow,
+    year: int | None = None,
+    box: BoundingBox = BoundingBox(),
+    slow_below_kmh: float = 10.0,
+    slow_from_km: float = 1.0,
+) -> Sections:
+    summary = congestion.route_quality_by_hour(
+        trips, window, year, box, slow_below_kmh, slow_from_km
+    )
+    return {"summary": summary}
 
 
 def revenue_report(
@@ -126,9 +142,11 @@ def period_report(
     folder: str,
     min_support: int = DEFAULT_PERIOD_SUPPORT,
     k: int = DEFAULT_PERIOD_K,
+    split_day: int = DEFAULT_SPLIT_DAY,
 ) -> Sections:
     change = materialised(
-        periods.od_period_change(trips, min_support=min_support), f"{folder}/_change"
+        periods.od_period_change(trips, split_day=split_day, min_support=min_support),
+        f"{folder}/_change",
     )
     return {
         "top_increases": periods.largest_increases(change, k),
@@ -136,18 +154,25 @@ def period_report(
     }
 
 
-def profile_report(trips: DataFrame, zones: DataFrame, buckets: tuple[int, int] = (100, 200)) -> Sections:
-    distance_buckets, amount_buckets = buckets
+def profile_report(
+    trips: DataFrame,
+    zones: DataFrame,
+    folder: str,
+    distance_range: tuple[int, int] = DEFAULT_DISTANCE_RANGE,
+    amount_range: tuple[int, int] = DEFAULT_AMOUNT_RANGE,
+) -> Sections:
+    """Four scans of the trips: nulls, counts by day, hour and zones, histograms, samples."""
+    counts = materialised(profile.trip_counts(trips), f"{folder}/_counts")
+    ranges = {"trip_distance": distance_range, "total_amount": amount_range}
+    buckets = materialised(profile.histograms(trips, ranges), f"{folder}/_buckets")
+    samples = materialised(profile.extreme_samples(trips), f"{folder}/_samples")
     return {
         "null_percentages": profile.null_profile(trips),
-        "hourly_distribution": profile.hourly_distribution(trips),
-        "daily_distribution": profile.daily_distribution(trips),
-        "joinability": profile.joinability(trips, zones),
-        "top_pickup_zones": profile.top_zones(trips, zones),
-        "trip_distance_histogram": profile.lowest_buckets(trips, "trip_distance", distance_buckets),
-        "total_amount_histogram": profile.lowest_buckets(trips, "total_amount", amount_buckets),
-        "largest_distance": profile.largest(trips, "trip_distance", profile.DISTANCE_SAMPLE),
-        "largest_duration": profile.largest(trips, "duration_minutes", profile.DURATION_SAMPLE),
-        "negative_fare": profile.negative_fares(trips),
-        "zero_duration": profile.zero_durations(trips),
+        "hourly_distribution": profile.distribution_of(counts, "pickup_hour"),
+        "daily_distribution": profile.distribution_of(counts, "pickup_day"),
+        "joinability": profile.joinability_of(counts, zones),
+        "top_pickup_zones": profile.top_zones_of(counts, zones),
+        "trip_distance_histogram": profile.histogram_of(buckets, "trip_distance"),
+        "total_amount_histogram": profile.histogram_of(buckets, "total_amount"),
+        **{name: profile.sample_of(samples, name) for name in profile.SAMPLES},
     }

@@ -15,6 +15,10 @@ NULL_PICKUP = "null_pickup_ts"
 BAD_YEAR = "bad_year"
 
 
+# Partition columns beyond those every prepared table has.
+CALENDAR = {"pickup_year": F.year, "pickup_month": F.month}
+
+
 def with_timestamps(raw: DataFrame, layout: str) -> DataFrame:
     """Canonical names plus both parsed timestamps; text of another layout gives null."""
     return raw.withColumnsRenamed(schemas.CANONICAL_NAMES).withColumns(
@@ -87,3 +91,15 @@ def accounting_of(tagged: DataFrame) -> DataFrame:
         F.min(kept_pickup).alias("min_pickup_ts"),
         F.max(kept_pickup).alias("max_pickup_ts"),
     )
+
+
+def zone_accounting(zones: DataFrame) -> DataFrame:
+    """Rows of the zone table, those with an id, and ids that are listed more than once."""
+    ids = zones.groupBy("location_id").agg(F.count("*").alias("entries"))
+    known = F.col("location_id").isNotNull()
+    return ids.agg(
+        F.coalesce(F.sum("entries"), F.lit(0)).alias("raw_rows"),
+        F.coalesce(F.sum(F.when(known, F.col("entries"))), F.lit(0)).alias("prepared_rows"),
+        F.coalesce(F.sum(F.when(~known, F.col("entries"))), F.lit(0)).alias("null_id_rows"),
+        F.count_if(known & (F.col("entries") > 1)).alias("repeated_ids"),
+    )

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripfold import schemas
+from tripfold.sources.prepare import KEPT, STATUS
 
 
 def read_gps_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -32,18 +34,29 @@ def _read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
+def read_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Every row of a prepared table, rejects included."""
+    return spark.read.parquet(path)
+
+
 def read_trips(spark: SparkSession, path: str) -> DataFrame:
     """Prepared trips; partition columns come from the directories.
 
-    For a table written by the prepare job, the trips are those of ``rows/ingest_status=kept``.
+    A table that still holds rejects, as the prepare job writes it, gives its kept rows; the
+    filter is on a partition column and prunes their directories.
     """
-    return spark.read.parquet(path)
+    rows = read_rows(spark, path)
+    if STATUS in rows.columns:
+        rows = rows.filter(F.col(STATUS) == KEPT).drop(STATUS)
+    return rows
 
 
-def read_zones(spark: SparkSession, path: str) -> DataFrame:
-    """Zone dimension from Parquet, or from CSV when the path says so."""
-    if path.endswith(".csv"):
+def read_zones(spark: SparkSession, path: str, kind: str = "parquet") -> DataFrame:
+    """Zone dimension from ``parquet`` or ``csv``, a file or a folder of them."""
+    if kind == "csv":
         return read_zones_csv(spark, path)
+    if kind != "parquet":
+        raise ValueError(f"zones are parquet or csv, not {kind}")
     return spark.read.parquet(path).withColumnsRenamed(schemas.CANONICAL_NAMES)
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,14 +12,17 @@ SHARED_FOLDER = "spark.checkpoint.dir"
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path under the shared folder the session names.
 
-    Only a local session without that setting gets a folder on this machine.
+    There is no fallback: a folder of this machine is refused unless the executors run on it.
     """
-    shared = spark.conf.get(SHARED_FOLDER, None)
-    if shared:
-        return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix=f"{purpose}-")
-    raise ValueError(f"set {SHARED_FOLDER} to a folder all executors share")
+    return f"{shared_root(spark.conf.get(SHARED_FOLDER, None), spark.sparkContext.master)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def shared_root(shared: str | None, master: str) -> str:
+    if not shared:
+        raise ValueError(f"set {SHARED_FOLDER} to a folder all executors share")
+    if shared.startswith("file:") and not master.startswith("local"):
+        raise ValueError(f"{SHARED_FOLDER} is on one machine, {shared}: executors elsewhere miss it")
+    return shared.rstrip("/")
 
 
 def materialised(frame: DataFrame, path: str) -> DataFrame:

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import io
 from collections.abc import Mapping
-from contextlib import redirect_stdout
 
 from pyspark.sql import DataFrame
 
@@ -33,12 +31,3 @@ def write_sections(sections: Mapping[str, DataFrame], path: str) -> None:
     """
     for name, frame in sections.items():
         frame.write.mode("overwrite").json(f"{path}/{name}")
-
-
-def write_plan(frame: DataFrame, path: str) -> None:
-    """Write the formatted physical plan of a frame as text."""
-    plan = io.StringIO()
-    with redirect_stdout(plan):
-        frame.explain("formatted")
-    text = frame.sparkSession.createDataFrame([(plan.getvalue(),)], "plan string")
-    text.coalesce(1).write.mode("overwrite").text(path)

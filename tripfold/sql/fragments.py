@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from tripfold.functions.clock import LAST_TIME_BAND, TIME_BANDS
 from tripfold.functions.money import DISTANCE_BUCKETS, LAST_DISTANCE_BUCKET
-from tripfold.functions.numbers import GUARD_DIGITS
+from tripfold.functions.numbers import EXACT
 from tripfold.params import SpecialZones, TripWindow
 from tripfold.schemas import SURCHARGES
 
@@ -32,9 +33,29 @@ def double(value: float) -> str:
     return f"{float(value)!r}D"
 
 
+def exact_sum(name: str) -> str:
+    """Sum of a column as a double, whatever order its rows come in."""
+    held = f"try_cast({name} AS {EXACT})"
+    total, rest = f"cast(sum({held}) AS double)", f"sum(if({held} IS NULL, cast({name} AS double), NULL))"
+    return f"if({rest} IS NULL, {total}, coalesce({total}, 0e0) + {rest})"
+
+
+def exact_avg(name: str) -> str:
+    return f"try_divide({exact_sum(name)}, count({name}))"
+
+
+def exact(value: str) -> str:
+    """An expression with the sums and averages of plain columns in it made exact."""
+    forms = {"sum": exact_sum, "avg": exact_avg}
+    return re.sub(r"\b(sum|avg)\((\w+)\)(?!\s*OVER)", lambda m: forms[m[1]](m[2]), value)
+
+
+def measured(value: str, scale: int) -> str:
+    return rounded(exact(value), scale)
+
+
 def rounded(value: str, scale: int) -> str:
-    near = f"try_cast({value} AS decimal(28,{scale + GUARD_DIGITS}))"
-    return f"cast(round({near}, {scale}) AS double)"
+    return f"round(cast({value} AS double), {scale})"
 
 
 def banded(value: str, upper_bounds: Sequence[tuple[float, str]], last: str) -> str:

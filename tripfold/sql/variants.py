@@ -7,9 +7,13 @@ over the grouped rows: the text reads the facts twice and serves as an independe
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 
 from tripfold.functions.geo import EARTH_RADIUS_KM, KM_PER_MILE
+from tripfold.functions.money import CARD, CASH
 from tripfold.operators.congestion import ROUTE_WINDOW
 from tripfold.operators.imbalance import BALANCE_WINDOW
 from tripfold.operators.payments import PAYMENT_WINDOW
@@ -25,6 +29,8 @@ from tripfold.params import (
 from tripfold.sql.fragments import (
     distance_bucket,
     double,
+    exact_sum,
+    measured,
     predicate,
     rounded,
     special,
@@ -47,11 +53,11 @@ def demand_topk(
                 pickup_hour,
                 count(*) AS trips,
                 count(DISTINCT pu_location_id) AS unique_pickup_zones,
-                {rounded("avg(passenger_count)", 2)} AS avg_passenger_count,
-                {rounded("avg(duration_minutes)", 2)} AS avg_duration_minutes,
-                {rounded("avg(trip_distance)", 2)} AS avg_trip_distance,
-                {rounded("avg(total_amount)", 2)} AS avg_total_amount,
-                {rounded("sum(total_amount)", 2)} AS total_revenue
+                {measured("avg(passenger_count)", 2)} AS avg_passenger_count,
+                {measured("avg(duration_minutes)", 2)} AS avg_duration_minutes,
+                {measured("avg(trip_distance)", 2)} AS avg_trip_distance,
+                {measured("avg(total_amount)", 2)} AS avg_total_amount,
+                {measured("sum(total_amount)", 2)} AS total_revenue
             FROM windowed
             GROUP BY pickup_date, pickup_hour
         )
@@ -76,6 +82,7 @@ def revenue_topk(
     min_support: int = DEFAULT_SUPPORT,
     k: int = DEFAULT_K,
 ) -> DataFrame:
+    surcharges = f"({surcharge_total(trips.columns)})"
     return trips.sparkSession.sql(
         f"""
         SELECT
@@ -83,14 +90,14 @@ def revenue_topk(
             zone AS pickup_zone,
             {distance_bucket("trip_distance")} AS distance_bucket,
             count(*) AS trips,
-            {rounded("sum(total_amount)", 2)} AS total_revenue,
-            {rounded("avg(total_amount)", 2)} AS avg_revenue_per_trip,
-            {rounded("try_divide(sum(total_amount), sum(trip_distance))", 2)} AS revenue_per_mile,
-            {rounded("try_divide(sum(total_amount), sum(duration_minutes))", 2)}
+            {measured("sum(total_amount)", 2)} AS total_revenue,
+            {measured("avg(total_amount)", 2)} AS avg_revenue_per_trip,
+            {measured("try_divide(sum(total_amount), sum(trip_distance))", 2)} AS revenue_per_mile,
+            {measured("try_divide(sum(total_amount), sum(duration_minutes))", 2)}
                 AS revenue_per_minute,
-            {rounded("avg(fare_amount)", 2)} AS avg_fare_amount,
-            {rounded("avg(tip_amount)", 2)} AS avg_tip_amount,
-            {rounded(f"try_divide(sum({surcharge_total(trips.columns)}), sum(total_amount))", 4)}
+            {measured("avg(fare_amount)", 2)} AS avg_fare_amount,
+            {measured("avg(tip_amount)", 2)} AS avg_tip_amount,
+            {measured(f"try_divide({exact_sum(surcharges)}, sum(total_amount))", 4)}
                 AS surcharge_share
         FROM {{trips}} JOIN {{zones}} ON pu_location_id = location_id
         WHERE {predicate(window)}
@@ -122,12 +129,12 @@ def register_paid_trips(
 
 
 def payment_hourly(trips: DataFrame, window: TripWindow = PAYMENT_WINDOW) -> DataFrame:
-    """Payment mix through registered views: a trips view, and one derived from it in SQL."""
-    trips.createOrReplaceTempView("tripfold_trips")
-    register_paid_trips("tripfold_paid_trips", "tripfold_trips", trips, window)
+    """Payment mix per hour, through registered views."""
     share = "trips / sum(trips) OVER (PARTITION BY pickup_hour)"
-    return trips.sparkSession.sql(
-        f"""
+    return _over_paid_trips(
+        trips,
+        window,
+        lambda paid: f"""
         SELECT
             pickup_hour,
             payment_type,
@@ -139,21 +146,78 @@ def payment_hourly(trips: DataFrame, window: TripWindow = PAYMENT_WINDOW) -> Dat
                 pickup_hour,
                 payment_type,
                 count(*) AS trips,
-                {rounded("avg(fare_amount)", 2)} AS avg_fare_amount,
-                {rounded("avg(total_amount)", 2)} AS avg_total_amount,
-                {rounded("avg(tip_amount)", 2)} AS avg_tip_amount,
-                {rounded("avg(tip_rate)", 4)} AS tip_rate,
-                {rounded("avg(zero_tip)", 4)} AS zero_tip_share,
-                {rounded("avg(trip_distance)", 2)} AS avg_trip_distance,
-                {rounded("avg(duration_minutes)", 2)} AS avg_duration_minutes
-            FROM tripfold_paid_trips
+                {measured("avg(fare_amount)", 2)} AS avg_fare_amount,
+                {measured("avg(total_amount)", 2)} AS avg_total_amount,
+                {measured("avg(tip_amount)", 2)} AS avg_tip_amount,
+                {measured("avg(tip_rate)", 4)} AS tip_rate,
+                {measured("avg(zero_tip)", 4)} AS zero_tip_share,
+                {measured("avg(trip_distance)", 2)} AS avg_trip_distance,
+                {measured("avg(duration_minutes)", 2)} AS avg_duration_minutes
+            FROM {paid}
             GROUP BY pickup_hour, payment_type
         )
         ORDER BY pickup_hour, payment_type
-        """
+        """,
+    )
+
+
+def vendor_payment_share(trips: DataFrame, window: TripWindow = PAYMENT_WINDOW) -> DataFrame:
+    share = "trips / sum(trips) OVER (PARTITION BY vendor_id)"
+    return _over_paid_trips(
+        trips,
+        window,
+        lambda paid: f"""
+        SELECT vendor_id, payment_type, trips, {rounded(share, 4)} AS payment_share
+        FROM (SELECT vendor_id, payment_type, count(*) AS trips FROM {paid} GROUP BY ALL)
+        ORDER BY vendor_id, payment_type
+        """,
+    )
+
+
+def payment_card_vs_cash(trips: DataFrame, window: TripWindow = PAYMENT_WINDOW) -> DataFrame:
+    """Card and cash side by side per hour, from measures split into two columns each."""
+    split = ", ".join(
+        f"if(payment_type = {code}, {name}, NULL) AS {name}_{kind}"
+        for name in ("total_amount", "fare_amount", "tip_rate")
+        for code, kind in ((CARD, "card"), (CASH, "cash"))
+    )
+    return _over_paid_trips(
+        trips,
+        window,
+        lambda paid: f"""
+        SELECT
+            pickup_hour,
+            count_if(payment_type = {CARD}) AS card_trips,
+            count_if(payment_type = {CASH}) AS cash_trips,
+            {rounded(f"count_if(payment_type = {CARD}) / count(*)", 4)} AS card_share,
+            {measured("avg(total_amount_card)", 2)} AS avg_total_card,
+            {measured("avg(total_amount_cash)", 2)} AS avg_total_cash,
+            {measured("avg(fare_amount_card)", 2)} AS avg_fare_card,
+            {measured("avg(fare_amount_cash)", 2)} AS avg_fare_cash,
+            {measured("avg(tip_rate_card)", 4)} AS avg_tip_rate_card
+        FROM (SELECT pickup_hour, payment_type, {split} FROM {paid})
+        GROUP BY pickup_hour
+        ORDER BY pickup_hour
+        """,
     )
 
 
+def _over_paid_trips(trips: DataFrame, window: TripWindow, text: Callable[[str], str]) -> DataFrame:
+    """A query over a view derived in SQL from a view of the trips.
+
+    The names are new ones each time, and the views go once the query is analysed.
+    """
+    spark, suffix = trips.sparkSession, uuid.uuid4().hex
+    base, paid = f"trips_{suffix}", f"paid_trips_{suffix}"
+    trips.createOrReplaceTempView(base)
+    try:
+        register_paid_trips(paid, base, trips, window)
+        return spark.sql(text(paid))
+    finally:
+        spark.catalog.dropTempView(paid)
+        spark.catalog.dropTempView(base)
+
+
 def flows_by_borough(
     trips: DataFrame,
     zones: DataFrame,
@@ -185,11 +249,11 @@ def flows_by_borough(
             do_borough,
             count(*) AS trips,
             {rounded(share, 2)} AS trip_share_percent,
-            {rounded("sum(total_amount)", 2)} AS total_revenue,
-            {rounded("avg(total_amount)", 2)} AS avg_total_amount,
-            {rounded("avg(trip_distance)", 2)} AS avg_trip_distance,
-            {rounded("avg(duration_minutes)", 2)} AS avg_duration_minutes,
-            {rounded("avg(is_airport_trip) * 100", 2)} AS airport_trip_share_percent
+            {measured("sum(total_amount)", 2)} AS total_revenue,
+            {measured("avg(total_amount)", 2)} AS avg_total_amount,
+            {measured("avg(trip_distance)", 2)} AS avg_trip_distance,
+            {measured("avg(duration_minutes)", 2)} AS avg_duration_minutes,
+            {measured("avg(is_airport_trip) * 100", 2)} AS airport_trip_share_percent
         FROM flagged
         GROUP BY pu_borough, do_borough
         ORDER BY trips DESC, pu_borough, do_borough
@@ -209,26 +273,22 @@ def imbalance_topk(
 ) -> DataFrame:
     return trips.sparkSession.sql(
         f"""
-        WITH windowed AS (
-            SELECT pickup_hour, pu_location_id, do_location_id
+        WITH ends AS (
+            SELECT pickup_hour, stack(2, true, pu_location_id, false, do_location_id)
+                AS (leaves, location_id)
             FROM {{trips}}
             WHERE {predicate(window)}
-        ), leaving AS (
-            SELECT pickup_hour, pu_location_id AS location_id, count(*) AS n
-            FROM windowed GROUP BY ALL
-        ), arriving AS (
-            SELECT pickup_hour, do_location_id AS location_id, count(*) AS n
-            FROM windowed GROUP BY ALL
         ), balance AS (
             SELECT
                 pickup_hour,
                 location_id,
-                coalesce(leaving.n, 0) AS pickups,
-                coalesce(arriving.n, 0) AS dropoffs,
+                count_if(leaves) AS pickups,
+                count_if(NOT leaves) AS dropoffs,
                 pickups + dropoffs AS activity,
                 pickups - dropoffs AS net_pickups,
-                coalesce(try_divide(net_pickups, activity), 0e0) AS imbalance_ratio
-            FROM leaving FULL JOIN arriving USING (pickup_hour, location_id)
+                net_pickups / activity AS imbalance_ratio
+            FROM ends
+            GROUP BY pickup_hour, location_id, if(location_id IS NULL, leaves, NULL)
         )
         SELECT
             balance.*,
@@ -249,35 +309,31 @@ def imbalance_topk(
 def route_quality_by_hour(
     trips: DataFrame,
     window: TripWindow = ROUTE_WINDOW,
-    year: int = 2015,
+    year: int | None = None,
     box: BoundingBox = BoundingBox(),
     slow_below_kmh: float = 10.0,
     slow_from_km: float = 1.0,
     scale: int = 6,
 ) -> DataFrame:
+    """Averages and exact percentiles from one table of counts and sums per hour and duration."""
+
     def inside(limits: tuple[float, float]) -> str:
         return f"BETWEEN {double(limits[0])} AND {double(limits[1])}"
 
     def shown(value: str, name: str) -> str:
         return f"{rounded(value, scale)} AS {name}"
 
+    def cut(share: float) -> str:
+        return f"min(CASE WHEN running >= {double(share)} * n_in_hour THEN duration_minutes END)"
+
+    slow = f"if(speed_kmh < {double(slow_below_kmh)} AND metered_km >= {double(slow_from_km)}, 1, 0)"
+    in_year = "true" if year is None else (
+        f"pickup_ts >= TIMESTAMP_NTZ'{int(year):04d}-01-01 00:00:00'"
+        f" AND pickup_ts < TIMESTAMP_NTZ'{int(year) + 1:04d}-01-01 00:00:00'"
+    )
     return trips.sparkSession.sql(
         f"""
-        SELECT
-            pickup_hour,
-            count(*) AS trips,
-            {shown("avg(duration_minutes)", "avg_duration_minutes")},
-            {shown("percentile_approx(duration_minutes, 0.5)", "median_duration_minutes")},
-            {shown("percentile_approx(duration_minutes, 0.9)", "p90_duration_minutes")},
-            {shown("avg(speed_kmh)", "avg_speed_kmh")},
-            {shown("sum(metered_km) / sum(duration_minutes / 60e0)", "agg_speed_kmh")},
-            {shown("avg(straight_km)", "avg_haversine_km")},
-            {shown("avg(metered_km - straight_km)", "avg_distance_gap_km")},
-            {shown("avg(if(straight_km > 0.2e0, metered_km / straight_km, NULL))",
-                   "avg_detour_ratio")},
-            {shown(f"avg(if(speed_kmh < {double(slow_below_kmh)} AND metered_km >= {double(slow_from_km)},"
-                   " 1, 0))", "congestion_candidate_share")}
-        FROM (
+        WITH measured AS (
             SELECT
                 pickup_hour,
                 duration_minutes,
@@ -287,16 +343,50 @@ def route_quality_by_hour(
                 pow(sin(radians(dropoff_longitude - pickup_longitude) / 2), 2) AS east,
                 north + cos(radians(pickup_latitude)) * cos(radians(dropoff_latitude)) * east
                     AS chord,
-                {double(2 * EARTH_RADIUS_KM)} * asin(sqrt(least(chord, 1e0))) AS straight_km
+                {double(2 * EARTH_RADIUS_KM)} * asin(sqrt(least(chord, 1e0))) AS straight_km,
+                if(straight_km > 0.2e0, metered_km / straight_km, NULL) AS detour
             FROM {{trips}}
             WHERE {predicate(window)}
-                AND year(pickup_ts) = {int(year)}
+                AND {in_year}
+                AND pickup_ts IS NOT NULL
                 AND dropoff_ts IS NOT NULL
                 AND pickup_latitude {inside(box.latitude)}
                 AND dropoff_latitude {inside(box.latitude)}
                 AND pickup_longitude {inside(box.longitude)}
                 AND dropoff_longitude {inside(box.longitude)}
+        ), counted AS (
+            SELECT
+                pickup_hour,
+                duration_minutes,
+                count(*) AS n,
+                sum(speed_kmh) AS speed,
+                sum(metered_km) AS metered,
+                sum(straight_km) AS straight,
+                sum(detour) AS detours,
+                count(detour) AS n_detours,
+                sum({slow}) AS slow
+            FROM measured
+            GROUP BY pickup_hour, duration_minutes
+        ), ranked AS (
+            SELECT
+                *,
+                sum(n) OVER (PARTITION BY pickup_hour ORDER BY duration_minutes) AS running,
+                sum(n) OVER (PARTITION BY pickup_hour) AS n_in_hour
+            FROM counted
         )
+        SELECT
+            pickup_hour,
+            sum(n) AS trips,
+            {shown("sum(duration_minutes * n) / sum(n)", "avg_duration_minutes")},
+            {shown(cut(0.5), "median_duration_minutes")},
+            {shown(cut(0.9), "p90_duration_minutes")},
+            {shown("sum(speed) / sum(n)", "avg_speed_kmh")},
+            {shown("sum(metered) / sum(duration_minutes / 60e0 * n)", "agg_speed_kmh")},
+            {shown("sum(straight) / sum(n)", "avg_haversine_km")},
+            {shown("(sum(metered) - sum(straight)) / sum(n)", "avg_distance_gap_km")},
+            {shown("try_divide(sum(detours), sum(n_detours))", "avg_detour_ratio")},
+            {shown("sum(slow) / sum(n)", "congestion_candidate_share")}
+        FROM ranked
         GROUP BY pickup_hour
         ORDER BY pickup_hour
         """,

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tripfold.sources.prepare import prepared_trips
+from tripfold.sources.prepare import STATUS, tagged_trips
 
 
 def read_arriving_csv(
@@ -32,12 +32,16 @@ def prepare_available(
     checkpoint: str,
     partition_by: str = "pickup_day",
 ) -> StreamingQuery:
-    """Prepare everything that has arrived since the last run, then stop."""
+    """Prepare everything that has arrived since the last run, then stop.
+
+    Rows land as the batch job writes them: tagged, rejects in partitions of their own, so that
+    ``read_trips`` and ``accounting_of`` work on either table.
+    """
     return (
-        prepared_trips(raw, layout, year)
-        .hint("rebalance", partition_by)
+        tagged_trips(raw, layout, year)
+        .hint("rebalance", STATUS, partition_by)
         .writeStream.format("parquet")
-        .partitionBy(partition_by)
+        .partitionBy(STATUS, partition_by)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(availableNow=True)

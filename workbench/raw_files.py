@@ -66,12 +66,12 @@ def zoned_csv(spark: SparkSession, sf_dir: str) -> str:
             "payment_type",
             "fare_amount",
             "extra",
-            _blank("double", "mta_tax"),
+            "mta_tax",
             "tip_amount",
-            _blank("double", "tolls_amount"),
-            _blank("double", "improvement_surcharge"),
+            "tolls_amount",
+            "improvement_surcharge",
             "total_amount",
-            _blank("double", "congestion_surcharge"),
+            "congestion_surcharge",
             F.col("airport_fee").alias("Airport_fee"),
         ).write.option("header", True).csv(path)
 
@@ -94,10 +94,10 @@ def gps_csv(spark: SparkSession, sf_dir: str) -> str:
             "payment_type",
             "fare_amount",
             "extra",
-            _blank("double", "mta_tax"),
+            "mta_tax",
             "tip_amount",
-            _blank("double", "tolls_amount"),
-            _blank("double", "improvement_surcharge"),
+            "tolls_amount",
+            "improvement_surcharge",
             "total_amount",
         ).write.option("header", True).csv(path)
 

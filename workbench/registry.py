@@ -183,6 +183,15 @@ def revenue_adaptive_support(spark, sf_dir):
     )
 
 
+@query
+def revenue_adaptive_between(spark, sf_dir):
+    """A share of the trips that puts the threshold between its bounds at sf0.01."""
+    rule = AdaptiveSupport(share=0.004)
+    return revenue.revenue_by_zone_bucket(
+        trips(spark, sf_dir), zones(spark, sf_dir), PRICED, rule
+    )
+
+
 @query
 def revenue_unsupported_extreme(spark, sf_dir):
     return _revenue_topk(spark, sf_dir, "revenue_per_mile", 0, k=1)
@@ -216,6 +225,16 @@ def payment_hourly_sql(spark, sf_dir):
     return variants.payment_hourly(trips(spark, sf_dir), PRICED)
 
 
+@query
+def vendor_payment_share_sql(spark, sf_dir):
+    return variants.vendor_payment_share(trips(spark, sf_dir), PRICED)
+
+
+@query
+def payment_card_vs_cash_sql(spark, sf_dir):
+    return variants.payment_card_vs_cash(trips(spark, sf_dir), PRICED)
+
+
 @query
 def vendor_payment_share(spark, sf_dir):
     return payments.vendor_payment_share(trips(spark, sf_dir), PRICED)
@@ -446,13 +465,13 @@ def amount_histogram(spark, sf_dir):
 
 
 @query
-def distance_histogram_lowest(spark, sf_dir):
-    return profile.lowest_buckets(trips(spark, sf_dir), "trip_distance", 100)
+def distance_bucket_counts(spark, sf_dir):
+    return profile.bucket_counts(trips(spark, sf_dir), "trip_distance")
 
 
 @query
-def amount_histogram_lowest(spark, sf_dir):
-    return profile.lowest_buckets(trips(spark, sf_dir), "total_amount", 200)
+def amount_bucket_counts(spark, sf_dir):
+    return profile.bucket_counts(trips(spark, sf_dir), "total_amount")
 
 
 def _shown(frame: DataFrame) -> DataFrame:

@@ -30,7 +30,8 @@ SCHEMAS = {
 }
 
 # A trip per line item: ends from customer and supplier, money from the item, times made from
-# the order date and the keys, with nulls and zeros on purpose.
+# the order date and the keys, with nulls, zeros, negative fares and zone ids that no zone has
+# on purpose.
 TRIP_COLUMNS = (
     "l_orderkey",
     "l_linenumber",
@@ -40,12 +41,17 @@ TRIP_COLUMNS = (
     "timestampadd(SECOND, datediff(l_shipdate, o_orderdate) * 6, pickup_ts) AS dropoff_ts",
     "nullif(l_linenumber, 7) AS passenger_count",
     "l_quantity / 4 AS trip_distance",
-    "c_nationkey AS pu_location_id",
-    "s_nationkey + 5 AS do_location_id",
+    "CASE WHEN l_orderkey % 31 = 0 THEN NULL WHEN l_orderkey % 37 = 0 THEN c_nationkey + 100"
+    " ELSE c_nationkey END AS pu_location_id",
+    "if(l_orderkey % 41 = 0, NULL, s_nationkey + 5) AS do_location_id",
     "CASE l_returnflag WHEN 'A' THEN 1 WHEN 'R' THEN 2 ELSE 3 END AS payment_type",
-    "l_extendedprice AS fare_amount",
+    "if(l_orderkey % 89 = 0, -l_extendedprice, l_extendedprice) AS fare_amount",
     "if(l_returnflag = 'A', l_extendedprice * l_discount, 0e0) AS tip_amount",
     "l_extendedprice * l_tax AS extra",
+    "if(l_linenumber = 5, NULL, 0.5e0) AS mta_tax",
+    "if(l_linenumber % 3 = 0, 6.55e0, 0e0) AS tolls_amount",
+    "if(l_suppkey % 5 = 0, NULL, 0.3e0) AS improvement_surcharge",
+    "if(l_suppkey % 4 = 0, NULL, 2.5e0) AS congestion_surcharge",
     "CASE WHEN l_linestatus = 'F' THEN NULL WHEN l_linenumber = 6 THEN 1.75e0 ELSE 0e0 END"
     " AS airport_fee",
     "l_extendedprice * (1 + l_tax) AS total_amount",
@@ -76,9 +82,7 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One trip per line item.
 
     The order side is joined with its customers first, so line items, the big side, are
-    shuffled once, by order. Both sides of that join grow with the data, so it is asked for
-    as a sort-merge join, which spills and which adaptive execution can split on a hot key;
-    the others are left to Spark's size check.
+    shuffled once, by order. All joins are left to Spark's size check.
     """
     lineitem = table(spark, sf_dir, "lineitem")
     supplier = table(spark, sf_dir, "supplier")
@@ -86,6 +90,6 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     placed = orders.join(customer, orders.o_custkey == customer.c_custkey)
     joined = lineitem.join(
-        placed.hint("merge"), lineitem.l_orderkey == placed.o_orderkey
+        placed, lineitem.l_orderkey == placed.o_orderkey
     ).join(supplier, lineitem.l_suppkey == supplier.s_suppkey)
     return with_measures(with_calendar(joined.selectExpr(*TRIP_COLUMNS)))
