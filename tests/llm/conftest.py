@@ -45,4 +45,4 @@ ODD = [
     "same text here\nwith two lines",
     "same text here\nwith two lines",
 ]
-CLASHING = ("hash", "word", "line", "doc", "key", "print", "label", "task", "shard", "N_Lines", "rank", "item", "h1")
+CLASHING = ("row_key", "rejected", "stays", "found", "size", "highest", "hash", "word", "line", "doc", "key", "print", "label", "task", "shard", "N_Lines", "rank", "item", "h1")

@@ -42,6 +42,17 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def matched_rows(documents: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """``left_semi`` or ``left_anti`` join of documents with (doc_id, hash of text) rows.
+
+    The keys go in as one struct under a name the documents do not have; null ids match.
+    """
+    name = fresh_name(documents, "row_key")
+    wanted = keys.select(F.struct("doc_id", "hash").alias(name))
+    own = F.struct(F.col("doc_id").cast("bigint").alias("doc_id"), row_key().alias("hash"))
+    return documents.join(small_side(wanted), own.eqNullSafe(F.col(name)), how)
+
+
 def row_key(text: str = "text") -> Column:
     """Tells rows of one document id apart by their text; equal rows share it."""
     return F.xxhash64(F.col(text))

@@ -21,12 +21,10 @@ The main path is DataFrame functions only.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripfold.llm.common import row_key, small_side, staged
+from tripfold.llm.common import matched_rows, row_key, small_side, staged
 
 SHINGLE_WORDS = 5
 CONTAINMENT = 0.8
@@ -188,9 +186,6 @@ def without_contaminated(
     documents: DataFrame, items: DataFrame, threshold: float = CONTAINMENT
 ) -> DataFrame:
     """The documents, all columns, that contain no item. Null texts stay."""
-    doc = F.struct(F.col("doc_id").alias("id"), row_key().alias("hash"))
-    found = staged(
-        contained_items(documents, items, threshold).select(F.col("doc").alias("found")).distinct(),
-        "contaminated",
-    )
-    return documents.join(small_side(found), doc.eqNullSafe(F.col("found")), "left_anti")
+    pairs = contained_items(documents, items, threshold)
+    found = staged(pairs.select(F.col("doc.id").alias("doc_id"), "doc.hash").distinct(), "contaminated")
+    return matched_rows(documents, found, "left_anti")

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripfold.llm.common import row_key, small_side, staged, whole_text
+from tripfold.llm.common import matched_rows, row_key, staged, whole_text
 
 SAMPLE = 300  # documents per language at most
 SAMPLE_WORDS = 250_000  # words of training sequences at most
@@ -381,8 +381,6 @@ def with_language(documents: DataFrame, model: Field, least: float = LEAST_SCORE
     """The documents, all columns, whose text has a language with a score of ``least`` or more."""
     unfit = (F.col("lang_pred") == UNKNOWN) | (F.col("score") < least)
     rejected = staged(
-        identify(documents, model).where(unfit).select(F.struct("doc_id", "hash").alias("rejected")).distinct(),
-        "no-language",
+        identify(documents, model).where(unfit).select("doc_id", "hash").distinct(), "no-language"
     )
-    key = F.struct(F.col("doc_id").cast("bigint").alias("doc_id"), row_key().alias("hash"))
-    return documents.join(small_side(rejected), key.eqNullSafe(F.col("rejected")), "left_anti")
+    return matched_rows(documents, rejected, "left_anti")

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripfold.llm.common import row_key, small_side, staged, whole_text
+from tripfold.llm.common import matched_rows, row_key, small_side, staged, whole_text
 from tripfold.llm.components import components
 
 SHINGLE_WORDS = 4
@@ -337,12 +337,10 @@ def one_of_each(documents: DataFrame, radius: int = RADIUS) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "hash")
     kept = staged(groups.groupBy("root").agg(F.min(order).alias("kept"), F.count("*").alias("rows")), "kept")
     keys = kept.select("kept.doc_id", "kept.hash")
-    key = F.struct(F.col("doc_id").cast("bigint").alias("doc_id"), row_key().alias("hash"))
+    result = matched_rows(documents, keys, "left_semi")
     stays = small_side(keys.select(F.struct("doc_id", "hash").alias("stays")))
-    result = documents.join(stays, key.eqNullSafe(F.col("stays")), "left_semi")
-    repeated = groups.join(
-        stays, F.struct("doc_id", "hash").eqNullSafe(F.col("stays")), "left_semi"
-    ).count() > kept.count()
+    rows = groups.join(stays, F.struct("doc_id", "hash").eqNullSafe(F.col("stays")), "left_semi")
+    repeated = rows.count() > kept.count()
     # Only a table that repeats kept rows whole needs them made one.
     return result.dropDuplicates(["doc_id", "text"]) if repeated else result
 
