@@ -26,6 +26,8 @@ from workbench.registry import BALANCE, HOURS, NARROW, PRICED, REGISTRY, ROUTE,
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8)))
+# Shuffle partitions tried for the change between periods; cores are BENCH_CPUS.
+SWEEP = (1, 4, 16, 64)
 REPEATS = int(os.environ.get("BENCH_REPEATS", "3"))
 
 FROM_TABLES = (
@@ -77,6 +79,13 @@ def prepared_cases(spark, zones):
         # one conditional aggregate against two aggregates and a join
         "prepared.od_change": lambda: periods.od_period_change(trips, min_support=2),
         "prepared.od_change_join": lambda: periods.od_period_join(trips, min_support=2),
+        # the same rows over few and many shuffle partitions
+        **{
+            f"prepared.od_change_p{n}": spread_over(
+                spark, n, lambda: periods.od_period_change(trips, min_support=2)
+            )
+            for n in SWEEP
+        },
         # Parquet against CSV
         "prepared.payment_counts": lambda: payments.payment_counts(trips),
         "csv.payment_counts": lambda: payments.payment_counts(csv),
@@ -85,6 +94,26 @@ def prepared_cases(spark, zones):
     }
 
 
+def spread_over(spark, partitions: int, build):
+    """Build with so many shuffle partitions, none of them coalesced."""
+
+    def under_settings():
+        spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        return build()
+
+    return under_settings
+
+
+def usual(spark, build):
+    def under_settings():
+        spark.conf.set("spark.sql.shuffle.partitions", str(CPUS))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        return build()
+
+    return under_settings
+
+
 def run_once(build) -> tuple[float, float]:
     """Seconds for everything, and for the action alone without declaring the columns."""
     started = time.perf_counter()
@@ -117,6 +146,7 @@ def main() -> None:
     staging_sec = time.perf_counter() - started
 
     cases = {name: from_tables(name) for name in FROM_TABLES} | staged
+    cases = {n: b if "_change_p" in n else usual(spark, b) for n, b in cases.items()}
     times = {name: [] for name in cases}
     for build in cases.values():
         run_once(build)

@@ -80,7 +80,7 @@ def main() -> None:
         "flows": lambda out: reports.flow_report(trips, zones, window, out, SPECIAL),
         "imbalance": lambda out: reports.imbalance_report(trips, zones, window, out),
         "periods": lambda out: reports.period_report(trips, out),
-        "profile": lambda out: reports.profile_report(trips, zones),
+        "profile": lambda out: reports.profile_report(trips, zones, out),
     }
     seconds = {}
     for attempt in ("warm-up", "timed"):

@@ -676,6 +676,22 @@ ORACLE: dict[str, str] = {
     ),
 }
 
+ORACLE |= {
+    "zones_accounting": f"""
+    WITH {ZONES}
+    SELECT count(*) AS raw_rows,
+        count(*) FILTER (location_id % 10 <> 3) AS prepared_rows,
+        count(*) FILTER (location_id % 10 = 3) AS null_id_rows,
+        0::BIGINT AS repeated_ids
+    FROM zones""",
+    "zones_overwritten": f"WITH {ZONES} SELECT location_id, borough, zone, service_zone FROM zones",
+    "demand_in_order": over_trips(
+        """
+    SELECT pickup_hour, count(*) AS trips, row_number() OVER (ORDER BY pickup_hour) AS place
+    FROM trips GROUP BY pickup_hour"""
+    ),
+}
+
 # Forms of one question share its text.
 ORACLE |= {
     "vendor_payment_share_sql": ORACLE["vendor_payment_share"],

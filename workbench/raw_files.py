@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripfold.sources.staging import new_folder
-from tripfold.sources.writers import write_partitioned
+from tripfold.sources.writers import write_partitioned, write_table
 from workbench import tables
 
 # Every so many orders get a pickup time that does not parse, to exercise the rejects.
@@ -131,6 +131,17 @@ def trips_by_day(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "trips-by-day", write)
 
 
+def zones_table(spark: SparkSession, sf_dir: str) -> str:
+    """Zones as plain Parquet, written over an earlier table of twice the rows."""
+
+    def write(path: str) -> None:
+        zones = tables.zones(spark, sf_dir)
+        write_table(zones.union(zones), path)
+        write_table(zones, path)
+
+    return _once(spark, sf_dir, "zones-table", write)
+
+
 def report_folder(spark: SparkSession) -> str:
     return new_folder(spark, "report")
 

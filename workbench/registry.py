@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripfold import schemas
 from tripfold.functions import clock, geo
-from tripfold.functions.numbers import rounded
+from tripfold.functions.numbers import exact_sum, rounded
 from tripfold.operators import (
     congestion,
     demand,
@@ -557,6 +557,28 @@ def zones_inferred_csv(spark, sf_dir):
     return readers.read_zones_csv(spark, raw_files.zones_csv(spark, sf_dir), types="inferred")
 
 
+@query
+def zones_accounting(spark, sf_dir):
+    return prepare.zone_accounting(readers.read_zones_csv(spark, raw_files.zones_csv(spark, sf_dir)))
+
+
+@query
+def zones_overwritten(spark, sf_dir):
+    """A plain table written over a larger one: only the second write is there."""
+    path = raw_files.zones_table(spark, sf_dir)
+    return readers.read_zones(spark, path)
+
+
+@query
+def demand_in_order(spark, sf_dir):
+    """The place of every hour in a sorted result; a few hours, so one task numbers them."""
+    ordered = profile.hourly_distribution(trips(spark, sf_dir))
+    row = F.monotonically_increasing_id()  # ascends in the order the rows come in
+    return ordered.withColumn("row", row).select(
+        "pickup_hour", "trips", F.row_number().over(Window.orderBy("row")).cast("bigint").alias("place")
+    )
+
+
 @query
 def payment_counts_csv(spark, sf_dir):
     raw = readers.read_zoned_csv(spark, raw_files.zoned_csv(spark, sf_dir))
@@ -583,7 +605,7 @@ def partitioned_roundtrip(spark, sf_dir):
 
 def _counted(windowed: DataFrame) -> DataFrame:
     return windowed.groupBy("pickup_hour").agg(
-        F.count("*").alias("trips"), rounded(F.sum("total_amount"), 2).alias("total_revenue")
+        F.count("*").alias("trips"), rounded(exact_sum(F.col("total_amount")), 2).alias("total_revenue")
     )
 
 
