@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
 
 import numpy as np
 
@@ -79,9 +78,6 @@ class PieceEncoder:
             stored = self.stored
             return first + b"".join([stored[piece] for piece in pieces]) + tail
 
-    def encode_all(self, texts: list[str]) -> Iterator[bytes]:
-        return map(self.encode, texts)
-
     def _learn(self, pieces: set[str]) -> None:
         if len(self.stored) > STORED_PIECES:
             self.stored = _Refilling(self)
