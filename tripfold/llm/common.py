@@ -11,6 +11,20 @@ from tripfold.sources.staging import materialised, new_folder
 BROADCAST_ROWS = 500_000
 
 
+_HELD: dict[str, object] = {}
+
+
+def held_by_worker(name: str, make):
+    """What a Python worker keeps between tasks under a name, made when it is first asked for.
+
+    A worker outlives the stages it serves; asking for another name lets go of the last.
+    """
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = make()
+    return _HELD[name]
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

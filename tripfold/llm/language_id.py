@@ -34,13 +34,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripfold.llm.common import matched_rows, row_key, staged, whole_text
+from tripfold.llm.common import held_by_worker, matched_rows, row_key, staged, whole_text
 
 SAMPLE = 300  # documents per language at most
 SAMPLE_WORDS = 250_000  # words of training sequences at most
 LEXICON = 4000  # words of the lexicon at most
 BUCKETS = 1 << 15  # hashed features
-STORED_WORDS = 800_000
+STORED_WORDS = 250_000
 SLICE_WORDS = 100_000  # words labelled at once, and one text at least
 BATCH = 64  # sequences in a training step
 BLOCK = 256
@@ -114,9 +114,6 @@ class WordScores:
         return self.table[found]
 
 
-_SCORES: dict[str, WordScores] = {}
-
-
 def _normal(x: np.ndarray) -> np.ndarray:
     return x / x.sum(axis=-1, keepdims=True)
 
@@ -322,10 +319,7 @@ def identify(documents: DataFrame, model: Field) -> DataFrame:
     """doc_id, hash (of the text; tells rows of one id apart), lang_pred and score."""
 
     def scores() -> WordScores:
-        if model.name not in _SCORES:
-            _SCORES.clear()
-            _SCORES[model.name] = WordScores(model)
-        return _SCORES[model.name]
+        return held_by_worker(f"language {model.name}", lambda: WordScores(model))
 
     def identified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

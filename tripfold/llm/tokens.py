@@ -13,21 +13,20 @@ import re
 
 import numpy as np
 
-# Pieces kept per worker; beyond that the store starts anew.
-STORED_PIECES = 500_000
+from tripfold.llm.common import held_by_worker
+
+# Pieces kept per worker; beyond that the store starts anew. Most pieces beyond the frequent ones
+# are met once, so a larger store helps little.
+STORED_PIECES = 250_000
 # So many characters of new pieces go to the library in one call.
 BATCH_CHARS = 4000
 # A character no piece has stands between pieces in a call.
 MARK = "\x01"
 
-_ENCODERS: dict[str, PieceEncoder] = {}
-
 
 def encoder(name: str) -> PieceEncoder:
     """The worker's encoder for a tokenizer file, a path or a name the public set knows."""
-    if name not in _ENCODERS:
-        _ENCODERS[name] = PieceEncoder(name)
-    return _ENCODERS[name]
+    return held_by_worker(f"tokenizer {name}", lambda: PieceEncoder(name))
 
 
 class PieceEncoder:
