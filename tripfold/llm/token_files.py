@@ -54,7 +54,7 @@ def id_lists(encoded: list[bytes]) -> pa.Array:
 
 def list_bytes(column: pa.ListArray) -> Iterator[bytes]:
     """The ids of every row as little-endian unsigned 32-bit integers."""
-    values = column.values.to_numpy(zero_copy_only=False).astype("<u4")
+    values = column.values.to_numpy(zero_copy_only=False).view("<u4")
     offsets = column.offsets.to_numpy()
     for start, end in zip(offsets[:-1], offsets[1:]):
         yield values[start:end].tobytes()

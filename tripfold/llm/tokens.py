@@ -17,7 +17,7 @@ from tripfold.llm.common import held_by_worker
 
 # Pieces kept per worker; beyond that the store starts anew. Most pieces beyond the frequent ones
 # are met once, so a larger store helps little.
-STORED_PIECES = 250_000
+STORED_PIECES = 100_000
 # So many characters of new pieces go to the library in one call.
 BATCH_CHARS = 4000
 # A character no piece has stands between pieces in a call.
