@@ -92,3 +92,24 @@ def test_without_labels_or_rows(spark, documents):
     assert [(r.lang_pred, r.score) for r in li.identify(documents(["the"]), model).collect()] == [("und", 0.0)]
     one = li.fitted(documents(["the word"]))
     assert [(r.lang_pred, r.score) for r in li.identify(documents(["the"]), one).collect()] == [("en", 1.0)]
+
+
+def test_unlearned_languages_and_letter_noise_are_rejected(documents):
+    rng = random.Random(6)
+    model = li.trained([row for row in sample(n=100) if row[1] != "fr"])
+    model.name = "two languages"
+    clean = [text(rng, language, n) for language in ("en", "de") for n in (1, 2, 5, 20, 200) for _ in range(10)]
+    clean += [text(rng, "en", n) + " " + text(rng, "de", n) for n in (1, 3, 20)]
+    foreign = [text(rng, "fr", n) for n in (40, 200)]
+    noise = ["".join(rng.choice("bcdfghjklmnpqrstvwxz   ") for _ in range(n)) for n in (60, 300, 3000)]
+    rows = list(enumerate(clean + foreign + noise))
+    kept = {r.doc_id for r in li.with_language(documents(rows), model).collect()}
+    assert kept == set(range(len(clean)))
+
+
+def test_one_language_can_reject():
+    model = li.trained([(t, language) for t, language in sample(n=100) if language == "en"]).with_spelling()
+    rng, fit = random.Random(8), []
+    texts = [li.words_of(t) for t in (text(rng, "en", 30), "zq xvj qqk wzzx " * 10, text(rng, "de", 60))]
+    li._decide(texts, model, li.WordScores(model, True), [], [], fit)
+    assert fit == [True, False, False]

@@ -10,6 +10,12 @@ Documents carry one label each, so training sequences are spliced: runs of words
 of different languages follow each other, and the transitions are learned from where they change. The
 sample is bounded: ``SAMPLE`` documents of each language, the least by hash.
 
+A document is in none of the languages when its spelling is that of none: letter trigrams give
+every word a likelihood in each language, the field's word probabilities mix them, and the sum of their
+logarithms over the words, a letter, is held against a floor. The floor depends on the number of letters (short texts
+vary more) and is fitted on texts and parts of texts, down to one word and spliced from several
+languages, each scored by trigrams of the other folds of the sample. Neither depends on the number of languages.
+
 Words are runs of letters, lower-cased. Defined results:
 
 * a null text or one without a letter is ``und`` with score 0;
@@ -24,6 +30,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -44,7 +51,10 @@ STORED_WORDS = 250_000
 SLICE_WORDS = 100_000  # words labelled at once, and one text at least
 BATCH = 64  # sequences in a training step
 BLOCK = 256
-LEAST_SCORE = 0.3
+FOLDS = 5
+SMOOTHING = 2.0  # letters of the next shorter context mixed into one
+FLOOR_SLACK = 1.0  # of the distance from the median to the least held-out text
+UNFITTED = 20  # held-out texts below which no floor is set
 UNKNOWN = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -69,6 +79,138 @@ def features_of(word: str, lexicon: dict[str, int]) -> list[int]:
     return [crc32(name.encode()) & (BUCKETS - 1) for name in names]
 
 
+@dataclass
+class Spelling:
+    """Letter trigrams of every language with back-off, and the floor of texts in one of them."""
+
+    number: dict[str, int]  # rows: "abc" or "bc" or "c" seen, "-ab" back-off after ab
+    table: np.ndarray  # (rows, languages); row 0 is an unseen letter
+    floor: np.ndarray  # least log likelihood a letter, by the octave of the number of letters
+
+    @staticmethod
+    def of(texts: list[tuple[list[str], int]], kinds: int) -> Spelling:
+        """Interpolated trigrams of labelled words."""
+        grams: tuple[dict, dict, dict] = ({}, {}, {})
+        for label in range(kinds):
+            words = Counter(chain.from_iterable(own for own, its in texts if its == label))
+            for word, n in words.items():
+                framed = f"^^{word}$"
+                for i in range(2, len(framed)):
+                    for length, found in enumerate(grams, 1):
+                        part = framed[i + 1 - length : i + 1]
+                        if part not in found:
+                            found[part] = [0] * kinds
+                        found[part][label] += n
+        counts = [np.array(list(found.values()), float).reshape(-1, kinds) for found in grams]
+        share = 1 / (len(grams[0]) + 1)
+        letters = counts[0].sum(axis=0)
+        number: dict[str, int] = {}
+        tables = [np.log(share * SMOOTHING / (letters + SMOOTHING))[None, :]]
+        shorter, place = np.full((1, kinds), share), {"": 0}
+        for found, n in zip(grams, counts):
+            before: dict[str, int] = {}
+            own = np.array([before.setdefault(part[:-1], len(before)) for part in found], np.int64)
+            total = np.zeros((len(before), kinds))
+            np.add.at(total, own, n)
+            p = n + SMOOTHING * shorter[[place[part[1:]] for part in found]]
+            p /= total[own] + SMOOTHING
+            first = len(number) + 1
+            number.update(zip(found, range(first, first + len(found))))
+            number.update(("-" + part, first + len(found) + i) for part, i in before.items())
+            tables += [np.log(p), np.log(SMOOTHING / (total + SMOOTHING))]
+            shorter, place = p, dict(zip(found, range(len(found))))
+        return Spelling(number, np.vstack(tables), np.zeros(0))
+
+    def likelihoods(self, words: list[str]) -> np.ndarray:
+        """Log likelihood of every word in every language, its end included."""
+        get, ids, begins = self.number.get, [], []
+        for word in words:
+            framed = f"^^{word}$"
+            begins.append(len(ids))
+            for i in range(2, len(framed)):
+                for at in (i - 2, i - 1, i):
+                    row = get(framed[at : i + 1])
+                    if row is not None:
+                        ids.append(row)
+                        break
+                    if at < i:
+                        row = get("-" + framed[at:i])
+                        if row is not None:
+                            ids.append(row)
+                else:
+                    ids.append(0)
+        return np.add.reduceat(self.table[np.array(ids, np.int64)], begins, axis=0)
+
+    def fit_floor(self, totals: list[float], letters: list[int]) -> None:
+        """From held-out texts: their log likelihoods and numbers of letters."""
+        octave = np.log2(np.array(letters)).astype(int)
+        each = np.array(totals) / np.array(letters)
+        floor = np.full(32, -np.inf)
+        for k in range(32):
+            own = each[octave == k]
+            if len(own) >= UNFITTED:
+                floor[k] = own.min() - FLOOR_SLACK * (np.median(own) - own.min())
+        # Longer texts vary less: one the sample has too few of takes the floor of the last shorter ones.
+        for k in range(1, 32):
+            floor[k] = max(floor[k], floor[k - 1])
+        self.floor = floor
+
+    def fits(self, totals: np.ndarray, letters: np.ndarray) -> np.ndarray:
+        """Whether texts of these log likelihoods and numbers of letters are in a language."""
+        if not len(self.floor):
+            return np.ones(len(totals), bool)
+        return totals / letters >= self.floor[np.log2(letters).astype(int).clip(max=31)]
+
+
+def _letters(words: list[str]) -> int:
+    return sum(map(len, words)) + len(words)
+
+
+def mixed(p: np.ndarray, spelt: np.ndarray) -> np.ndarray:
+    """Log likelihood of every word, its language as probable as the field says."""
+    top = spelt.max(axis=1)
+    return top + np.log((p * np.exp(spelt - top[:, None])).sum(axis=1) + 1e-30)
+
+
+def spelling_of(texts: list[tuple[list[str], int]], model: Field, seed: int = 3) -> Spelling:
+    """Trigrams of all texts, with a floor fitted on each fold by the trigrams of the others."""
+    rng, kinds = np.random.default_rng(seed), len(model.languages)
+    fold = rng.permutation(len(texts)) % FOLDS
+    row: dict[str, int] = {}
+    for words, _ in texts:
+        for word in words:
+            row.setdefault(word, len(row))
+    emission = model.emissions(list(row))
+    totals: list[float] = []
+    letters: list[int] = []
+    for k in range(FOLDS):
+        held = [words for (words, _), own in zip(texts, fold) if own == k and words]
+        rest = [text for text, own in zip(texts, fold) if own != k]
+        if not held or not rest:
+            continue
+        parts = list(held)
+        for words in held:  # parts of all sizes
+            size = 1
+            while size < len(words):
+                at = int(rng.integers(len(words) - size + 1))
+                parts.append(words[at : at + size])
+                size *= 2
+        for words in held:  # code-switched
+            other = held[int(rng.integers(len(held)))]
+            parts.append(words[: 1 + len(words) // 2] + other[len(other) // 2 :])
+        number: dict[str, int] = {}
+        at_word = np.array([number.setdefault(word, len(number)) for words in parts for word in words])
+        distinct, sizes = list(number), np.array([len(words) for words in parts])
+        p = marginals(emission[[row[word] for word in distinct]][at_word], sizes, model.transitions)
+        each = mixed(p, Spelling.of(rest, kinds).likelihoods(distinct)[at_word])
+        totals += np.add.reduceat(each, np.cumsum(sizes) - sizes).tolist()
+        letters += [_letters(words) for words in parts]
+    whole = Spelling.of(texts, kinds)
+    if totals:
+        whole.fit_floor(totals, letters)
+    return whole
+
+
 @dataclass
 class Field:
     """Weights of the conditional random field; ``name`` tells models apart in a worker."""
@@ -78,6 +220,17 @@ class Field:
     weights: np.ndarray  # (BUCKETS, languages)
     transitions: np.ndarray  # (languages, languages)
     name: str = ""
+    texts: list[tuple[list[str], int]] | None = None  # learned from; stays on the driver
+    spelling: Spelling | None = None
+
+    def __getstate__(self):
+        return self.__dict__ | {"texts": None}
+
+    def with_spelling(self) -> Field:
+        """The field, its spelling fitted if it was not."""
+        if self.spelling is None and self.texts:
+            self.spelling = spelling_of(self.texts, self)
+        return self
 
     def emissions(self, words: list[str]) -> np.ndarray:
         """Scores of words, not remembered."""
@@ -91,13 +244,13 @@ class Field:
 class WordScores:
     """Scores of the words a worker has met; begun anew when there are too many."""
 
-    def __init__(self, model: Field):
-        self.model = model
+    def __init__(self, model: Field, spelt: bool = False):
+        self.model, self.spelt = model, spelt
         self.number: dict[str, int] = {}
-        self.table = np.zeros((STORED_WORDS // 8, len(model.languages)), np.float32)
+        self.table = np.zeros((STORED_WORDS // 8, len(model.languages) * (1 + spelt)), np.float32)
 
     def of(self, texts: list[list[str]]) -> np.ndarray:
-        """A row per word of all texts, one text after the other."""
+        """A row per word of all texts, one text after the other; its spelling's likelihoods behind."""
         if len(self.number) > STORED_WORDS:
             self.number = {}
         number = self.number
@@ -107,7 +260,10 @@ class WordScores:
             self.table = np.vstack([self.table, np.zeros_like(self.table)])
         for at in range(0, len(new), 5000):
             part = new[at : at + 5000]
-            self.table[used : used + len(part)] = self.model.emissions(part)
+            kinds = len(self.model.languages)
+            self.table[used : used + len(part), :kinds] = self.model.emissions(part)
+            if self.spelt:
+                self.table[used : used + len(part), kinds:] = self.model.spelling.likelihoods(part)
             number.update(zip(part, range(used, used + len(part))))
             used += len(part)
         found = np.fromiter((number[word] for words in texts for word in words), np.int64)
@@ -232,7 +388,7 @@ def trained(sample: list[tuple[str, str]], seed: int = 3, epochs: int = 6) -> Fi
         for word in frequent
     }
     kinds = len(languages)
-    model = Field(languages, lexicon, np.zeros((BUCKETS, kinds)), np.zeros((kinds, kinds)))
+    model = Field(languages, lexicon, np.zeros((BUCKETS, kinds)), np.zeros((kinds, kinds)), texts=texts)
     if kinds < 2:
         return model
     sequences, labels = _spliced(texts, rng)
@@ -315,45 +471,64 @@ def word_languages(text: str, model: Field) -> list[tuple[str, str, float]]:
     return [(w, model.languages[int(k)], float(q)) for w, k, q in zip(words, p.argmax(1), p.max(1))]
 
 
-def identify(documents: DataFrame, model: Field) -> DataFrame:
-    """doc_id, hash (of the text; tells rows of one id apart), lang_pred and score."""
+def identify(documents: DataFrame, model: Field, spelt: bool = False) -> DataFrame:
+    """doc_id, hash (of the text; tells rows of one id apart), lang_pred and score.
+
+    With ``spelt`` also fits: whether the text is spelt like one of the languages.
+    """
 
     def scores() -> WordScores:
-        return held_by_worker(f"language {model.name}", lambda: WordScores(model))
+        return held_by_worker(f"language {model.name} {spelt}", lambda: WordScores(model, spelt))
 
     def identified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: list[str] = []
             certain: list[float] = []
+            fit: list[bool] | None = [] if spelt else None
             held: list[list[str]] = []
             waiting = 0
             for text in batch.column(2):
                 held.append(words_of(text.as_py()))
                 waiting += len(held[-1])
                 if waiting > SLICE_WORDS:
-                    _decide(held, model, scores(), found, certain)
+                    _decide(held, model, scores(), found, certain, fit)
                     held, waiting = [], 0
-            _decide(held, model, scores(), found, certain)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(found, pa.string()), pa.array(certain, pa.float64())],
-                names=["doc_id", "hash", "lang_pred", "score"],
-            )
+            _decide(held, model, scores(), found, certain, fit)
+            columns = [batch.column(0), batch.column(1), pa.array(found, pa.string()), pa.array(certain, pa.float64())]
+            names = ["doc_id", "hash", "lang_pred", "score"]
+            if spelt:
+                columns, names = [*columns, pa.array(fit, pa.bool_())], [*names, "fits"]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return documents.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), row_key().alias("hash"), whole_text().alias("text")
-    ).mapInArrow(identified, "doc_id bigint, hash bigint, lang_pred string, score double")
+    ).mapInArrow(
+        identified, "doc_id bigint, hash bigint, lang_pred string, score double" + (", fits boolean" if spelt else "")
+    )
 
 
 def _decide(
-    texts: list[list[str]], model: Field, scores: WordScores, found: list[str], certain: list[float]
+    texts: list[list[str]],
+    model: Field,
+    scores: WordScores,
+    found: list[str],
+    certain: list[float],
+    fit: list[bool] | None = None,
 ) -> None:
-    """Append language and score of every text."""
+    """Append language and score of every text, and to ``fit`` whether it is spelt like a language."""
     worded = [words for words in texts if words] if model.languages else []
     shares = np.zeros((0, max(1, len(model.languages))))
     if worded:
         sizes = np.array([len(words) for words in worded])
-        p = marginals(scores.of(worded), sizes, model.transitions)
+        rows = scores.of(worded)
+        p = marginals(rows[:, : len(model.languages)], sizes, model.transitions)
         shares = np.add.reduceat(p, np.cumsum(sizes) - sizes, axis=0) / sizes[:, None]
+    if fit is not None:
+        good = iter(())
+        if worded:
+            totals = np.add.reduceat(mixed(p, rows[:, len(model.languages) :]), np.cumsum(sizes) - sizes)
+            good = iter(model.spelling.fits(totals, np.array([_letters(words) for words in worded])).tolist())
+        fit += [next(good) if words and model.languages else False for words in texts]
     rows = iter(shares)
     for words in texts:
         if not words or not model.languages:
@@ -371,10 +546,9 @@ def held_out(modulus: int, remainder: int) -> Column:
     return F.crc32(text.cast("binary")) % modulus == remainder
 
 
-def with_language(documents: DataFrame, model: Field, least: float = LEAST_SCORE) -> DataFrame:
-    """The documents, all columns, whose text has a language with a score of ``least`` or more."""
-    unfit = (F.col("lang_pred") == UNKNOWN) | (F.col("score") < least)
-    rejected = staged(
-        identify(documents, model).where(unfit).select("doc_id", "hash").distinct(), "no-language"
-    )
+def with_language(documents: DataFrame, model: Field) -> DataFrame:
+    """The documents, all columns, whose text is in one of the learned languages."""
+    found = identify(documents, model.with_spelling(), spelt=True)
+    unfit = (F.col("lang_pred") == UNKNOWN) | ~F.col("fits")
+    rejected = staged(found.where(unfit).select("doc_id", "hash").distinct(), "no-language")
     return matched_rows(documents, rejected, "left_anti")
