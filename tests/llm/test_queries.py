@@ -20,7 +20,7 @@ from .test_simhash import close, groups_of, plain_print
 
 def test_all_are_registered():
     numbers = {int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES}
-    assert numbers == set(range(1, 11))
+    assert numbers == set(range(1, 14))
     assert QUERIES.keys() | {"pipeline"} <= queries().keys()
     assert ORACLE.keys() <= oracle_sql().keys()
 
