@@ -40,15 +40,15 @@ from pyspark.sql import functions as F
 from tripfold.llm.common import staged
 
 LEAST_DOCUMENTS = 10
-FIRST_WIDTH = 4
+FIRST_WIDTH = 6
 TOP_TERMS = 10
 SCALE = 1_000_000_000
 MOST_BITS = 1 << 28  # 32 MB
 BITS_PER_PREFIX = 16
 PIECE = 4096 * 8  # bits of one aggregated bitmap
 
-# Entries and bytes a task counts in before it sends them off; terms whose fate it remembers.
-TABLE_ENTRIES, TABLE_BYTES, REMEMBERED, REMEMBERED_BYTES = 300_000, 32 << 20, 300_000, 64
+# Entries and bytes of keys a task counts before it sends them off; prefixes it remembers.
+TABLE_ENTRIES, TABLE_BYTES, REMEMBERED = 400_000, 32 << 20, 200_000
 BLOCK_CELLS = 1 << 16  # counts a block holds, about
 CHUNK_CELLS = 1 << 18  # and computes with at a time
 
@@ -66,31 +66,46 @@ def terms_of(text: bytes) -> list[bytes]:
 # --- iceberg prefix refinement --------------------------------------------------------------
 
 
-class Survivors:
-    """Hashes of the prefixes that go on to the next level, as a bitmap."""
+class Survivors(dict):
+    """Whether a language's prefixes go on to the next level, by a bitmap of hashes.
 
-    def __init__(self, bits: bytes):
-        self.bits, self.mask = bits, len(bits) * 8 - 1
+    Remembers the answers for so many prefixes; the others are looked up each time.
+    """
+
+    def __init__(self, lang: str, bits: bytes):
+        super().__init__()
+        self.mark, self.bits, self.mask = lang.encode() + END, bits, len(bits) * 8 - 1
 
-    def may_hold(self, lang: bytes, prefix: bytes) -> bool:
-        at = xxhash.xxh64_intdigest(lang + END + prefix, 42) & self.mask
-        return bool(self.bits[at >> 3] >> (at & 7) & 1)
+    def __missing__(self, prefix: bytes) -> int:
+        at = xxhash.xxh64_intdigest(self.mark + prefix, 42) & self.mask
+        found = self.bits[at >> 3] >> (at & 7) & 1
+        if len(self) < REMEMBERED:
+            self[prefix] = found
+        return found
 
 
 def _counted(width: int, survivors):
     """Documents and occurrences by language, source and prefix, partial sums of a task.
 
-    ``survivors`` is None at the first level, else holds those of half the width.
+    ``survivors`` is None at the first level, else holds those of half the width. Longer
+    prefixes count for the language, with no source; complete terms for the source too.
     """
+    most = min(TABLE_ENTRIES, TABLE_BYTES // width)
 
-    def send(tables: dict) -> pa.RecordBatch:
+    def send(longer: dict, complete: dict) -> pa.RecordBatch:
         langs, sources, prefixes, documents, occurrences = [], [], [], [], []
-        for (lang, source), table in tables.items():
+        for lang, table in longer.items():
             langs += [lang] * len(table)
-            sources += [source] * len(table)
-            prefixes += table.keys()
-            documents += [entry[0] for entry in table.values()]
-            occurrences += [entry[1] for entry in table.values()]
+            sources += [None] * len(table)
+            prefixes += table
+            documents += table.values()
+            occurrences += [0] * len(table)
+        for (lang, source), (held, found) in complete.items():
+            langs += [lang] * len(held)
+            sources += [source] * len(held)
+            prefixes += [term + END for term in held]
+            documents += held.values()
+            occurrences += map(found.__getitem__, held)
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(langs, pa.string()),
@@ -103,59 +118,38 @@ def _counted(width: int, survivors):
         )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None if survivors is None else Survivors(survivors.value)
-
-        def key_of(lang: bytes, term: bytes) -> bytes:
-            """The term's key at this level; empty if it is done with or discarded."""
-            if held is not None and (
-                len(term) < width // 2 or not held.may_hold(lang, term[: width // 2])
-            ):
-                return b""
-            return term + END if len(term) < width else term[:width]
-
-        fates: dict[str, dict[bytes, bytes]] = {}
-        tables: dict[tuple, dict[bytes, list[int]]] = {}
-        entries = size = remembered = 0
+        alive: dict[str, Survivors] = {}
+        longer: dict[str, Counter] = {}
+        complete: dict[tuple, tuple[Counter, Counter]] = {}
+        entries, half = 0, width // 2
         for batch in batches:
             texts, langs, sources = batch.columns
             for text, lang, source in zip(texts, langs.to_pylist(), sources.to_pylist()):
-                fate, mark = fates.setdefault(lang, {}), lang.encode()
-                own = tables.setdefault((lang, source), {})
-                shared = tables.setdefault((lang, None), {})
-                seen = set()
-                for term, n in Counter(terms_of(text.as_py())).items():
-                    key = fate.get(term)
-                    if key is None:
-                        key = key_of(mark, term)
-                        if len(term) <= REMEMBERED_BYTES:
-                            fate[term] = key
-                            remembered += 1
-                    if not key:
-                        continue
-                    if key[-1]:
-                        if key in seen:
-                            continue
-                        seen.add(key)
-                        table, n = shared, 0
-                    else:
-                        table = own
-                    entry = table.get(key)
-                    if entry is None:
-                        table[key] = [1, n]
-                        entries += 1
-                        size += len(key)
-                    else:
-                        entry[0] += 1
-                        entry[1] += n
-                if remembered > REMEMBERED:
-                    fates.clear()
-                    remembered = 0
-                if entries > TABLE_ENTRIES or size > TABLE_BYTES:
-                    yield send(tables)
-                    tables.clear()
-                    entries = size = 0
+                terms = terms_of(text.as_py())
+                if survivors is not None:
+                    if lang not in alive:
+                        alive[lang] = Survivors(lang, survivors.value)
+                    going_on = alive[lang]
+                    terms = [t for t in terms if len(t) >= half and going_on[t[:half]]]
+                short = [t for t in terms if len(t) < width]
+                if short:
+                    held, found = complete.setdefault((lang, source), (Counter(), Counter()))
+                    entries -= len(held)
+                    held.update(set(short))
+                    found.update(short)
+                    entries += len(held)
+                if len(short) < len(terms):
+                    table = longer.setdefault(lang, Counter())
+                    entries -= len(table)
+                    table.update({t[:width] for t in terms if len(t) >= width})
+                    entries += len(table)
+                if entries > most:
+                    yield send(longer, complete)
+                    longer.clear()
+                    complete.clear()
+                    entries = 0
         if entries:
-            yield send(tables)
+            yield send(longer, complete)
 
     return count
 
