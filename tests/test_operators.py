@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+from fractions import Fraction
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from plan_text import executed
 from pyspark.sql import functions as F
 
 from tripfold.functions import geo
-from tripfold.functions.numbers import exact_avg, exact_sum
+from tripfold.functions.numbers import MEASURE, exact_avg, exact_sum
 from tripfold.operators import (
     congestion,
     demand,
@@ -262,6 +264,45 @@ def test_money_sums_do_not_depend_on_the_partitions(spark):
     assert sums == {exact / 100}
 
 
+def test_route_quality_does_not_depend_on_the_partitions(trips):
+    """Bit for bit, computed speeds and detours included, in both forms."""
+    window = TripWindow(days=None, hours=None, positive=congestion.ROUTE_WINDOW.positive)
+    results = {
+        tuple(map(tuple, form(trips.repartition(parts), window, 1998, scale=scale).collect()))
+        for form, scale in ((congestion.route_quality_by_hour, None),)
+        for parts in (3, 16, 61)
+    }
+    assert len(results) == 1
+    rounded_to_twelve = {
+        tuple(map(tuple, variants.route_quality_by_hour(trips.repartition(parts), window, 1998, scale=12).collect()))
+        for parts in (3, 16, 61)
+    }
+    assert len(rounded_to_twelve) == 1
+
+
+def test_sums_keep_no_decimal_in_the_aggregate(trips):
+    window = TripWindow(days=None, hours=None)
+    for frame in (
+        demand.demand_rollup(trips, window),
+        congestion.congestion_by_hour(trips, window),
+        congestion.route_quality_by_hour(trips, window),
+    ):
+        for line in executed(frame).splitlines():
+            if "partial_sum" in line:
+                assert "decimal" not in line.lower()
+
+
+def test_limbs_join_to_the_exact_sum(spark):
+    """Both signs, both grains, more than 53 bits of total; against integers of any size."""
+    values = [(i * 999_999_937 % 10**12 - 4 * 10**11) for i in range(20_000)]
+    frame = spark.createDataFrame([(v / 1e3, v / 1e12) for v in values], "x double, y double")
+    row = frame.repartition(7).select(
+        exact_sum(F.col("x")).alias("x"), exact_sum(F.col("y"), MEASURE).alias("y")
+    ).first()
+    assert row.x == float(Fraction(sum(values), 1000))
+    assert row.y == pytest.approx(float(Fraction(sum(values), 10**12)), abs=1e-12 * len(values))
+
+
 @pytest.mark.parametrize("form", ["frame", "text"])
 def test_values_without_an_exact_form_still_show_in_sums(spark, form):
     def total(*values):

@@ -3,13 +3,41 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+@dataclass(frozen=True)
+class Grain:
+    """How measures are summed so that no order of the summands shows: as fixed-point numbers.
 
-# Measures are summed as decimals of this type, so that no order of the summands shows.
-EXACT = "decimal(18,6)"
+    A value counts to ``digits`` digits after the point, rounded once, if it is below
+    10^(18 - digits); larger ones, NaN and infinity are added as doubles beside it. The
+    fixed-point number is a bigint of two limbs, ``LIMB`` low bits and the rest, which are
+    summed apart and joined once a group. The low sums hold 10^12 rows.
+    """
+
+    digits: int
+
+    @property
+    def unit(self) -> float:
+        return 10.0**self.digits
+
+    @property
+    def below(self) -> float:
+        return 10.0 ** (18 - self.digits)
+
+    @property
+    def whole(self) -> str:
+        """Type of a joined total in units, as wide as leaves room for the digits."""
+        return f"decimal({37 - self.digits},0)"
+
+
+LIMB = 22
+MONEY = Grain(6)  # amounts below 10^12
+MEASURE = Grain(12)  # computed distances, speeds and ratios below 10^6
 
 
 def rounded(value: Column, scale: int) -> Column:
@@ -17,29 +45,36 @@ def rounded(value: Column, scale: int) -> Column:
     return F.round(value.cast("double"), scale)
 
 
-def exact_part(value: Column) -> Column:
-    """The value as an exact summand; null if it is NaN, infinite or too large to be one."""
-    return value.try_cast(EXACT)
+def fixed_point(value: Column, grain: Grain = MONEY) -> Column:
+    """The value in units of the last digit; null if it has no such form."""
+    held = value.cast("double")
+    return F.when(F.abs(held) < grain.below, F.rint(held * grain.unit).cast("bigint"))
 
 
-def inexact_part(value: Column) -> Column:
-    """The value if it has no exact form: added as a double, it shows in the total."""
-    return F.when(exact_part(value).isNull(), value.cast("double"))
+def sum_parts(value: Column, grain: Grain = MONEY) -> dict[str, Column]:
+    """Aggregates that add up to a sum: high limbs, low limbs, and what has no fixed-point form."""
+    number = fixed_point(value, grain)
+    return {
+        "high": F.sum(F.shiftright(number, LIMB)),
+        "low": F.sum(number.bitwiseAND((1 << LIMB) - 1)),
+        "odd": F.sum(F.when(number.isNull(), value.cast("double"))),
+    }
 
 
-def joined_sum(exact: Column, inexact: Column) -> Column:
-    """Total of both parts as a double; null if there is neither."""
-    total = exact.cast("double")
-    return F.when(inexact.isNull(), total).otherwise(F.coalesce(total, F.lit(0.0)) + inexact)
+def joined_sum(high: Column, low: Column, odd: Column, grain: Grain = MONEY) -> Column:
+    """Total of the parts as a double; null if there are none."""
+    units = (high.cast("decimal(20,0)") * (1 << LIMB) + low).cast(grain.whole)
+    total = (units * F.lit(Decimal(1).scaleb(-grain.digits))).cast("double")
+    return F.when(odd.isNull(), total).otherwise(F.coalesce(total, F.lit(0.0)) + odd)
 
 
-def exact_sum(value: Column) -> Column:
-    """Sum as a double that does not depend on how the rows are spread over tasks."""
-    return joined_sum(F.sum(exact_part(value)), F.sum(inexact_part(value)))
+def exact_sum(value: Column, grain: Grain = MONEY) -> Column:
+    """Sum as a double, exact to the digits of the grain, however the rows are spread over tasks."""
+    return joined_sum(**sum_parts(value, grain), grain=grain)
 
 
-def exact_avg(value: Column) -> Column:
-    return ratio(exact_sum(value), F.count(value))
+def exact_avg(value: Column, grain: Grain = MONEY) -> Column:
+    return ratio(exact_sum(value, grain), F.count(value))
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

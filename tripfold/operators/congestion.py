@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from tripfold.functions import geo
 from tripfold.functions.clock import in_year
-from tripfold.functions.numbers import ratio, rounded
+from tripfold.functions.numbers import MEASURE, ratio, rounded
 from tripfold.operators.window import window_trips
 from tripfold.params import POSITIVE_ROUTE, BoundingBox, TripWindow
-from tripfold.plans.rollups import mean
+from tripfold.plans.rollups import mean, merged_avg, merged_sum, partials
 
 CONGESTION_WINDOW = TripWindow(positive=("duration_minutes",))
 COUNT, RUNNING, WHOLE = "rows__n", "rows__running", "rows__whole"
@@ -49,8 +49,8 @@ def congestion_by_hour(
         .groupBy("pickup_hour")
         .agg(
             F.count("*").alias("total_trips"),
-            mean("haversine_km").alias("avg_distance_km"),
-            mean("speed_kmh").alias("avg_speed_kmh"),
+            mean("haversine_km", grain=MEASURE).alias("avg_distance_km"),
+            mean("speed_kmh", grain=MEASURE).alias("avg_speed_kmh"),
             rounded(F.avg("slow") * 100, 2).alias("congestion_percentage"),
         )
         .orderBy("pickup_hour")
@@ -85,10 +85,10 @@ def route_quality_by_hour(
             {
                 "metered_km": geo.miles_to_km(F.col("trip_distance")),
                 "straight_km": geo.haversine_asin_km(*(F.col(c) for c in geo.COORDINATES)),
-                "hours_driven": F.col("duration_minutes") / F.lit(60.0),
+                "duration": F.col("duration_minutes"),
             }
         )
-        .withColumn("speed_kmh", ratio(metered, F.col("hours_driven")))
+        .withColumn("speed_kmh", ratio(metered, F.col("duration_minutes") / F.lit(60.0)))
         .withColumns(
             {
                 "detour": geo.detour_ratio(metered, straight),
@@ -96,33 +96,35 @@ def route_quality_by_hour(
             }
         )
     )
-    sums = ("speed_kmh", "metered_km", "hours_driven", "straight_km", "detour", "slow")
+    measures = ("duration", "speed_kmh", "metered_km", "straight_km", "detour")
     counted = measured.groupBy("pickup_hour", "duration_minutes").agg(
-        F.count("*").alias(COUNT),
-        F.count("detour").alias("detours"),
-        *(F.sum(name).alias(name) for name in sums),
+        F.count("*").alias(COUNT), F.sum("slow").alias("slow"), *partials(measures, MEASURE)
     )
 
     def shown(value: Column) -> Column:
         return value if scale is None else rounded(value, scale)
 
-    def average(total: Column, over: str = COUNT) -> Column:
-        return shown(ratio(F.sum(total), F.sum(over)))
+    def total(name: str) -> Column:
+        return merged_sum(name, grain=MEASURE)
 
+    def average(name: str) -> Column:
+        return shown(merged_avg(name, grain=MEASURE))
+
+    rows = F.sum(COUNT)
     return (
         with_ranks(counted, "pickup_hour", "duration_minutes")
         .groupBy("pickup_hour")
         .agg(
-            F.sum(COUNT).alias("trips"),
-            average(F.col("duration_minutes") * F.col(COUNT)).alias("avg_duration_minutes"),
+            rows.alias("trips"),
+            average("duration").alias("avg_duration_minutes"),
             shown(discrete_percentile("duration_minutes", 0.5)).alias("median_duration_minutes"),
             shown(discrete_percentile("duration_minutes", 0.9)).alias("p90_duration_minutes"),
-            average(speed).alias("avg_speed_kmh"),
-            average(metered, "hours_driven").alias("agg_speed_kmh"),
-            average(straight).alias("avg_haversine_km"),
-            average(metered - straight).alias("avg_distance_gap_km"),
-            average(F.col("detour"), "detours").alias("avg_detour_ratio"),
-            average(F.col("slow")).alias("congestion_candidate_share"),
+            average("speed_kmh").alias("avg_speed_kmh"),
+            shown(ratio(total("metered_km"), total("duration") / 60)).alias("agg_speed_kmh"),
+            average("straight_km").alias("avg_haversine_km"),
+            shown(ratio(total("metered_km") - total("straight_km"), rows)).alias("avg_distance_gap_km"),
+            average("detour").alias("avg_detour_ratio"),
+            shown(ratio(F.sum("slow"), rows)).alias("congestion_candidate_share"),
         )
         .orderBy("pickup_hour")
     )

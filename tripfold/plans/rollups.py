@@ -12,51 +12,42 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripfold.functions.numbers import (
-    exact_avg,
-    exact_part,
-    inexact_part,
-    joined_sum,
-    ratio,
-    rounded,
-)
+from tripfold.functions.numbers import MONEY, Grain, exact_avg, joined_sum, ratio, rounded, sum_parts
 
 
-def partials(measures: Iterable[str]) -> list[Column]:
-    """Mergeable state per measure: the sum and the number of non-null values.
-
-    The sum is kept as an exact decimal, apart from values that have no such form.
-    """
+def partials(measures: Iterable[str], grain: Grain = MONEY) -> list[Column]:
+    """Mergeable state per measure: the parts of an exact sum and the number of non-null values."""
     state = []
     for name in measures:
-        state.append(F.sum(exact_part(F.col(name))).alias(f"{name}__sum"))
-        state.append(F.sum(inexact_part(F.col(name))).alias(f"{name}__odd"))
+        for part, total in sum_parts(F.col(name), grain).items():
+            state.append(total.alias(f"{name}__{part}"))
         state.append(F.count(name).alias(f"{name}__n"))
     return state
 
 
-def merged_sum(name: str, where: Column | None = None) -> Column:
+def merged_sum(name: str, where: Column | None = None, grain: Grain = MONEY) -> Column:
     """Sum over merged groups, or over those that meet a condition."""
 
     def part(suffix: str) -> Column:
         value = F.col(f"{name}__{suffix}")
         return F.sum(value if where is None else F.when(where, value))
 
-    return joined_sum(part("sum"), part("odd"))
+    return joined_sum(part("high"), part("low"), part("odd"), grain)
 
 
-def merged_avg(name: str, where: Column | None = None) -> Column:
+def merged_avg(name: str, where: Column | None = None, grain: Grain = MONEY) -> Column:
     counted = F.col(f"{name}__n")
-    return ratio(merged_sum(name, where), F.sum(counted if where is None else F.when(where, counted)))
+    whole = F.sum(counted if where is None else F.when(where, counted))
+    return ratio(merged_sum(name, where, grain), whole)
 
 
 def merged_ratio(numerator: str, denominator: str) -> Column:
     return ratio(merged_sum(numerator), merged_sum(denominator))
 
 
-def mean(name: str, scale: int = 2) -> Column:
+def mean(name: str, scale: int = 2, grain: Grain = MONEY) -> Column:
     """Rounded average over the rows of a single-level group."""
-    return rounded(exact_avg(F.col(name)), scale)
+    return rounded(exact_avg(F.col(name), grain), scale)
 
 
 def with_total(groups: DataFrame, count: str, total: str, within: tuple[str, ...] = ()) -> DataFrame:

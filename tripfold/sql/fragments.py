@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from tripfold.functions.clock import LAST_TIME_BAND, TIME_BANDS
 from tripfold.functions.money import DISTANCE_BUCKETS, LAST_DISTANCE_BUCKET
-from tripfold.functions.numbers import EXACT
+from tripfold.functions.numbers import LIMB, MONEY, Grain
 from tripfold.params import SpecialZones, TripWindow
 from tripfold.schemas import SURCHARGES
 
@@ -33,21 +33,46 @@ def double(value: float) -> str:
     return f"{float(value)!r}D"
 
 
-def exact_sum(name: str) -> str:
+def sum_parts(name: str, grain: Grain = MONEY) -> dict[str, str]:
+    """Aggregates of a column that add up to its sum: high and low limbs, and the rest."""
+    number = f"if(abs({name}) < {double(grain.below)}, bigint(rint({name} * {double(grain.unit)})), NULL)"
+    return {
+        "high": f"sum(shiftright({number}, {LIMB}))",
+        "low": f"sum({number} & {(1 << LIMB) - 1})",
+        "odd": f"sum(if({number} IS NULL, double({name}), NULL))",
+    }
+
+
+def joined_sum(high: str, low: str, odd: str, grain: Grain = MONEY) -> str:
+    units = f"cast(cast({high} AS decimal(20,0)) * {1 << LIMB} + {low} AS {grain.whole})"
+    total = f"double({units} * 0.{'0' * (grain.digits - 1)}1BD)"
+    return f"if({odd} IS NULL, {total}, coalesce({total}, 0e0) + {odd})"
+
+
+def exact_sum(name: str, grain: Grain = MONEY) -> str:
     """Sum of a column as a double, whatever order its rows come in."""
-    held = f"try_cast({name} AS {EXACT})"
-    total, rest = f"cast(sum({held}) AS double)", f"sum(if({held} IS NULL, cast({name} AS double), NULL))"
-    return f"if({rest} IS NULL, {total}, coalesce({total}, 0e0) + {rest})"
+    return joined_sum(**sum_parts(name, grain), grain=grain)
+
+
+def partials(names: Sequence[str], grain: Grain = MONEY) -> str:
+    """The parts of exact sums as columns of a group."""
+    return ", ".join(
+        f"{total} AS {name}__{part}" for name in names for part, total in sum_parts(name, grain).items()
+    )
+
+
+def merged_sum(name: str, grain: Grain = MONEY) -> str:
+    return joined_sum(*(f"sum({name}__{part})" for part in ("high", "low", "odd")), grain)
 
 
-def exact_avg(name: str) -> str:
-    return f"try_divide({exact_sum(name)}, count({name}))"
+def exact_avg(name: str, grain: Grain = MONEY) -> str:
+    return f"try_divide({exact_sum(name, grain)}, count({name}))"
 
 
-def exact(value: str) -> str:
+def exact(value: str, grain: Grain = MONEY) -> str:
     """An expression with the sums and averages of plain columns in it made exact."""
     forms = {"sum": exact_sum, "avg": exact_avg}
-    return re.sub(r"\b(sum|avg)\((\w+)\)(?!\s*OVER)", lambda m: forms[m[1]](m[2]), value)
+    return re.sub(r"\b(sum|avg)\((\w+)\)(?!\s*OVER)", lambda m: forms[m[1]](m[2], grain), value)
 
 
 def measured(value: str, scale: int) -> str:

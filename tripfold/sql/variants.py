@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 
 from tripfold.functions.geo import EARTH_RADIUS_KM, KM_PER_MILE
 from tripfold.functions.money import CARD, CASH
+from tripfold.functions.numbers import MEASURE
 from tripfold.operators.congestion import ROUTE_WINDOW
 from tripfold.operators.imbalance import BALANCE_WINDOW
 from tripfold.operators.payments import PAYMENT_WINDOW
@@ -31,6 +32,8 @@ from tripfold.sql.fragments import (
     double,
     exact_sum,
     measured,
+    merged_sum,
+    partials,
     predicate,
     rounded,
     special,
@@ -323,6 +326,9 @@ def route_quality_by_hour(
     def shown(value: str, name: str) -> str:
         return f"{rounded(value, scale)} AS {name}"
 
+    def total(name: str) -> str:
+        return merged_sum(name, MEASURE)
+
     def cut(share: float) -> str:
         return f"min(CASE WHEN running >= {double(share)} * n_in_hour THEN duration_minutes END)"
 
@@ -337,6 +343,7 @@ def route_quality_by_hour(
             SELECT
                 pickup_hour,
                 duration_minutes,
+                duration_minutes AS duration,
                 trip_distance * {double(KM_PER_MILE)} AS metered_km,
                 metered_km / (duration_minutes / 60e0) AS speed_kmh,
                 pow(sin(radians(dropoff_latitude - pickup_latitude) / 2), 2) AS north,
@@ -359,10 +366,7 @@ def route_quality_by_hour(
                 pickup_hour,
                 duration_minutes,
                 count(*) AS n,
-                sum(speed_kmh) AS speed,
-                sum(metered_km) AS metered,
-                sum(straight_km) AS straight,
-                sum(detour) AS detours,
+                {partials(("duration", "speed_kmh", "metered_km", "straight_km", "detour"), MEASURE)},
                 count(detour) AS n_detours,
                 sum({slow}) AS slow
             FROM measured
@@ -377,14 +381,14 @@ def route_quality_by_hour(
         SELECT
             pickup_hour,
             sum(n) AS trips,
-            {shown("sum(duration_minutes * n) / sum(n)", "avg_duration_minutes")},
+            {shown(f"{total('duration')} / sum(n)", "avg_duration_minutes")},
             {shown(cut(0.5), "median_duration_minutes")},
             {shown(cut(0.9), "p90_duration_minutes")},
-            {shown("sum(speed) / sum(n)", "avg_speed_kmh")},
-            {shown("sum(metered) / sum(duration_minutes / 60e0 * n)", "agg_speed_kmh")},
-            {shown("sum(straight) / sum(n)", "avg_haversine_km")},
-            {shown("(sum(metered) - sum(straight)) / sum(n)", "avg_distance_gap_km")},
-            {shown("try_divide(sum(detours), sum(n_detours))", "avg_detour_ratio")},
+            {shown(f"{total('speed_kmh')} / sum(n)", "avg_speed_kmh")},
+            {shown(f"{total('metered_km')} / ({total('duration')} / 60e0)", "agg_speed_kmh")},
+            {shown(f"{total('straight_km')} / sum(n)", "avg_haversine_km")},
+            {shown(f"({total('metered_km')} - {total('straight_km')}) / sum(n)", "avg_distance_gap_km")},
+            {shown(f"try_divide({total('detour')}, sum(n_detours))", "avg_detour_ratio")},
             {shown("sum(slow) / sum(n)", "congestion_candidate_share")}
         FROM ranked
         GROUP BY pickup_hour
