@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripfold import reports, schemas
@@ -28,12 +28,13 @@ from tripfold.params import (
     TripWindow,
 )
 from tripfold.session import build_session
-from tripfold.sources import prepare, readers, writers
+from tripfold.sources import prepare, readers, screen, writers
+from tripfold.sources.staging import materialised
 
-# How each raw kind is read, which timestamp layout it has and what its table is split by.
+# How each raw kind is read, its timestamp layout, what its table is split by and its fields.
 RAW_KINDS = {
-    "gps": (readers.read_gps_csv, schemas.SPACED_SECONDS, "pickup_hour"),
-    "zoned": (readers.read_zoned_csv, schemas.ISO_MILLIS, "pickup_day"),
+    "gps": (readers.read_gps_csv, schemas.SPACED_SECONDS, "pickup_hour", schemas.TRIPS_GPS_RAW),
+    "zoned": (readers.read_zoned_csv, schemas.ISO_MILLIS, "pickup_day", schemas.TRIPS_ZONED_RAW),
 }
 PARTITIONS = ("pickup_year", "pickup_month", "pickup_day", "pickup_hour")
 NEEDS_ZONES = ("profile", "revenue", "flows", "imbalance")
@@ -82,6 +83,8 @@ def parser() -> argparse.ArgumentParser:
     ready.add_argument("--kind", choices=RAW_KINDS, default="zoned")
     ready.add_argument("--year", type=int, required=True)
     ready.add_argument("--partition-by", nargs="+", choices=PARTITIONS)
+    ready.add_argument("--screen", action="store_true", help="turn away lines with unreadable fields, keeping them")
+    ready.add_argument("--period", type=_period, help="YYYY-MM or YYYY-MM-DD: replace that month or day of the table only")
     ready.add_argument("--output", required=True)
 
     lookup = commands.add_parser("prepare-zones", help="zone lookup CSV to Parquet")
@@ -123,11 +126,69 @@ def _window(options: argparse.Namespace) -> TripWindow:
     return TripWindow(tuple(options.days) or None, tuple(options.hours) or None)
 
 
+def _period(text: str) -> tuple[int, ...]:
+    parts = tuple(int(part) for part in text.split("-"))
+    if len(parts) not in (2, 3):
+        raise argparse.ArgumentTypeError("a period is YYYY-MM or YYYY-MM-DD")
+    return parts
+
+
+def _tagged(spark: SparkSession, options: argparse.Namespace) -> tuple[DataFrame, str]:
+    """Every raw row with its status, and what its table is split by."""
+    read, layout, split_by, schema = RAW_KINDS[options.kind]
+    if options.screen:
+        lines = screen.read_lines(spark, options.raw, schema)
+        return screen.screened_trips(lines, schema, layout, options.year), split_by
+    return prepare.tagged_trips(read(spark, options.raw), layout, options.year), split_by
+
+
+def _accounts(written: DataFrame, options: argparse.Namespace) -> reports.Sections:
+    accounts = {"accounting": prepare.accounting_of(written)}
+    if options.screen:
+        accounts["lines_by_status"] = screen.line_accounting(written)
+        accounts["unreadable_fields"] = screen.bad_field_counts(written)
+    return accounts
+
+
+def _replace_period(spark: SparkSession, options: argparse.Namespace) -> None:
+    """Put a day or month of kept trips in place of what the table has of it; the rest stays.
+
+    Everything else the raw files hold, trips of other times included, goes to the rejects of the
+    period, which are replaced as a whole, like its accounting.
+    """
+    names = tuple(prepare.PERIOD)[: len(options.period)]
+    within = F.lit(True)
+    for name, value in zip(names, options.period):
+        within = within & (F.col(name) == value)
+    label = "-".join(f"{part:02d}" for part in options.period)
+    tagged, _ = _tagged(spark, options)
+    for name, part in prepare.PERIOD.items():
+        tagged = tagged.withColumn(name, part(F.col("pickup_ts")))
+    outside = (F.col(prepare.STATUS) == prepare.KEPT) & ~within
+    status = F.when(outside, prepare.OUTSIDE_PERIOD).otherwise(F.col(prepare.STATUS))
+    incoming = materialised(
+        tagged.withColumn(prepare.STATUS, status), f"{options.output}/_incoming/period={label}"
+    )
+    kept = incoming.filter(F.col(prepare.STATUS) == prepare.KEPT).drop(screen.LINE, screen.BAD_FIELDS)
+    writers.replace_partitions(
+        kept,
+        f"{options.output}/rows",
+        prepare.STATUS,
+        *prepare.PERIOD,
+        sort_within=("pickup_hour",),
+        within=within & (F.col(prepare.STATUS) == prepare.KEPT),
+    )
+    turned_away = incoming.filter(F.col(prepare.STATUS) != prepare.KEPT)
+    writers.write_table(turned_away, f"{options.output}/rejects/period={label}")
+    writers.write_sections(_accounts(incoming, options), f"{options.output}/accounts/period={label}")
+
+
 def run(spark: SparkSession, options: argparse.Namespace) -> None:
     output = options.output
-    if options.command == "prepare":
-        read, layout, split_by = RAW_KINDS[options.kind]
-        tagged = prepare.tagged_trips(read(spark, options.raw), layout, options.year)
+    if options.command == "prepare" and options.period:
+        _replace_period(spark, options)
+    elif options.command == "prepare":
+        tagged, split_by = _tagged(spark, options)
         by = options.partition_by or [split_by]
         for name in by:
             if name in prepare.CALENDAR:
@@ -137,8 +198,8 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
         table = f"{output}/rows"
         inside = tuple(name for name in ("pickup_hour",) if name not in by)
         writers.write_partitioned(tagged, table, prepare.STATUS, *by, sort_within=inside)
-        accounting = prepare.accounting_of(readers.read_rows(spark, table))
-        writers.write_sections({"accounting": accounting}, output)
+        written = readers.read_rows(spark, table)
+        writers.write_sections(_accounts(written, options), output)
     elif options.command == "prepare-zones":
         writers.write_table(readers.read_zones_csv(spark, options.raw), output)
         written = readers.read_zones(spark, output)

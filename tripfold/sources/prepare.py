@@ -17,6 +17,9 @@ BAD_YEAR = "bad_year"
 
 # Partition columns beyond those every prepared table has.
 CALENDAR = {"pickup_year": F.year, "pickup_month": F.month}
+# What a table is split by whose days and months are replaced one at a time.
+PERIOD = {**CALENDAR, "pickup_day": F.dayofmonth}
+OUTSIDE_PERIOD = "outside_period"
 
 
 def with_timestamps(raw: DataFrame, layout: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tripfold import schemas
 from tripfold.sources.prepare import KEPT, STATUS
+from tripfold.sources.screen import BAD_FIELDS, LINE
 
 
 def read_gps_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -47,7 +48,7 @@ def read_trips(spark: SparkSession, path: str) -> DataFrame:
     """
     rows = read_rows(spark, path)
     if STATUS in rows.columns:
-        rows = rows.filter(F.col(STATUS) == KEPT).drop(STATUS)
+        rows = rows.filter(F.col(STATUS) == KEPT).drop(STATUS, LINE, BAD_FIELDS)
     return rows
 
 

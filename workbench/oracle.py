@@ -697,3 +697,48 @@ ORACLE |= {
     "vendor_payment_share_sql": ORACLE["vendor_payment_share"],
     "payment_card_vs_cash_sql": ORACLE["payment_card_vs_cash"],
 }
+
+FAULTY = """
+faulty AS (
+    SELECT *,
+        CASE WHEN l_orderkey % 109 = 0 THEN 'blank_line'
+             WHEN l_orderkey % 101 = 0 THEN 'short_line'
+             WHEN l_orderkey % 103 = 0 THEN 'long_line'
+             WHEN l_orderkey % 89 = 0 OR l_orderkey % 83 = 0 THEN 'bad_number'
+             WHEN l_orderkey % 107 = 0 THEN 'null_pickup_ts'
+             WHEN l_orderkey % 97 = 0 THEN 'bad_time'
+             WHEN year(pickup_ts) <> 1998 THEN 'bad_year'
+             ELSE 'kept' END AS ingest_status
+    FROM trips
+)"""
+
+ORACLE |= {
+    "line_accounting": over_trips(
+        "SELECT ingest_status, count(*) AS lines FROM faulty GROUP BY ingest_status", FAULTY
+    ),
+    "line_bad_fields": over_trips(
+        """
+    SELECT ingest_status, field, count(*) AS lines FROM (
+        SELECT ingest_status, unnest([
+            CASE WHEN l_orderkey % 89 = 0 THEN 'trip_distance' END,
+            CASE WHEN l_orderkey % 83 = 0 THEN 'passenger_count' END,
+            CASE WHEN l_orderkey % 97 = 0 AND l_orderkey % 107 <> 0 THEN 'tpep_pickup_datetime' END
+        ]) AS field
+        FROM faulty WHERE ingest_status NOT IN ('blank_line', 'short_line', 'long_line'))
+    WHERE field IS NOT NULL GROUP BY ALL""",
+        FAULTY,
+    ),
+    "screened_demand": over_trips(
+        f"""
+    SELECT pickup_hour, count(*) AS trips, {r("sum(total_amount)")} AS total_revenue
+    FROM faulty WHERE ingest_status = 'kept' GROUP BY pickup_hour""",
+        FAULTY,
+    ),
+    "partitions_replaced": over_trips(
+        """
+    SELECT CAST(year(pickup_ts) AS INTEGER) AS pickup_year, CAST(month(pickup_ts) AS INTEGER) AS pickup_month,
+        count(*) AS trips, CAST(sum(l_orderkey) AS BIGINT) AS orders
+    FROM trips WHERE year(pickup_ts) <> 1998 OR month(pickup_ts) > 3
+    GROUP BY ALL"""
+    ),
+}

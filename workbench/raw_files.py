@@ -10,9 +10,11 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from tripfold.schemas import TRIPS_ZONED_RAW
 from tripfold.sources.staging import new_folder
-from tripfold.sources.writers import write_partitioned, write_table
+from tripfold.sources.writers import replace_partitions, write_partitioned, write_table
 from workbench import tables
 
 # Every so many orders get a pickup time that does not parse, to exercise the rejects.
@@ -78,6 +80,60 @@ def zoned_csv(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "zoned-csv", write)
 
 
+# What is wrong with the lines of every so many orders, first match first.
+FAULTS = {"blank": 109, "short": 101, "long": 103, "distance": 89, "passengers": 83, "no_time": 107, "time": 97}
+SHORT_FIELDS = 10
+
+
+def faulty_lines(spark: SparkSession, sf_dir: str) -> str:
+    """Zoned trips as text with lines of every fault, the header in a file of its own."""
+
+    def hit(fault: str) -> Column:
+        return F.col("l_orderkey") % FAULTS[fault] == 0
+
+    def write(path: str) -> None:
+        pickup = F.when(hit("no_time"), "").when(hit("time"), UNPARSABLE)
+        known = {
+            "VendorID": F.col("vendor_id"),
+            "tpep_pickup_datetime": pickup.otherwise(_seconds_text("pickup_ts", "T", ".000")),
+            "tpep_dropoff_datetime": _seconds_text("dropoff_ts", "T", ".000"),
+            "passenger_count": F.when(hit("passengers"), "two").otherwise(F.col("passenger_count").cast("string")),
+            "trip_distance": F.when(hit("distance"), "far").otherwise(F.col("trip_distance").cast("string")),
+            "store_and_fwd_flag": F.lit('"N, quoted"'),
+            "PULocationID": F.col("pu_location_id"),
+            "DOLocationID": F.col("do_location_id"),
+            "payment_type": F.col("payment_type"),
+            "total_amount": F.col("total_amount"),
+        }
+        names = StructType.fromDDL(TRIPS_ZONED_RAW).names
+        fields = [F.coalesce(known.get(name, F.lit("")).cast("string"), F.lit("")) for name in names]
+        line = F.concat_ws(",", *fields)
+        faulty = (
+            F.when(hit("blank"), "")
+            .when(hit("short"), F.substring_index(line, ",", SHORT_FIELDS))
+            .when(hit("long"), F.concat(line, F.lit(",more")))
+            .otherwise(line)
+        )
+        tables.trips(spark, sf_dir).select(faulty.alias("value")).write.text(f"{path}/lines")
+        spark.range(1).select(F.lit(",".join(names))).write.text(f"{path}/header")
+
+    return _once(spark, sf_dir, "faulty-lines", write) + "/*"
+
+
+def months_replaced(spark: SparkSession, sf_dir: str) -> str:
+    """Trips by year and month, of which one year was written again, in part and then in whole."""
+
+    def write(path: str) -> None:
+        parts = {"pickup_year": F.year("pickup_ts"), "pickup_month": F.month("pickup_ts")}
+        trips = tables.trips(spark, sf_dir).withColumns(parts)
+        year = F.col("pickup_year") == 1998
+        replace_partitions(trips, path, *parts)
+        for part in (trips.filter("pickup_month <= 6 AND l_linenumber = 1"), trips.filter("pickup_month > 3")):
+            replace_partitions(part.filter(year), path, *parts, within=year)
+
+    return _once(spark, sf_dir, "months-replaced", write)
+
+
 def gps_csv(spark: SparkSession, sf_dir: str) -> str:
     def write(path: str) -> None:
         tables.trips(spark, sf_dir).select(

@@ -30,7 +30,7 @@ from tripfold.params import (
     SpecialZones,
     TripWindow,
 )
-from tripfold.sources import prepare, readers, writers
+from tripfold.sources import prepare, readers, screen, writers
 from tripfold.sql import variants
 from workbench import raw_files
 from workbench.tables import table, trips, zones
@@ -591,6 +591,41 @@ def csv_line_demand(spark, sf_dir):
     return demand.line_demand_topk(raw, schemas.ISO_MILLIS, YEAR, HOURS)
 
 
+def _screened(spark, sf_dir):
+    path = raw_files.faulty_lines(spark, sf_dir)
+    lines = screen.read_lines(spark, path, schemas.TRIPS_ZONED_RAW)
+    return screen.screened_trips(lines, schemas.TRIPS_ZONED_RAW, schemas.ISO_MILLIS, YEAR)
+
+
+@query
+def line_accounting(spark, sf_dir):
+    """Raw lines by what became of them."""
+    return screen.line_accounting(_screened(spark, sf_dir))
+
+
+@query
+def line_bad_fields(spark, sf_dir):
+    return screen.bad_field_counts(_screened(spark, sf_dir))
+
+
+@query
+def screened_demand(spark, sf_dir):
+    """Trips and amount by hour of the lines that could be read."""
+    kept = _screened(spark, sf_dir).filter(F.col(prepare.STATUS) == prepare.KEPT)
+    return kept.groupBy("pickup_hour").agg(
+        F.count("*").alias("trips"), rounded(exact_sum(F.col("total_amount")), 2).alias("total_revenue")
+    )
+
+
+@query
+def partitions_replaced(spark, sf_dir):
+    """Rows per month of a table one year of which was replaced twice, months without rows emptied."""
+    table = spark.read.parquet(raw_files.months_replaced(spark, sf_dir))
+    return table.groupBy("pickup_year", "pickup_month").agg(
+        F.count("*").alias("trips"), F.sum("l_orderkey").alias("orders")
+    )
+
+
 @query
 def partitioned_roundtrip(spark, sf_dir):
     return raw_files.read_trips_by_day(spark, sf_dir).select(
