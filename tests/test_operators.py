@@ -26,6 +26,7 @@ from tripfold.operators import (
 from tripfold.operators.window import window_trips, window_trips_unpruned
 from tripfold.params import AdaptiveSupport, SpecialZones, TripWindow
 from tripfold.plans.dimensions import duplicate_zone_ids
+from tripfold.plans.heaps import Order, first_rows
 from tripfold.plans.rollups import merged_sum, partials
 from tripfold.sources.readers import register_views
 from tripfold.sql import fragments, variants
@@ -475,7 +476,8 @@ def test_histogram_loses_no_row(make):
     counted = profile.histogram(frame, "total_amount", 0, 10)
     assert rows(counted) == [(-1, 1), (0, 2), (10, 1), (5, 1), (None, 1)]
     assert rows(profile.bucket_counts(frame, "total_amount")) == [(-8, 1), (0, 2), (5, 1), (900, 1)]
-    both = profile.histograms(frame, {"total_amount": (0, 10), "trip_distance": (0, 3)})
+    both = profile.tagged_counts(frame, {"total_amount": (0, 10), "trip_distance": (0, 3)})
+    assert rows(profile.null_profile_of(both, frame.columns)) == rows(profile.null_profile(frame))
     assert rows(profile.histogram_of(both, "total_amount")) == rows(counted)
     assert rows(profile.histogram_of(both, "trip_distance")) == rows(
         profile.histogram(frame, "trip_distance", 0, 3)
@@ -492,6 +494,36 @@ def test_samples_of_one_scan_are_those_taken_one_by_one(trips):
         assert profile.sample_of(samples, name).collect() == alone.collect()
 
 
+NUMBERS = st.one_of(st.none(), st.sampled_from([float("nan"), float("inf"), float("-inf"), -0.5, 0.0, 1.0, 2.0]))
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), NUMBERS, st.integers(0, 2)), max_size=40), st.integers(1, 6))
+def test_held_rows_are_those_of_a_sort(spark, rows, k):
+    """Nulls, NaN, infinities and ties, in both directions, over several tasks and batches."""
+    frame = spark.createDataFrame(rows, "a int, b double, c int").repartition(3)
+    orders = {
+        "up": Order(F.lit(True), (("a", False), ("b", False), ("c", False))),
+        "down": Order(F.col("c") > 0, (("b", True), ("a", True), ("c", False))),
+    }
+    found = first_rows(frame, orders, k, "a", "b", "c").orderBy("sample", "place").collect()
+    for name, order in orders.items():
+        sorted_by = [F.desc(n) if down else F.asc(n) for n, down in order.keys]
+        expected = frame.filter(order.condition).orderBy(*sorted_by).limit(k).collect()
+        own = [r for r in found if r["sample"] == name]
+        assert [r.place for r in own] == list(range(1, len(expected) + 1))
+        assert list(map(repr, [(r.a, r.b, r.c) for r in own])) == list(map(repr, [tuple(r) for r in expected]))
+
+
+def test_null_columns_beyond_one_mask_are_counted(spark):
+    names = [f"c{i}" for i in range(130)]
+    values = [F.when(F.col("id") % (i + 2) == 0, F.lit(1)).alias(name) for i, name in enumerate(names)]
+    keys = [F.lit(1).alias(name) for name in profile.ZONE_KEYS]
+    frame = spark.range(40).select(*keys, *values)
+    counts = profile.tagged_counts(frame, {"c0": (0, 3)})
+    assert rows(profile.null_profile_of(counts, frame.columns)) == rows(profile.null_profile(frame))
+
+
 def test_samples_repeat(make):
     frame = make(
         trip(fare_amount=-1.0),

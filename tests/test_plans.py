@@ -122,17 +122,23 @@ def test_scans_of_the_facts(by_day, zones):
     assert scans(revenue.revenue_by_zone_bucket(by_day, zones)) == 1
 
 
-def test_a_profile_reads_the_trips_four_times(by_day, zones, tmp_path):
+def test_a_profile_reads_the_trips_twice(by_day, zones, tmp_path):
+    """Once for all counts, once for the samples; no section goes back to the trips."""
     names = profile_report(by_day, zones, str(tmp_path))
     assert len(names) == 11
-    assert sum(scans_of(planned(frame), "trips-by-day") for frame in names.values()) == 1
-    for stage in (
-        profile.trip_counts(by_day),
-        profile.histograms(by_day, {"trip_distance": (0, 9), "total_amount": (0, 9)}),
-        profile.extreme_samples(by_day),
-    ):
-        assert scans_of(planned(stage), "trips-by-day") == 1
-    assert "WindowGroupLimit" in planned(profile.extreme_samples(by_day))
+    assert sum(scans_of(planned(frame), "trips-by-day") for frame in names.values()) == 0
+    counts = planned(profile.tagged_counts(by_day, {"trip_distance": (0, 9), "total_amount": (0, 9)}))
+    assert scans_of(counts, "trips-by-day") == 1 and "Expand" in counts
+    assert counts.count("Exchange") == 1
+    assert scans_of(planned(profile.extreme_samples(by_day)), "trips-by-day") == 1
+
+
+def test_samples_are_held_not_sorted(by_day):
+    """Below the exchange every task holds its rows; only what it sends is arranged by sample."""
+    lines = planned(profile.extreme_samples(by_day)).splitlines()
+    exchange = next(i for i, line in enumerate(lines) if "Exchange" in line)
+    assert not any("Sort" in line or "Window" in line for line in lines[exchange:])
+    assert any("MapInArrow" in line for line in lines[exchange:])
 
 
 def test_a_year_reaches_the_scan_as_bounds(by_day, setting):

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripfold.functions.numbers import percent, unit_bucket
 from tripfold.plans.dimensions import unique_zones
+from tripfold.plans.heaps import Order, first_rows
 from tripfold.plans.ranking import top_k
 
 DISTANCE_SAMPLE = ("vendor_id", "pickup_ts", "trip_distance", "total_amount")
@@ -21,18 +22,78 @@ def null_profile(frame: DataFrame) -> DataFrame:
         F.count("*").alias("__rows"),
         *(F.count_if(F.col(f"`{name}`").isNull()).alias(name) for name in frame.columns),
     )
+    return _null_shares(counts, frame.columns)
+
+
+def _null_shares(counts: DataFrame, columns: list[str]) -> DataFrame:
     return (
-        counts.unpivot("__rows", frame.columns, "column_name", "nulls")
+        counts.unpivot("__rows", columns, "column_name", "nulls")
         .filter("__rows > 0")
         .select("column_name", percent(F.col("nulls"), F.col("__rows")).alias("null_pct"))
         .orderBy(F.desc("null_pct"), "column_name")
     )
 
 
-def trip_counts(trips: DataFrame) -> DataFrame:
+# What the one scan of a profile groups by; the names tag the rows of its result.
+NULLS, CALENDAR_AND_ZONES = "nulls", "calendar_and_zones"
+ZONE_KEYS = ("pickup_day", "pickup_hour", "pu_location_id", "do_location_id")
+MASK_BITS = 62
+
+
+def tagged_counts(trips: DataFrame, ranges: dict[str, tuple[int, int]]) -> DataFrame:
+    """Rows by set of null columns, by day, hour and zones, and by bucket of each measure: one scan.
+
+    A grouping set per section; ``section`` names it, the keys of the other sections are null and
+    ``n`` is the only aggregate. The null columns of a row are bits of ``nulls_0``, ``nulls_1``
+    and so on, so that their counts are a grouping like any other and follow from few groups.
+    """
+    masks = {}
+    for start in range(0, len(trips.columns), MASK_BITS):
+        bits = F.lit(0).cast("bigint")
+        for place, name in enumerate(trips.columns[start : start + MASK_BITS]):
+            bits = bits + F.when(F.col(f"`{name}`").isNull(), 1 << place).otherwise(0).cast("bigint")
+        masks[f"nulls_{len(masks)}"] = bits
+    buckets = {f"bucket_{name}": _held_bucket(F.col(name), *limits) for name, limits in ranges.items()}
+    rows = trips.select(
+        *ZONE_KEYS, *(key.alias(name) for name, key in {**masks, **buckets}.items())
+    )
+    sets = {NULLS: list(masks), CALENDAR_AND_ZONES: list(ZONE_KEYS)}
+    sets |= {name: [f"bucket_{name}"] for name in ranges}
+    keys = [key for section in sets.values() for key in section]
+    # A set's id has the bits of the keys it leaves out, the last key lowest.
+    section = F.lit(None).cast("string")
+    for name, own in sets.items():
+        absent = sum(1 << (len(keys) - 1 - i) for i, key in enumerate(keys) if key not in own)
+        section = F.when(F.col("left_out") == absent, name).otherwise(section)
+    counted = rows.groupingSets([[F.col(key) for key in own] for own in sets.values()], *keys).agg(
+        F.grouping_id().alias("left_out"), F.count("*").alias("n")
+    )
+    return counted.withColumn("section", section).drop("left_out")
+
+
+def section_of(counts: DataFrame, name: str, *keys: str) -> DataFrame:
+    return counts.filter(F.col("section") == name).select(*keys, "n")
+
+
+def null_profile_of(counts: DataFrame, columns: list[str]) -> DataFrame:
+    """``null_profile`` from tagged counts of a frame with these columns."""
+    rows = counts.filter(F.col("section") == NULLS)
+    sums = []
+    for place, name in enumerate(columns):
+        bit = F.col(f"nulls_{place // MASK_BITS}").bitwiseAND(F.lit(1 << place % MASK_BITS))
+        sums.append(F.sum(F.when(bit != 0, F.col("n")).otherwise(0)).alias(name))
+    return _null_shares(rows.agg(F.sum("n").alias("__rows"), *sums), columns)
+
+
+def trip_counts_of(counts: DataFrame) -> DataFrame:
     """Trips per day, hour and zone ids: what the distributions and zone tables derive from."""
-    keys = ("pickup_day", "pickup_hour", "pu_location_id", "do_location_id")
-    return trips.groupBy(*keys).agg(F.count("*").alias("n"))
+    return section_of(counts, CALENDAR_AND_ZONES, *ZONE_KEYS)
+
+
+def histogram_of(counts: DataFrame, column: str) -> DataFrame:
+    """``histogram`` of a measure from tagged counts."""
+    buckets = section_of(counts, column, F.col(f"bucket_{column}").alias("bucket"))
+    return buckets.withColumnRenamed("n", "trips").orderBy("bucket")
 
 
 def distribution(frame: DataFrame, key: str) -> DataFrame:
@@ -98,22 +159,6 @@ def top_zones_of(counts: DataFrame, zones: DataFrame, k: int = 10) -> DataFrame:
     return top_k(groups, k, F.desc("trips"), ties=("zone",))
 
 
-def histograms(frame: DataFrame, ranges: dict[str, tuple[int, int]]) -> DataFrame:
-    """``histogram`` of several columns from one scan: measure, bucket and trips."""
-    parts = []
-    for column, (low, high) in ranges.items():
-        parts += [F.lit(column), _held_bucket(F.col(column), low, high)]
-    return (
-        frame.select(F.stack(F.lit(len(ranges)), *parts).alias("measure", "bucket"))
-        .groupBy("measure", "bucket")
-        .agg(F.count("*").alias("trips"))
-    )
-
-
-def histogram_of(counts: DataFrame, column: str) -> DataFrame:
-    return counts.filter(F.col("measure") == column).select("bucket", "trips").orderBy("bucket")
-
-
 def _held_bucket(value: Column, low: int, high: int) -> Column:
     bucket = unit_bucket(value)
     held = F.when(bucket < low, F.lit(low - 1)).when(bucket >= high, F.lit(high)).otherwise(bucket)
@@ -175,29 +220,17 @@ SAMPLES = {
 def extreme_samples(trips: DataFrame, k: int = 5) -> DataFrame:
     """The rows of all samples with the name of theirs, from one scan.
 
-    Same rows as ``largest`` and ``sample_where`` take one by one: each row is offered to its
-    samples, and every task keeps ``k`` rows a sample before anything is shuffled.
+    Same rows as ``largest`` and ``sample_where`` take one by one: a task holds ``k`` rows a sample
+    and sends no others.
     """
-    offers = []
+    orders = {}
     for name, (condition, lead, columns) in SAMPLES.items():
-        third, fourth = (*(c for c in columns[2:] if c != lead), None)[:2]
-        offer = F.struct(
-            F.lit(name).alias("sample"),
-            (F.col(lead) if lead else F.lit(0)).cast("double").alias("lead"),
-            F.col(third).cast("double").alias("third"),
-            (F.col(fourth) if fourth else F.lit(None)).cast("double").alias("fourth"),
+        leading = ((lead, True),) if lead else ()
+        orders[name] = Order(
+            F.expr(condition), leading + tuple((c, False) for c in columns if c != lead)
         )
-        offers.append(F.when(F.expr(condition), offer))
-    order = Window.partitionBy("sample").orderBy(
-        F.desc("lead"), "vendor_id", "pickup_ts", "third", "fourth"
-    )
     wanted = sorted({column for _, _, columns in SAMPLES.values() for column in columns})
-    return (
-        trips.select(*wanted, F.inline(F.array_compact(F.array(*offers))))
-        .withColumn("place", F.row_number().over(order))
-        .filter(F.col("place") <= k)
-        .select("sample", "place", *wanted)
-    )
+    return first_rows(trips, orders, k, *wanted)
 
 
 def sample_of(samples: DataFrame, name: str) -> DataFrame:

@@ -161,18 +161,18 @@ def profile_report(
     distance_range: tuple[int, int] = DEFAULT_DISTANCE_RANGE,
     amount_range: tuple[int, int] = DEFAULT_AMOUNT_RANGE,
 ) -> Sections:
-    """Four scans of the trips: nulls, counts by day, hour and zones, histograms, samples."""
-    counts = materialised(profile.trip_counts(trips), f"{folder}/_counts")
+    """Two scans of the trips: all counts by grouping sets, and the samples."""
     ranges = {"trip_distance": distance_range, "total_amount": amount_range}
-    buckets = materialised(profile.histograms(trips, ranges), f"{folder}/_buckets")
+    counts = materialised(profile.tagged_counts(trips, ranges), f"{folder}/_counts")
     samples = materialised(profile.extreme_samples(trips), f"{folder}/_samples")
+    by_zone = profile.trip_counts_of(counts)
     return {
-        "null_percentages": profile.null_profile(trips),
-        "hourly_distribution": profile.distribution_of(counts, "pickup_hour"),
-        "daily_distribution": profile.distribution_of(counts, "pickup_day"),
-        "joinability": profile.joinability_of(counts, zones),
-        "top_pickup_zones": profile.top_zones_of(counts, zones),
-        "trip_distance_histogram": profile.histogram_of(buckets, "trip_distance"),
-        "total_amount_histogram": profile.histogram_of(buckets, "total_amount"),
+        "null_percentages": profile.null_profile_of(counts, trips.columns),
+        "hourly_distribution": profile.distribution_of(by_zone, "pickup_hour"),
+        "daily_distribution": profile.distribution_of(by_zone, "pickup_day"),
+        "joinability": profile.joinability_of(by_zone, zones),
+        "top_pickup_zones": profile.top_zones_of(by_zone, zones),
+        "trip_distance_histogram": profile.histogram_of(counts, "trip_distance"),
+        "total_amount_histogram": profile.histogram_of(counts, "total_amount"),
         **{name: profile.sample_of(samples, name) for name in profile.SAMPLES},
     }
