@@ -556,3 +556,38 @@ def test_balance_against_counting(make, sample):
     for form in (imbalance.zone_balance, imbalance.zone_balance_outer_join):
         result = form(frame, OPEN)
         assert rows(result, "pickup_hour", "location_id", "pickups", "dropoffs") == counted
+
+
+# --- mergeable state ------------------------------------------------------------------
+
+
+def test_bitmaps_count_distinct_zones(spark, trips):
+    for zone in ("pu_location_id", "pu_location_id * 100003", "pu_location_id * 32768"):
+        frame = trips.withColumn("pu_location_id", F.expr(f"cast({zone} AS int)"))
+        bitmaps = demand.zone_bitmaps(frame, "pickup_day", "pickup_hour")
+        for keys in (("pickup_day",), ("pickup_hour",), ()):
+            exact = frame.filter("pu_location_id IS NOT NULL").groupBy(*keys).agg(
+                F.countDistinct("pu_location_id").alias("unique_pickup_zones")
+            )
+            assert rows(demand.distinct_zones(bitmaps, *keys)) == rows(exact)
+
+
+@pytest.mark.parametrize("shape", ["id", "id % 7", "exp(id / 20000.0)", "-1.0 * id * id"])
+def test_sketched_ranks_stay_within_the_bound(spark, shape):
+    """Merged over many parts of uneven size, against exact ranks."""
+    values = spark.range(0, 200_000, 1, 5).selectExpr(f"cast({shape} AS double) AS v", "cast(sqrt(id) / 9 AS int) AS k")
+    state = congestion.sketches(values, "v", "k")
+    shares = (0.01, 0.25, 0.5, 0.9, 0.999)
+    for row in congestion.sketched_percentiles(state, shares).collect():
+        below, up_to = values.select(
+            F.count_if(F.col("v") < row.quantile), F.count_if(F.col("v") <= row.quantile)
+        ).first()
+        slack = congestion.RANK_ERROR * row.trips
+        assert row.trips == 200_000
+        assert below - slack <= row.share * row.trips <= up_to + slack
+
+
+def test_sketches_leave_out_nulls_and_nan(spark):
+    frame = spark.createDataFrame([(None,), (float("nan"),), (2.0,), (2.0,)], "v double")
+    (row,) = congestion.sketched_percentiles(congestion.sketches(frame, "v"), (0.5,)).collect()
+    assert (row.trips, row.quantile) == (2, 2.0)

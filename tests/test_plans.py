@@ -17,8 +17,9 @@ from tripfold.operators import (
     profile,
     revenue,
 )
-from tripfold.operators.window import window_trips, window_trips_unpruned
+from tripfold.operators.window import window_trips, window_trips_by_calendar, window_trips_unpruned
 from tripfold.params import AdaptiveSupport, TripWindow
+from tripfold.plans.dimensions import unique_zones
 from tripfold.reports import profile_report
 from tripfold.sql import variants
 from workbench import raw_files
@@ -181,3 +182,50 @@ def test_batch_distance_runs_after_the_filter(by_day):
     python = next(i for i, line in enumerate(lines) if "ArrowEvalPython" in line)
     coordinates = max(i for i, line in enumerate(lines) if "Filter" in line and "pickup_latitude" in line)
     assert coordinates > python
+
+
+def partitions_read(frame) -> int:
+    """Partitions the file scan of an executed frame opened."""
+    execution = frame._jdf.queryExecution()
+    frame._jdf.collectToPython()
+    found, left = [], [execution.executedPlan()]
+    while left:
+        node = left.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            left.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            left.append(node.plan())
+        elif kind == "FileSourceScanExec" and node.metrics().contains("numPartitions"):
+            found.append(node.metrics().apply("numPartitions").value())
+        children = node.children()
+        left += [children.apply(i) for i in range(children.size())]
+    return max(found)
+
+
+def test_a_calendar_prunes_partitions_at_run_time(spark, sf_dir, by_day, setting):
+    setting(spark__sql__maxMetadataStringLength="2000")
+    days = spark.read.parquet(raw_files.calendar(spark, sf_dir))
+    middle = F.col("part_of_month") == "middle"
+    window = TripWindow()
+    pruned = window_trips_by_calendar(by_day, days, middle, window)
+    assert "dynamicpruning" in planned(pruned)
+    assert partitions_read(pruned) == 3 < partitions_read(window_trips_unpruned(by_day, window))
+    columns = sorted(pruned.columns)
+    listed = window_trips(by_day, window).select(columns).collect()
+    assert sorted(map(str, pruned.select(columns).collect())) == sorted(map(str, listed))
+
+
+def test_tables_stored_by_zone_are_joined_where_they_lie(spark, sf_dir):
+    name = raw_files.bucketed_trips(spark, sf_dir)
+    trips, zones = spark.table(name), spark.table(f"{name}_zones")
+    plan = planned(flows.pickup_zone_trips(trips, zones, OPEN, "merge", checked=True))
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert "Exchange" in planned(flows.pickup_zone_trips(trips, zones.coalesce(3), OPEN, "merge", checked=True))
+    with pytest.raises(Exception, match="zone id listed more than once"):
+        unique_zones(zones.union(zones)).collect()
+
+
+def test_windows_of_zone_reach_read_no_trips(spark, sf_dir):
+    plan = planned(REGISTRY["reach_of_windows"](spark, sf_dir))
+    assert "lineitem" not in plan and "zone-bitmaps" in plan

@@ -110,6 +110,29 @@ def weekend_profile(trips: DataFrame, window: TripWindow = TripWindow()) -> Data
     )
 
 
+ZONE_PIECE, ZONE_BITMAP = "zone_piece", "zone_bitmap"
+
+
+def zone_bitmaps(trips: DataFrame, *keys: str) -> DataFrame:
+    """Mergeable state of the distinct pickup zones per group: bitmaps of zone ids.
+
+    A bitmap has 32,768 bits, 4 KB; ids beyond it go to further pieces of the group. Where sketches
+    estimate, these count exactly, whatever windows are put together later.
+    """
+    zone = F.col("pu_location_id").cast("bigint")
+    return (
+        trips.filter(zone.isNotNull())
+        .groupBy(*keys, F.bitmap_bucket_number(zone).alias(ZONE_PIECE))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(zone)).alias(ZONE_BITMAP))
+    )
+
+
+def distinct_zones(bitmaps: DataFrame, *keys: str) -> DataFrame:
+    """Distinct pickup zones per coarser group, from the bitmaps alone."""
+    pieces = bitmaps.groupBy(*keys, ZONE_PIECE).agg(F.bitmap_or_agg(ZONE_BITMAP).alias(ZONE_BITMAP))
+    return pieces.groupBy(*keys).agg(F.sum(F.bitmap_count(ZONE_BITMAP)).alias("unique_pickup_zones"))
+
+
 def line_demand_topk(
     raw: DataFrame,
     layout: str,

@@ -150,6 +150,7 @@ def pickup_zone_trips(
     zones: DataFrame,
     window: TripWindow = TripWindow(),
     strategy: str = "auto",
+    checked: bool = False,
 ) -> DataFrame:
     """Windowed trips with their pickup zone, by a chosen join strategy."""
     return join_zone(
@@ -160,4 +161,5 @@ def pickup_zone_trips(
         "zone",
         "service_zone",
         strategy=strategy,
+        checked=checked,
     )

@@ -34,3 +34,18 @@ def window_trips_unpruned(trips: DataFrame, window: TripWindow) -> DataFrame:
     if window.days is None:
         return kept
     return kept.filter(F.dayofmonth("pickup_ts").isin(*window.days))
+
+
+def window_trips_by_calendar(
+    trips: DataFrame, calendar: DataFrame, condition: Column, window: TripWindow
+) -> DataFrame:
+    """The trips of the days of a calendar that meet a condition on its attributes.
+
+    ``calendar`` has a row per ``pickup_day`` of the table. Which days count is known when the query
+    runs: Spark then filters the partitions by the calendar rows it has broadcast for the
+    join (dynamic partition pruning), so the files of other days are not opened. Hours and measures
+    are filtered as in ``window_trips``; the window's own days are not looked at.
+    """
+    days = calendar.filter(condition).select("pickup_day")
+    rest = TripWindow(days=None, hours=window.hours, positive=window.positive)
+    return window_trips(trips, rest).join(days, "pickup_day", "left_semi")

@@ -31,10 +31,13 @@ def unique_zones(zones: DataFrame) -> DataFrame:
     )
 
 
-def zone_role(zones: DataFrame, role: str, *columns: str) -> DataFrame:
-    """The dimension under the names of one role: ``pu`` gives pu_location_id, pu_zone, …"""
+def zone_role(zones: DataFrame, role: str, *columns: str, checked: bool = False) -> DataFrame:
+    """The dimension under the names of one role: ``pu`` gives pu_location_id, pu_zone, …
+
+    ``checked`` says its ids were found unique when it was stored, so it is used as it lies.
+    """
     wanted = columns or ("borough", "zone")
-    return unique_zones(zones).select(
+    return (zones if checked else unique_zones(zones)).select(
         F.col("location_id").alias(f"{role}_location_id"),
         *(F.col(name).alias(f"{role}_{name}") for name in wanted),
     )
@@ -47,9 +50,10 @@ def join_zone(
     *columns: str,
     strategy: str = "auto",
     how: str = "inner",
+    checked: bool = False,
 ) -> DataFrame:
     """Join on the zone id of a role; facts of unknown zones drop out, or stay with ``left``."""
-    side = zone_role(zones, role, *columns)
+    side = zone_role(zones, role, *columns, checked=checked)
     hint = STRATEGIES[strategy]
     if hint is not None:
         side = side.hint(hint)

@@ -742,3 +742,30 @@ ORACLE |= {
     GROUP BY ALL"""
     ),
 }
+
+ORACLE |= {
+    "calendar_scan_count": ORACLE["pruned_scan_count"],
+    "join_bucketed": ORACLE["join_sort_merge"],
+    "null_profile_grouped": ORACLE["null_profile"],
+    "distance_histogram_grouped": ORACLE["distance_histogram"],
+    "joinability_grouped": ORACLE["joinability"],
+    "largest_trips_held": ORACLE["largest_trips"],
+    "anomaly_samples_held": ORACLE["anomaly_samples"],
+    "reach_of_windows": over_trips(
+        """
+    SELECT 'all' AS reach, count(DISTINCT pu_location_id) AS unique_pickup_zones FROM trips
+    UNION ALL
+    SELECT 'hour ' || pickup_hour, count(DISTINCT pu_location_id) FROM trips GROUP BY pickup_hour
+    UNION ALL
+    SELECT 'morning of ' || pickup_day, count(DISTINCT pu_location_id) FROM trips
+    WHERE pickup_hour BETWEEN 7 AND 10 GROUP BY pickup_day"""
+    ),
+    "distance_quantiles": over_trips(
+        f"""
+    SELECT pickup_hour, share, count(*) AS trips, true AS within_bound
+    FROM trips, (VALUES (0.1::DOUBLE), (0.5::DOUBLE), (0.9::DOUBLE)) AS s(share)
+    WHERE duration_minutes > 0 AND trip_distance > 0 AND {IN_HOURS}
+        AND pickup_latitude <> 0 AND pickup_longitude <> 0 AND dropoff_latitude <> 0 AND dropoff_longitude <> 0
+    GROUP BY pickup_hour, share"""
+    ),
+}

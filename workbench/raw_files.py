@@ -12,6 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tripfold.operators import demand
+from tripfold.plans.buckets import write_bucketed
+from tripfold.plans.dimensions import unique_zones
 from tripfold.schemas import TRIPS_ZONED_RAW
 from tripfold.sources.staging import new_folder
 from tripfold.sources.writers import replace_partitions, write_partitioned, write_table
@@ -187,6 +190,45 @@ def trips_by_day(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "trips-by-day", write)
 
 
+def calendar(spark: SparkSession, sf_dir: str) -> str:
+    """A row per day of month the trips have, with the part of the month it is in."""
+
+    def write(path: str) -> None:
+        day = F.col("pickup_day")
+        part = F.when(day < 12, "early").when(day <= 14, "middle").otherwise("late")
+        counted = tables.trips(spark, sf_dir).groupBy("pickup_day").agg(F.count("*").alias("trips"))
+        write_table(counted.withColumn("part_of_month", part), path)
+
+    return _once(spark, sf_dir, "calendar", write)
+
+
+BUCKETS = 8
+
+
+def bucketed_trips(spark: SparkSession, sf_dir: str) -> str:
+    """Name of a table of trips bucketed by pickup zone; the zones beside it are ``…_zones``."""
+
+    def write(path: str) -> None:
+        name = table_name(path)
+        write_bucketed(tables.trips(spark, sf_dir), name, path, BUCKETS, "pu_location_id")
+        write_bucketed(unique_zones(tables.zones(spark, sf_dir)), f"{name}_zones", f"{path}-zones", BUCKETS, "location_id")
+
+    return table_name(_once(spark, sf_dir, "bucketed", write))
+
+
+def table_name(path: str) -> str:
+    return path.rstrip("/").split("/")[-2].replace("-", "_")
+
+
+def zone_bitmaps(spark: SparkSession, sf_dir: str) -> str:
+    """Bitmaps of pickup zones per date and hour, written once for all windows."""
+
+    def write(path: str) -> None:
+        write_table(demand.zone_bitmaps(tables.trips(spark, sf_dir), "pickup_date", "pickup_day", "pickup_hour"), path)
+
+    return _once(spark, sf_dir, "zone-bitmaps", write)
+
+
 def zones_table(spark: SparkSession, sf_dir: str) -> str:
     """Zones as plain Parquet, written over an earlier table of twice the rows."""
 

@@ -20,7 +20,7 @@ from tripfold.operators import (
     profile,
     revenue,
 )
-from tripfold.operators.window import window_trips, window_trips_unpruned
+from tripfold.operators.window import window_trips, window_trips_by_calendar, window_trips_unpruned
 from tripfold.params import (
     POSITIVE_BALANCE,
     POSITIVE_PRICED,
@@ -654,6 +654,96 @@ def unpruned_scan_count(spark, sf_dir):
     return _counted(window_trips_unpruned(raw_files.read_trips_by_day(spark, sf_dir), NARROW))
 
 
+@query
+def calendar_scan_count(spark, sf_dir):
+    """The middle days of the month by a calendar, whose rows prune the partitions at run time."""
+    days = spark.read.parquet(raw_files.calendar(spark, sf_dir))
+    middle = F.col("part_of_month") == "middle"
+    return _counted(
+        window_trips_by_calendar(raw_files.read_trips_by_day(spark, sf_dir), days, middle, NARROW)
+    )
+
+
+@query
+def join_bucketed(spark, sf_dir):
+    """The zone join of two tables stored by zone id: no side is moved."""
+    name = raw_files.bucketed_trips(spark, sf_dir)
+    joined = flows.pickup_zone_trips(spark.table(name), spark.table(f"{name}_zones"), HOURS, "merge", checked=True)
+    return joined.select(
+        "l_orderkey",
+        "l_linenumber",
+        "pu_location_id",
+        "pu_borough",
+        "pu_zone",
+        "pu_service_zone",
+        *money("total_amount"),
+    )
+
+
+@query
+def reach_of_windows(spark, sf_dir):
+    """Distinct pickup zones of several windows, all from one table of bitmaps."""
+    bitmaps = spark.read.parquet(raw_files.zone_bitmaps(spark, sf_dir))
+    every = bitmaps.withColumn("reach", F.lit("all"))
+    by_hour = bitmaps.withColumn("reach", F.concat(F.lit("hour "), F.col("pickup_hour").cast("string")))
+    by_day = bitmaps.filter("pickup_hour BETWEEN 7 AND 10").withColumn(
+        "reach", F.concat(F.lit("morning of "), F.col("pickup_day").cast("string"))
+    )
+    return demand.distinct_zones(every.union(by_hour).union(by_day), "reach")
+
+
+@query
+def distance_quantiles(spark, sf_dir):
+    """Whether the sketched quantiles of the straight distance have the rank they should have."""
+    shares = (0.1, 0.5, 0.9)
+    measured = congestion.with_haversine(trips(spark, sf_dir), ROUTE).select("pickup_hour", "haversine_km")
+    found = congestion.sketched_percentiles(
+        congestion.sketches(measured, "haversine_km", "pickup_hour"), shares, "pickup_hour"
+    )
+    ranks = measured.join(found, "pickup_hour").groupBy("pickup_hour", "share", "trips").agg(
+        F.count_if(F.col("haversine_km") < F.col("quantile")).alias("below"),
+        F.count_if(F.col("haversine_km") <= F.col("quantile")).alias("up_to"),
+    )
+    slack = F.col("trips") * congestion.RANK_ERROR + 1
+    wanted = F.col("share") * F.col("trips")
+    return ranks.select(
+        "pickup_hour",
+        "share",
+        "trips",
+        ((F.col("below") <= wanted + slack) & (F.col("up_to") >= wanted - slack)).alias("within_bound"),
+    )
+
+
+@query
+def null_profile_grouped(spark, sf_dir):
+    source = trips(spark, sf_dir)
+    return profile.null_profile_of(_tagged(spark, sf_dir), source.columns)
+
+
+def _tagged(spark, sf_dir):
+    return profile.tagged_counts(trips(spark, sf_dir), {"trip_distance": (1, 10), "total_amount": (1000, 50000)})
+
+
+@query
+def distance_histogram_grouped(spark, sf_dir):
+    return profile.histogram_of(_tagged(spark, sf_dir), "trip_distance")
+
+
+@query
+def joinability_grouped(spark, sf_dir):
+    return profile.joinability_of(profile.trip_counts_of(_tagged(spark, sf_dir)), zones(spark, sf_dir))
+
+
+@query
+def largest_trips_held(spark, sf_dir):
+    return _shown(profile.sample_of(profile.extreme_samples(trips(spark, sf_dir)), "largest_distance"))
+
+
+@query
+def anomaly_samples_held(spark, sf_dir):
+    return _shown(profile.sample_of(profile.extreme_samples(trips(spark, sf_dir)), "zero_duration"))
+
+
 @query
 def report_sections_json(spark, sf_dir):
     """Two report sections written as JSON and read back under one shape."""
