@@ -4,7 +4,8 @@ A side that is bucketed by the join key is read as if it had just been exchanged
 join of two such tables with the same number of buckets moves neither, and an aggregate by
 the key needs no exchange either. That pays off for tables joined again and again by a key of many
 values. Adaptive execution cannot split a bucket, so a hot key makes one long task; joins after
-aggregation (``rollups``) or the split merge join are for those.
+aggregation (``rollups``) or the split merge join are for those. A session that unites bucketed
+tables needs ``spark.sql.unionOutputPartitioning`` off, as ``build_session`` sets it.
 """
 
 from __future__ import annotations
