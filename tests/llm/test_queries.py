@@ -15,7 +15,7 @@ from tripfold.llm.queries import ORACLE, QUERIES
 from .conftest import ODD
 from .test_decontaminate import brute as contaminated
 from .test_lines import brute as cut_lines
-from .test_simhash import close, groups_of, plain_print
+from .test_near_copies import kept_of as near_copies_kept
 
 
 def test_all_are_registered():
@@ -48,13 +48,7 @@ def test_stages_against_plain_python(spark, sf_dir):
             assert {i: r.text for i, r in after.items()} == expected
             assert all(r.n_chars == len(r.text) for r in after.values())
         elif name == "near_dedup":
-            prints = {r.doc_id: plain_print(r.text) for r in before}
-            values = sorted(set(prints.values()))
-            groups = groups_of(values, close(values, 4))
-            first = {}
-            for doc_id in sorted(prints):
-                first.setdefault(groups[prints[doc_id]], doc_id)
-            assert after.keys() == set(first.values())
+            assert sorted(after) == near_copies_kept([(r.doc_id, r.text) for r in before])
         elif name == "decontamination":
             hit = {pair[0] for pair in contaminated([(r.doc_id, r.text) for r in before], items)}
             assert hit and after.keys() == {r.doc_id for r in before} - hit
