@@ -4,11 +4,12 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tripfold.llm import packing, token_files
+from tripfold.llm import common, packing, token_files
 from tripfold.llm import tokens as tokens_module
 from tripfold.llm.tokens import PieceEncoder, encoder
 
@@ -129,3 +130,21 @@ def test_packing(spark, documents):
 
 def test_packing_an_empty_table(spark, documents):
     assert packing.with_crc32(packing.pack(documents([]))).collect() == []
+
+
+def test_slices_are_bounded_by_bytes():
+    """500 texts of 200,000 characters go five at a time; a longer one goes alone; no row is lost."""
+    texts = ["é" * 100_000] * 500 + [None, "", "x" * 3_000_000] + ["short"] * 1200
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    slices = list(token_files.in_slices(iter([batch.slice(0, 300), batch.slice(300)])))
+    assert [i for s in slices for i in s.column(0).to_pylist()] == list(range(len(texts)))
+    for s in slices:
+        size = sum(len((t or "").encode()) for t in s.column(1).to_pylist())
+        assert s.num_rows == 1 or size <= token_files.SLICE_BYTES and s.num_rows <= token_files.SLICE_ROWS
+
+
+def test_a_worker_holds_one_store_at_a_time():
+    first = common.held_by_worker("one", dict)
+    assert common.held_by_worker("one", dict) is first
+    common.held_by_worker("two", dict)
+    assert common.held_by_worker("one", dict) is not first

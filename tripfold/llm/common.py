@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,10 +25,21 @@ def held_by_worker(name: str, make):
     """
     if name not in _HELD:
         _HELD.clear()
+        give_back()
         _HELD[name] = make()
     return _HELD[name]
 
 
+def give_back() -> None:
+    """Return memory that a worker has freed to the system: earlier stages leave much of it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -11,8 +11,8 @@ Every document is followed by an end id. Defined results:
 * null document ids come first; rows with equal ids are ordered by text, equal rows stay apart;
 * an empty table makes an empty corpus; other columns are not stored.
 
-Texts are dealt to shards by id ranges cut at quantiles of the ids and encoded as a stream, so
-memory is bounded by one Arrow batch; long texts are encoded whole.
+Texts are dealt to shards by id ranges cut at quantiles of the ids and encoded as a stream, a
+megabyte of text at a time, so memory is bounded by one Arrow batch and the longest text.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -60,11 +61,22 @@ def list_bytes(column: pa.ListArray) -> Iterator[bytes]:
         yield values[start:end].tobytes()
 
 
-def in_slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
-    """Small slices, so that the ids of a batch are never all in memory."""
+# A slice of texts to encode: so many bytes, or one text if that is longer, and so many rows.
+SLICE_BYTES, SLICE_ROWS = 1 << 20, 500
+
+
+def in_slices(batches: Iterator[pa.RecordBatch], column: int = 1) -> Iterator[pa.RecordBatch]:
+    """Small slices by the bytes of a text column, so that the ids of a batch are never all in memory."""
     for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes)
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = int(np.searchsorted(ends, before + SLICE_BYTES, side="right"))
+            stop = min(max(stop, start + 1), start + SLICE_ROWS, batch.num_rows)
+            yield batch.slice(start, stop - start)
+            start = stop
 
 
 def write_corpus(
