@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import ctypes
 import gc
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,6 +51,31 @@ def staged(frame: DataFrame, purpose: str) -> DataFrame:
     return materialised(frame, new_folder(frame.sparkSession, purpose))
 
 
+# A task that encodes texts holds an Arrow batch of them on both sides of the pipe.
+TEXTS_PER_BATCH = 1000
+ROW_GROUP_BYTES = 16 << 20
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = TEXTS_PER_BATCH) -> Iterator[None]:
+    """Arrow batches of so many rows for the jobs that run inside; the session's setting comes back."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def staged_texts(frame: DataFrame, purpose: str) -> DataFrame:
+    """``staged`` for wide rows made in Python: small batches in, small row groups out."""
+    path = new_folder(frame.sparkSession, purpose)
+    with small_batches(frame.sparkSession):
+        frame.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def small_side(frame: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """The frame with a broadcast hint if it has at most ``limit`` rows, else as it is.
 

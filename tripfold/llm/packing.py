@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripfold.llm.common import small_side, staged, whole_text
+from tripfold.llm.common import small_side, staged, staged_texts, whole_text
 from tripfold.llm.token_files import id_lists, in_slices
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -151,7 +151,7 @@ def pack(
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, doc_tokens, sequence_id, offset and ids."""
     spark = documents.sparkSession
-    pieces = staged(cut_pieces(documents, tokenizer, end_id, length), "pieces")
+    pieces = staged_texts(cut_pieces(documents, tokenizer, end_id, length), "pieces")
     counts = staged(pieces.groupBy("task", "length").agg(F.count("*").alias("n")), "piece-counts")
     # At most ``length`` rows.
     histogram = {

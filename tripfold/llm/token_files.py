@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripfold.llm.common import in_id_shards
+from tripfold.llm.common import in_id_shards, small_batches
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
@@ -115,18 +115,21 @@ def write_corpus(
                 schema=_ARROW,
             )
 
-    (
+    rows = (
         texts.repartitionById(shards, F.col("shard"))
         .sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "text")
         .mapInArrow(encoded, ROWS)
-        .write.mode("overwrite")
-        .option("compression", "zstd")
-        .option("orc.stripe.size", STRIPE_BYTES)
-        .option("orc.row.index.stride", ROW_INDEX_STRIDE)
-        .option("orc.create.index", "true")
-        .option("orc.bloom.filter.columns", "doc_id")
-        .orc(f"{path}/documents")
     )
+    with small_batches(documents.sparkSession):
+        (
+            rows.write.mode("overwrite")
+            .option("compression", "zstd")
+            .option("orc.stripe.size", STRIPE_BYTES)
+            .option("orc.row.index.stride", ROW_INDEX_STRIDE)
+            .option("orc.create.index", "true")
+            .option("orc.bloom.filter.columns", "doc_id")
+            .orc(f"{path}/documents")
+        )
     stored = documents.sparkSession.read.schema(ROWS).orc(f"{path}/documents")
     # One row per shard: a table of document counts over documents_per_shard.
     totals = stored.groupBy("shard").agg(F.sum("n_tokens").alias("tokens"))
