@@ -73,14 +73,19 @@ class PieceEncoder:
         try:
             return first + b"".join([stored[piece] for piece in pieces]) + tail
         except KeyError:
-            self._learn({piece for piece in pieces if piece not in stored})
-            stored = self.stored
+            stored = self._with(pieces)
             return first + b"".join([stored[piece] for piece in pieces]) + tail
 
+    def _with(self, pieces: list[str]) -> dict[str, bytes]:
+        """The store with the pieces of a text in it; a full one begins anew with these."""
+        missing = {piece for piece in pieces if piece not in self.stored}
+        if len(self.stored) + len(missing) > STORED_PIECES:
+            self.stored = {"": b""}
+            missing = set(pieces) - {""}
+        self._learn(missing)
+        return self.stored
+
     def _learn(self, pieces: set[str]) -> None:
-        if len(self.stored) > STORED_PIECES:
-            self.stored = _Refilling(self)
-            self.stored[""] = b""
         batch, chars = [], 0
         for piece in pieces:
             lead = "" if self.drops_space or piece[0] == "\n" else " "
@@ -114,18 +119,5 @@ class PieceEncoder:
             self.stored[piece] = data[start:end]
 
 
-class _Refilling(dict):
-    """A store begun anew: a piece of the text at hand that it lost is encoded when asked for."""
-
-    def __init__(self, owner: PieceEncoder):
-        super().__init__()
-        self.owner = owner
-
-    def __missing__(self, piece: str) -> bytes:
-        lead = "" if self.owner.drops_space or piece[0] == "\n" else " "
-        self[piece] = value = self.owner._whole(lead + piece)
-        return value
-
-
 # A blank or line feed followed by white space: the run would be cut in two.
 _UNSAFE = re.compile(r"[ \n]\s").search
