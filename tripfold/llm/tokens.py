@@ -15,9 +15,8 @@ import numpy as np
 
 from tripfold.llm.common import held_by_worker
 
-# Pieces kept per worker; beyond that the store starts anew. Most pieces beyond the frequent ones
-# are met once, so a larger store helps little.
-STORED_PIECES = 100_000
+# Pieces a worker's store takes before it becomes the older half of the next: 30 MB or so each.
+STORED_PIECES = 250_000
 # So many characters of new pieces go to the library in one call.
 BATCH_CHARS = 4000
 # A character no piece has stands between pieces in a call.
@@ -42,7 +41,7 @@ class PieceEncoder:
         # Does the tokenizer drop white space, or put it before the next word?
         self.drops_space = not self._whole(" ")
         self.mark = self._mark_id()
-        self.stored: dict[str, bytes] = {"": b""}
+        self.stored = _Store({"": b""})
 
     def _whole(self, text: str) -> bytes:
         ids = self.library.encode(text, add_special_tokens=False).ids
@@ -77,13 +76,16 @@ class PieceEncoder:
             return first + b"".join([stored[piece] for piece in pieces]) + tail
 
     def _with(self, pieces: list[str]) -> dict[str, bytes]:
-        """The store with the pieces of a text in it; a full one begins anew with these."""
-        missing = {piece for piece in pieces if piece not in self.stored}
-        if len(self.stored) + len(missing) > STORED_PIECES:
-            self.stored = {"": b""}
-            missing = set(pieces) - {""}
-        self._learn(missing)
-        return self.stored
+        """The store with the pieces of a text in it.
+
+        A full one becomes the older half of a new one, which takes over what is met again: the
+        frequent pieces stay, and at most two fillings are held.
+        """
+        stored = self.stored
+        if len(stored) > STORED_PIECES:
+            self.stored = stored = _Store(dict(stored))
+        self._learn({piece for piece in pieces if piece not in stored and piece not in stored.older})
+        return stored
 
     def _learn(self, pieces: set[str]) -> None:
         batch, chars = [], 0
@@ -119,5 +121,18 @@ class PieceEncoder:
             self.stored[piece] = data[start:end]
 
 
+class _Store(dict):
+    """Pieces and their ids; takes from an older filling what is asked for again."""
+
+    def __init__(self, older: dict[str, bytes]):
+        super().__init__()
+        self[""] = b""
+        self.older = older
+
+    def __missing__(self, piece: str) -> bytes:
+        self[piece] = value = self.older[piece]
+        return value
+
+
 # A blank or line feed followed by white space: the run would be cut in two.
 _UNSAFE = re.compile(r"[ \n]\s").search
