@@ -4,26 +4,33 @@ import random
 import re
 from math import ceil
 
+import duckdb
+import pandas as pd
 import pytest
 
 from tripfold.llm import decontaminate
+from tripfold.llm.queries import ORACLE
 
 from .conftest import CLASHING, ODD
 
 ITEM = "item_id bigint, text string"
 
 
-def shingles(text):
-    words = [w for w in re.split(r"[\W_]+", (text or "").lower()) if w]
-    return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+def words_of(text):
+    return [w for w in re.split(r"[\W_]+", (text or "").lower()) if w]
+
+
+def shingles(text, n=5):
+    words = words_of(text)
+    return {" ".join(words[i : i + n]) for i in range(max(1, len(words) - n + 1))} if words else set()
 
 
 def brute(docs, items, threshold=0.8):
     found = set()
     for doc_id, text in docs:
-        own = shingles(text)
         for item_id, item in items:
             wanted = shingles(item)
+            own = shingles(text, min(5, max(1, len(words_of(item)))))
             if wanted and len(own & wanted) >= ceil(threshold * len(wanted) - 1e-9):
                 found.add((doc_id, item_id, len(own & wanted), len(wanted)))
     return found
@@ -63,6 +70,22 @@ def test_odd_rows(spark, documents):
     assert (None, 1, 7, 7) in got and (3, None, 1, 1) in got
 
 
+def test_short_items_in_long_documents(spark, documents):
+    rng = random.Random(8)
+    long = [f"w{rng.randrange(3000)}" for _ in range(20_000)]
+    planted = long[:9000] + ["Three,", "short", "words"] + long[9000:]
+    items = [(1, "three short words"), (2, "short three words"), (3, "words"), (4, "w1 w2 w3 w4 w5 w6")]
+    docs = [(1, " ".join(planted)), (2, " ".join(long)), (3, "short words"), (4, "three short"), (5, "words words")]
+    got = run(spark, documents(docs), items)
+    assert got == {(1, 1, 1, 1), (1, 3, 1, 1), (3, 3, 1, 1), (5, 3, 1, 1)}
+    # the SQL of the query finds the same
+    duck = duckdb.connect()
+    duck.register("documents", pd.DataFrame(docs, columns=["doc_id", "text"]))
+    duck.register("benchmark", pd.DataFrame(items, columns=["item_id", "text"]))
+    rows = duck.sql(f"SELECT doc_id, item_id, shared, item_shingles FROM ({ORACLE['op1_decontamination']})")
+    assert set(rows.fetchall()) == got
+
+
 def test_empty_tables(spark, documents):
     assert run(spark, documents([]), [(1, "a b c")]) == set()
     assert run(spark, documents(["a b c"]), []) == set()

@@ -8,8 +8,9 @@ the documents misses no pair. Per partition, documents show only hashes up to th
 value of the partitions they are big enough for, about a quarter of them. Candidates are then
 verified on the shingles themselves.
 
-Words are maximal runs of letters and digits, lower-cased; shingles are five consecutive words,
-fewer words make one shingle of them all. Defined results:
+Words are maximal runs of letters and digits, lower-cased; shingles are five consecutive words. An
+item of fewer words is one shingle of them all, and documents also show their shingles of the
+lengths such items have, four lengths at most. Defined results:
 
 * null or word-free texts, of documents or items, match nothing;
 * rows with equal id and equal text are one document (or item); ids may be null or repeat;
@@ -21,6 +22,8 @@ The main path is DataFrame functions only.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,41 +42,59 @@ def _once(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def shingles_of(text: Column, length: int = SHINGLE_WORDS) -> Column:
-    """Word shingles as strings, repeats included; one for fewer words, none for no words."""
+def shingles_of(text: Column, length: int = SHINGLE_WORDS, shorter: Sequence[int] = ()) -> Column:
+    """Word shingles as strings, repeats included, and those of the ``shorter`` lengths.
+
+    Fewer words make one shingle of them all, none for no words.
+    """
 
     def build(words: Column) -> Column:
-        full = F.transform(
-            F.sequence(F.lit(1), F.size(words) - (length - 1)),
-            lambda start: F.array_join(F.slice(words, start, length), " "),
-        )
-        return (
-            F.when(F.size(words) >= length, full)
+        def of(n: int) -> Column:
+            starts = F.sequence(F.lit(1), F.size(words) - (n - 1))
+            return F.transform(starts, lambda start: F.array_join(F.slice(words, start, n), " "))
+
+        none = F.array().cast("array<string>")
+        own = (
+            F.when(F.size(words) >= length, of(length))
             .when(F.size(words) > 0, F.array(F.array_join(words, " ")))
-            .otherwise(F.array().cast("array<string>"))
+            .otherwise(none)
         )
+        return F.concat(own, *(F.when(F.size(words) >= n, of(n)).otherwise(none) for n in shorter))
 
     return _once(words_of(text), build)
 
 
-def shingle_hashes_of(text: Column, length: int = SHINGLE_WORDS) -> Column:
+def shingle_hashes_of(text: Column, length: int = SHINGLE_WORDS, shorter: Sequence[int] = ()) -> Column:
     """A 64-bit hash per shingle, made from one hash per word."""
 
     def build(hashes: Column) -> Column:
         count = F.size(hashes)
-        built = F.transform(
-            F.sequence(F.lit(0), count - length),
-            lambda start: F.xxhash64(*(F.get(hashes, start + i) for i in range(length))),
-        )
-        parts = F.when(count >= length, built)
+
+        def of(n: int) -> Column:
+            starts = F.sequence(F.lit(0), count - n)
+            return F.transform(
+                starts, lambda start: F.xxhash64(*(F.get(hashes, start + i) for i in range(n)))
+            )
+
+        none = F.array().cast("array<bigint>")
+        own = F.when(count >= length, of(length))
         for n in range(1, length):
             short = F.array(F.xxhash64(*(F.get(hashes, F.lit(i)) for i in range(n))))
-            parts = parts.when(count == n, short)
-        return parts.otherwise(F.array().cast("array<bigint>"))
+            own = own.when(count == n, short)
+        return F.concat(
+            own.otherwise(none), *(F.when(count >= n, of(n)).otherwise(none) for n in shorter)
+        )
 
     return _once(F.transform(words_of(text), lambda word: F.xxhash64(word)), build)
 
 
+def short_lengths(items: DataFrame, length: int = SHINGLE_WORDS) -> list[int]:
+    """The word counts below ``length`` that occur among items, ascending."""
+    words = F.size(words_of(F.col("text")))
+    counts = items.select(words.alias("n")).where(F.col("n").between(1, length - 1)).distinct()
+    return sorted(row.n for row in counts.collect())
+
+
 def item_sketches(items: DataFrame, threshold: float) -> DataFrame:
     """item, size_class, need and sketch (the k smallest hashes), one row per item."""
     sizes = F.size("hashes")
@@ -118,6 +139,7 @@ def contained_items(
         "benchmark-items",
     )
     sketches = staged(item_sketches(tests, threshold), "benchmark-sketches")
+    shorter = short_lengths(tests)
     # One row per size class, 31 at most.
     classes = sketches.groupBy("size_class").agg(
         F.max(F.array_max("sketch")).alias("highest"), F.min("need").alias("least")
@@ -133,7 +155,7 @@ def contained_items(
         staged(sketches.select("item", "need", F.explode("sketch").alias("hash")), "sketch-values")
     )
     shown = (
-        docs.select("doc", F.array_distinct(shingle_hashes_of(F.col("text"))).alias("hashes"))
+        docs.select("doc", F.array_distinct(shingle_hashes_of(F.col("text"), shorter=shorter)).alias("hashes"))
         .withColumn("size", F.size("hashes"))
         .withColumn("highest", highest)
         .select(
@@ -144,11 +166,11 @@ def contained_items(
         shown.join(lookup, "hash").where(F.col("size") >= F.col("need")).select("doc", "item").distinct(),
         "contamination-candidates",
     )
-    return _verified(docs, tests, candidates, threshold)
+    return _verified(docs, tests, candidates, threshold, shorter)
 
 
 def _verified(
-    docs: DataFrame, tests: DataFrame, candidates: DataFrame, threshold: float
+    docs: DataFrame, tests: DataFrame, candidates: DataFrame, threshold: float, shorter: Sequence[int]
 ) -> DataFrame:
     """Candidates at or above the threshold, counted on the shingles themselves."""
     item_shingles = staged(
@@ -160,7 +182,7 @@ def _verified(
     # Semi join first: only suspected documents are cut into shingles again.
     # All shingles of a document stay in one row until they meet the items, so that they are distinct.
     doc_shingles = docs.join(suspects, "doc", "left_semi").select(
-        "doc", F.explode(F.array_distinct(shingles_of(F.col("text")))).alias("shingle")
+        "doc", F.explode(F.array_distinct(shingles_of(F.col("text"), shorter=shorter))).alias("shingle")
     )
     hits = (
         doc_shingles.join(small_side(item_shingles), "shingle")

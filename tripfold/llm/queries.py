@@ -148,7 +148,12 @@ ORACLE = {
     "op1_decontamination": f"""
         WITH d AS (SELECT doc_id, {_WORDS} AS words FROM documents WHERE text IS NOT NULL),
              i AS (SELECT item_id, {_WORDS} AS words FROM benchmark WHERE text IS NOT NULL),
-             ds AS (SELECT DISTINCT doc_id, unnest({_SHINGLES}) AS shingle FROM d),
+             short AS (SELECT DISTINCT len(words) AS n FROM i WHERE len(words) BETWEEN 1 AND 4),
+             ds AS (SELECT doc_id, unnest({_SHINGLES}) AS shingle FROM d
+                    UNION
+                    SELECT doc_id, unnest(list_transform(range(1, len(words) - n + 2),
+                                                         lambda i: array_to_string(words[i:i + n - 1], ' ')))
+                    FROM d JOIN short ON n <= len(words)),
              its AS (SELECT DISTINCT item_id, unnest({_SHINGLES}) AS shingle FROM i),
              sized AS (SELECT item_id, count(*) AS item_shingles FROM its GROUP BY item_id),
              hits AS (SELECT doc_id, item_id, count(*) AS shared
