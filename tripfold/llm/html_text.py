@@ -1,20 +1,25 @@
 """Main text of HTML pages: flat text blocks classified by a small decision tree.
 
 A page is cut into flat blocks of text. A block is described by its word count and link density,
-those of the blocks before and after it, and where it stands (inside an article, inside a
-container whose tag or class names page furniture, heading or not). A decision tree trained on a
+those of the blocks before and after it, and where it stands (inside an article, inside an
+element whose tag or class names page furniture, heading or not). A decision tree trained on a
 small labelled table of blocks, written below as pages, says which blocks are the article.
 
+A class or id names furniture when one of its words does and the others only say where it is or what
+holds it: ``cookie-notice`` and ``site-footer`` do, ``share-price`` does not.
+
 Defined results: null or empty html gives an empty text; an unclosed tag, comment, script or
-style reaches to the end of the page; a character reference cut off at the end stays as it is
-unless HTML decodes it without its semicolon; repeated rows give repeated results; other columns
-are not looked at. Pages are read whole, one at a time, in one pass.
+style reaches to the end of the page; a paragraph, list item or table cell ends where the next of
+its kind begins; a character reference cut off at the end stays as it is unless HTML decodes it
+without its semicolon; repeated rows give repeated results; other columns are not looked at.
+Pages are read whole, one at a time, in one pass whose cost does not depend on the nesting.
 """
 
 from __future__ import annotations
 
 import html as references
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -26,15 +31,23 @@ from pyspark.sql import functions as F
 # Elements by what they do to the text.
 RAW_TEXT = {"script", "style", "textarea", "title", "noscript", "iframe", "template", "svg", "select", "button", "xmp", "noembed", "noframes", "math", "object", "canvas", "audio", "video"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
-VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr", "p", "li", "dt", "dd", "tr", "td", "th", "option", "html", "body"}
+VOID = {"area", "base", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr", "html", "body"}
+# Elements that end without an end tag, and those an opening one of them ends.
+IMPLIED = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 FURNITURE = {"nav", "footer", "aside", "form", "menu", "dialog", "head", "fieldset"}
 FURNITURE_WORDS = set(
-    "ad ads adbox advert advertisement advertising adverts banner breadcrumb breadcrumbs byline comment comments "
-    "consent cookie cookies copyright disclaimer discussion disqus footer gdpr header login masthead menu "
+    "ad ads adbox advert advertisement advertising adverts banner breadcrumb breadcrumbs byline comment commentlist "
+    "comments consent cookie cookies copyright disclaimer discussion disqus footer gdpr header login masthead menu "
     "modal nav navbar navigation newsletter notice notices notification overlay pagination popup "
     "promo promoted promotion recommended related replies reply respond search share sharing sidebar "
     "signup skip social sponsor sponsored subscribe subscription tags teaser toolbar widget".split()
 )
+NEUTRAL_WORDS = set(
+    "area article articles author bar block body bottom box btn button buttons card center col column container "
+    "content entry first global group holder icon icons inner item items js last left link links list main "
+    "meta mobile module outer page panel post posts primary region right row secondary section site slot "
+    "small stories story text thread title top unit wrap wrapper".split()
+)
 ARTICLE = {"article", "main"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
@@ -63,6 +76,9 @@ class _State:
     links: int = 0
     heading: bool = False
     stack: list[tuple[str, bool, bool]] = field(default_factory=list)  # tag, furniture, article
+    open: Counter[str] = field(default_factory=Counter)  # how often a tag is on the stack
+    furniture: int = 0  # entries of the stack that are furniture
+    article: int = 0
 
     def add(self, text: str) -> None:
         self.parts.append(text)
@@ -73,25 +89,63 @@ class _State:
         if self.parts:
             text = " ".join(references.unescape("".join(self.parts)).split())
             if text:
-                furniture = any(entry[1] for entry in self.stack)
-                article = any(entry[2] for entry in self.stack)
                 words = text.count(" ") + 1
+                linked = min(self.linked, words)
                 self.blocks.append(
-                    Block(text, words, min(self.linked, words), furniture, article, self.heading)
+                    Block(text, words, linked, self.furniture > 0, self.article > 0, self.heading)
                 )
         self.parts, self.linked = [], 0
 
+    def push(self, tag: str, attributes: str) -> None:
+        furniture = _is_furniture(tag, attributes, self.article > 0)
+        self.stack.append((tag, furniture, tag in ARTICLE))
+        self.open[tag] += 1
+        self.furniture += furniture
+        self.article += tag in ARTICLE
+
+    def pop(self) -> str:
+        tag, furniture, article = self.stack.pop()
+        self.open[tag] -= 1
+        self.furniture -= furniture
+        self.article -= article
+        return tag
+
+    def begin(self, tag: str) -> None:
+        """End what an opening tag ends: of the implied elements on top, the kinds it replaces."""
+        ended = IMPLIED.get(tag, {"p"})
+        deepest = len(self.stack)
+        # every kind is on top once at most, so this looks at a few entries
+        for at in range(len(self.stack) - 1, -1, -1):
+            if self.stack[at][0] not in IMPLIED:
+                break
+            if self.stack[at][0] in ended:
+                deepest = at
+        while len(self.stack) > deepest:
+            self.pop()
+
+    def end(self, tag: str) -> None:
+        """An end tag closes up to its start tag; one without a start tag closes nothing."""
+        if self.open[tag]:
+            while self.pop() != tag:
+                pass
+
+
+def _names_furniture(name: str) -> bool:
+    words = [part.lower() for part in _NAME_PARTS.findall(name)]
+    named = [word for word in words if word in FURNITURE_WORDS]
+    if named == ["header"] and len(words) > 1:
+        return not {"article", "post", "entry", "story", "section", "content"} & set(words)
+    return bool(named) and all(word in FURNITURE_WORDS or word in NEUTRAL_WORDS for word in words)
+
 
 def _is_furniture(tag: str, attributes: str, in_article: bool) -> bool:
     if tag in FURNITURE or (tag == "header" and not in_article):
         return True
     if "=" not in attributes:
         return False
-    for groups in _NAMES.findall(attributes):
-        for part in _NAME_PARTS.findall(" ".join(groups)):
-            if part.lower() in FURNITURE_WORDS:
-                return True
-    return False
+    return any(
+        _names_furniture(name) for groups in _NAMES.findall(attributes) for name in " ".join(groups).split()
+    )
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -126,6 +180,8 @@ def blocks_of(page: str) -> list[Block]:
         state.end_block()
         state.links = 0
         if tag in HEADINGS:
+            if opening:
+                state.begin(tag)
             state.heading = opening
         elif tag in RAW_TEXT:
             if opening and not page[start:at].endswith("/>"):
@@ -134,16 +190,11 @@ def blocks_of(page: str) -> list[Block]:
         elif tag in VOID:
             state.heading = False
         elif opening:
-            in_article = any(entry[2] for entry in state.stack)
-            furniture = _is_furniture(tag, page[found.end() : at], in_article)
-            state.stack.append((tag, furniture, tag in ARTICLE))
+            state.begin(tag)
+            state.push(tag, page[found.end() : at])
             state.heading = False
         else:
-            # an end tag closes up to its start tag; one without a start tag closes nothing
-            for depth in range(len(state.stack) - 1, -1, -1):
-                if state.stack[depth][0] == tag:
-                    del state.stack[depth:]
-                    break
+            state.end(tag)
     state.end_block()
     return state.blocks
 
@@ -195,57 +246,169 @@ def is_article(node: Node, row: list[float]) -> bool:
     return node.label
 
 
-_SENTENCES = "the river rose in the night and by morning the lower fields were under water again "
-_LINK = '<a href="/x">read more news</a>'
+_SENTENCES = (
+    "The river rose in the night and by morning the lower fields were under water again. "
+    "Nobody at the mill had expected it, said Mrs Hale, who has kept the gauge since 1987. "
+    "Farmers moved their cattle uphill; two roads stay closed until Friday at the earliest. "
+).split()
 
 
 def _prose(words: int) -> str:
-    return " ".join((_SENTENCES * (words // 16 + 1)).split()[:words])
+    return " ".join((_SENTENCES * (words // len(_SENTENCES) + 1))[:words])
+
+
+def _link(words: int) -> str:
+    return f'<a href="/x">{_prose(words)}</a>'
 
 
+_TITLE = f"<h1>{_prose(8)}</h1>"
+
 # The labelled table: pages as (html of a block's surroundings with {} for it, block, is article).
 LABELLED: list[list[tuple[str, str, bool]]] = [
+    # a page with an article element and everything around it
     [
-        ("<nav><ul>{}</ul></nav>", f"<li>{_LINK}</li>", False),
+        ("<nav><ul>{}</ul></nav>", f"<li>{_link(2)}</li>", False),
         ("<nav><ul>{}</ul></nav>", "<li>Home</li>", False),
         ('<div class="ad">{}</div>', _prose(12), False),
         ('<div class="ad">{}</div>', _prose(40), False),
-        ("<article>{}</article>", f"<h1>{_prose(8)}</h1>", True),
+        ("<article>{}</article>", _TITLE, True),
         ("<article>{}</article>", f"<p>{_prose(120)}</p>", True),
         ("<article>{}</article>", f"<p>{_prose(3)}</p>", True),
         ("<article>{}</article>", f"<p>{_prose(1)}</p>", True),
-        ("<article>{}</article>", f"<p>{_prose(30)} {_LINK}</p>", True),
-        ("<article>{}</article>", f'<div class="share">{_LINK}</div>', False),
-        ("<article>{}</article>", f'<aside>{_prose(25)}</aside>', False),
-        ("<article>{}</article>", f"<p>{_LINK}</p>", True),
+        ("<article>{}</article>", f"<p>{_prose(30)} {_link(4)}</p>", True),
+        ("<article>{}</article>", f'<div class="share">{_link(3)}</div>', False),
+        ("<article>{}</article>", f"<aside>{_prose(25)}</aside>", False),
+        ("<article>{}</article>", f"<p>{_link(6)}</p>", True),
         ('<div id="comments">{}</div>', f"<p>{_prose(60)}</p>", False),
         ('<div id="comments">{}</div>', f"<p>{_prose(4)}</p>", False),
         ("<footer>{}</footer>", _prose(9), False),
         ("<footer>{}</footer>", f"<p>{_prose(70)}</p>", False),
     ],
+    # no article element: link lists before and after the prose, without names
     [
         ("<header>{}</header>", _prose(5), False),
-        ("<div>{}</div>", f"<p>{_LINK}</p>", False),
-        ("<div>{}</div>", f"<p>{_LINK} {_LINK} {_LINK}</p>", False),
-        ("<div>{}</div>", f"<h1>{_prose(7)}</h1>", True),
+        ("<div>{}</div>", f"<p>{_link(3)}</p>", False),
+        ("<div>{}</div>", f"<p>{_link(2)} {_link(2)} {_link(3)}</p>", False),
+        ("<div>{}</div>", f"<p>{_link(2)} | {_link(2)} | {_link(2)}</p>", False),
+        ("<div>{}</div>", _TITLE, True),
         ("<div>{}</div>", f"<p>{_prose(80)}</p>", True),
         ("<div>{}</div>", f"<p>{_prose(24)}</p>", True),
         ("<div>{}</div>", f"<p>{_prose(6)}</p>", True),
+        ("<div>{}</div>", f"<p>{_prose(12)} {_link(10)}</p>", True),
         ("<div>{}</div>", f"<p>{_prose(50)}</p>", True),
         ('<div class="sidebar">{}</div>', f"<p>{_prose(35)}</p>", False),
         ("<form>{}</form>", f"<p>{_prose(14)}</p>", False),
         ('<div class="cookie-notice">{}</div>', f"<p>{_prose(45)}</p>", False),
-        ("<div>{}</div>", "<p>Terms</p>", False),
-        ("<div>{}</div>", "<p>Contact us</p>", False),
+        ("<div>{}</div>", f"<p>{_link(1)} - {_link(2)}</p>", False),
+        ("<div>{}</div>", f"<p>{_link(2)}</p>", False),
     ],
+    # a main element with headings, items and quotes
     [
         ("<main>{}</main>", f"<h2>{_prose(5)}</h2>", True),
         ("<main>{}</main>", f"<p>{_prose(55)}</p>", True),
-        ("<main>{}</main>", f"<li>{_prose(2)}</li>", True),
-        ("<main>{}</main>", f"<p>{_prose(18)}</p>", True),
-        ('<section class="related">{}</section>', f"<p>{_LINK}</p>", False),
+        ("<main><ul>{}</ul></main>", f"<li>{_prose(2)}</li>", True),
+        ("<main><blockquote>{}</blockquote></main>", f"<p>{_prose(18)}</p>", True),
+        ("<main><table><tr>{}</tr></table></main>", f"<td>{_prose(1)}</td>", True),
+        ("<main>{}</main>", f"<p>{_link(4)} {_prose(2)}</p>", True),
+        ('<section class="related">{}</section>', f"<p>{_link(5)}</p>", False),
         ('<section class="newsletter">{}</section>', f"<p>{_prose(20)}</p>", False),
     ],
+    # short news in plain containers
+    [
+        ("<div>{}</div>", f"<p>{_prose(4)}</p>", True),
+        ("<div>{}</div>", f"<p>{_prose(2)}</p>", True),
+        ("<ul>{}</ul>", f"<li>{_prose(3)}</li>", True),
+        ("<ul>{}</ul>", f"<li>{_prose(5)}</li>", True),
+        ("<ul>{}</ul>", f"<li>{_prose(1)}</li>", True),
+    ],
+    # one short text after links, the last of its page or followed by others
+    *(
+        [
+            ("<div>{}</div>", f"<p>{_link(n)}</p>", False),
+            *(("<div>{}</div>", f"<p>{_prose(size)}</p>", True) for size in sizes),
+        ]
+        for n in (1, 2, 4)
+        for sizes in ((1,), (2,), (3,), (1, 2), (2, 4), (2, 9))
+    ),
+    # texts between links, outside and inside an article
+    *(
+        [
+            (frame, f"<p>{_link(2)}</p>", in_article),
+            (frame, f"<p>{_prose(n)}</p>", True),
+            (frame, f"<p>{_link(5)}</p>", in_article),
+            (frame, f'<div class="share">{_link(n)}</div>', False),
+            (frame, f"<p>{_prose(n + 20)}</p>", True),
+            (frame, f"<p>{_link(n)}</p>", in_article),
+        ]
+        for frame, in_article, sizes in (
+            ("<div>{}</div>", False, (3, 4, 7, 15, 35, 90)),
+            ("<article>{}</article>", True, (1, 2, 3, 4, 7, 15, 35, 90)),
+        )
+        for n in sizes
+    ),
+    # a long menu of links with plain labels between, then a text whose paragraphs hold links
+    [
+        ("<ul>{}</ul>", f"<li>{_link(1)}</li>", False),
+        ("<ul>{}</ul>", f"<li>{_link(3)}</li>", False),
+        ("<ul>{}</ul>", f"<li>{_link(12)}</li>", False),
+        *(
+            row
+            for n in (1, 2, 4, 8, 12, 20)
+            for row in (
+                ("<ul>{}</ul>", f"<li>{_prose(1)}</li>", False),
+                ("<ul>{}</ul>", f"<li>{_link(n)}</li>", False),
+                ("<ul>{}</ul>", f"<li>{_prose(2)}</li>", False),
+                ("<ul>{}</ul>", f"<li>{_link(n)}</li>", False),
+            )
+        ),
+        ("<ul>{}</ul>", f"<li>{_link(2)}</li>", False),
+        ("<ul>{}</ul>", f"<li>{_link(20)} {_prose(2)}</li>", False),
+        ("<ul>{}</ul>", f"<li>{_link(4)} {_prose(1)}</li>", False),
+        ("<div>{}</div>", f"<h2>{_prose(4)}</h2>", True),
+        ("<div>{}</div>", f"<p>{_link(3)} {_prose(9)}</p>", True),
+        ("<div>{}</div>", f"<p>{_prose(40)} {_link(20)} {_prose(9)}</p>", True),
+        ("<div>{}</div>", f"<p>{_prose(15)}</p>", True),
+        ("<div>{}</div>", f"<p>{_link(7)}</p>", False),
+        ("<div>{}</div>", f"<p>{_link(16)}</p>", False),
+        ("<div>{}</div>", f"<p>{_prose(1)} {_link(9)}</p>", False),
+    ],
+    # reader comments and adverts marked on paragraphs, items and cells
+    [
+        ("<article>{}</article>", f"<p>{_prose(33)}</p>", True),
+        ("<article>{}</article>", f'<p class="ad">{_prose(9)}</p>', False),
+        ("<article>{}</article>", f'<div class="share-price"><p>{_prose(7)}</p></div>', True),
+        ('<ol class="commentlist">{}</ol>', f'<li class="comment">{_prose(22)}</li>', False),
+        ("<table><tr>{}</tr></table>", f'<td class="sidebar">{_prose(11)}</td>', False),
+    ],
+    # texts that follow links at once, of all sizes
+    [
+        *(
+            row
+            for n in (1, 2, 3, 5, 9, 14, 30, 90)
+            for row in (
+                ("<div>{}</div>", f"<p>{_link(1 + n // 2)}</p>", False),
+                ("<div>{}</div>", f"<h1>{_prose(n)}</h1>", True),
+                ("<div>{}</div>", f"<p>{_prose(20 + n)}</p>", True),
+                ("<div>{}</div>", f"<p>{_link(2)} {_link(n)}</p>", False),
+                ("<div>{}</div>", f"<p>{_prose(6 + n)}</p>", True),
+                ("<div>{}</div>", f"<p>{_prose(n)}</p>", True),
+            )
+        ),
+    ],
+    # an article that is little but links
+    [
+        *(
+            row
+            for n in (1, 2, 3, 5, 9, 14, 30)
+            for row in (
+                ("<article>{}</article>", f"<p>{_link(n)}</p>", True),
+                ("<article><ul>{}</ul></article>", f"<li>{_link(2)} {_prose(n)}</li>", True),
+                ("<article>{}</article>", f"<p>{_prose(n)}</p>", True),
+                ("<article><ul>{}</ul></article>", f"<li>{_link(n)}</li>", True),
+                ("<article><ul>{}</ul></article>", f"<li>{_link(3)}</li>", True),
+            )
+        ),
+    ],
 ]
 
 
