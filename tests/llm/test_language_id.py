@@ -113,3 +113,23 @@ def test_one_language_can_reject():
     texts = [li.words_of(t) for t in (text(rng, "en", 30), "zq xvj qqk wzzx " * 10, text(rng, "de", 60))]
     li._decide(texts, model, li.WordScores(model, True), [], [], fit)
     assert fit == [True, False, False]
+
+
+def test_only_letters_make_words():
+    assert li.words_of("x² ½ Ⅷ 3 _ Straße, l\u0301été") == ["x", "straße", "l", "été"]
+    assert [li.words_of(text) for text in ("²", "½", "Ⅷ", "12", "")] == [[]] * 5
+    run = "語" * 95
+    assert li.words_of(f"a {run}") == ["a", run[:40], run[:40], run[:15]]
+
+
+def test_sample_is_the_least_by_hash(spark, documents):
+    rows = [(i, f"text {'abcdefghij'[i % 10]} {'x' * (i % 997)}", "de" if i % 7 else "fr") for i in range(6000)]
+    rows += [(9000, None, "de"), (9001, "12", "de"), (9002, "only one", "it"), (9003, "no label", None)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").cache()
+    hashed = frame.selectExpr("text", "lang", "xxhash64(text) AS h").distinct().collect()
+    expected = []
+    for lang in ("de", "fr", "it"):
+        own = sorted((r.h, r.text) for r in hashed if r.lang == lang and r.text and any(map(str.isalpha, r.text)))
+        expected += [(text, lang) for _, text in own[:50]]
+    assert li.sampled(frame, 50) == sorted(expected)
+    assert li.sampled(frame.limit(0), 50) == []

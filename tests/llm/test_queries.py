@@ -42,7 +42,7 @@ def test_stages_against_plain_python(spark, sf_dir):
         assert docs.columns == columns
         after = {r.doc_id: r for r in docs.collect()}
         if name == "language":
-            assert after.keys() == {r.doc_id for r in before if re.search(r"[^\W\d_]", r.text or "")}
+            assert after.keys() == {r.doc_id for r in before if any(map(str.isalpha, r.text or ""))}
         elif name == "line_dedup":
             expected = cut_lines([(r.doc_id, r.text, r.source) for r in before], 3)
             assert {i: r.text for i, r in after.items()} == expected

@@ -16,7 +16,9 @@ logarithms over the words, a letter, is held against a floor. The floor depends
 vary more) and is fitted on texts and parts of texts, down to one word and spliced from several
 languages, each scored by trigrams of the other folds of the sample. Neither depends on the number of languages.
 
-Words are runs of letters, lower-cased. Defined results:
+Words are runs of letters, lower-cased; digits, also raised and Roman ones of one character, are no
+letters. Runs beyond ``LONGEST`` letters, as in scripts without spaces, are cut into consecutive words, so
+that all their letters count. Defined results:
 
 * a null text or one without a letter is ``und`` with score 0;
 * without any labelled document every text is ``und`` with score 0;
@@ -41,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripfold.llm.common import held_by_worker, matched_rows, row_key, staged, whole_text
+from tripfold.llm.common import held_by_worker, matched_rows, row_key, small_side, staged, whole_text
 
 SAMPLE = 300  # documents per language at most
 SAMPLE_WORDS = 250_000  # words of training sequences at most
@@ -56,12 +58,19 @@ SMOOTHING = 2.0  # letters of the next shorter context mixed into one
 FLOOR_SLACK = 1.0  # of the distance from the median to the least held-out text
 UNFITTED = 20  # held-out texts below which no floor is set
 UNKNOWN = "und"
+LONGEST = 40  # letters of a word
 
 _WORD = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    words = _WORD.findall(text.lower())
+    if not all(map(str.isalpha, words)):  # the pattern takes ², ½ and Ⅷ for letters
+        kept = "".join(c if c.isalpha() else " " for c in " ".join(words))
+        words = kept.split()
+    if max(map(len, words), default=0) > LONGEST:
+        words = [word[i : i + LONGEST] for word in words for i in range(0, len(word), LONGEST)]
+    return words
 
 
 def features_of(word: str, lexicon: dict[str, int]) -> list[int]:
@@ -70,7 +79,7 @@ def features_of(word: str, lexicon: dict[str, int]) -> list[int]:
     for n in range(1, min(4, len(word)) + 1):
         names.append(f"p{word[:n]}")
         names.append(f"s{word[-n:]}")
-    framed = f"^{word}$"[:40]
+    framed = f"^{word}$"
     for n in (2, 3):
         names += [f"{n}{framed[i : i + n]}" for i in range(len(framed) - n + 1)]
     names.append("l" + (word if word in lexicon else ""))
@@ -435,20 +444,26 @@ def trained(sample: list[tuple[str, str]], seed: int = 3, epochs: int = 6) -> Fi
 
 
 def sampled(documents: DataFrame, per_language: int = SAMPLE) -> list[tuple[str, str]]:
-    """(text, language) of at most ``per_language`` labelled documents of each language."""
+    """(text, language) of at most ``per_language`` labelled documents of each language, the least by hash.
+
+    Distinct texts are counted per language; the count says below which hash there are a few more than
+    wanted, so only those are ever ranked, whatever the number of documents.
+    """
     usable = documents.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    # Equal texts share their hash: the place of a text among all hashes, from 0 to 1.
+    place = (F.col("hash") / F.lit(2.0**64) + F.lit(0.5)).alias("place")
+    hashes = staged(usable.select("lang", F.xxhash64("text").alias("hash")).distinct(), "language-hashes")
+    counts = staged(hashes.groupBy("lang").count(), "language-counts")
+    # Six standard deviations above the wanted number, so that fewer below the cut do not occur.
+    above = per_language + 6 * per_language**0.5 + 20
+    cuts = small_side(counts.select("lang", (F.lit(above) / F.col("count")).alias("cut")))
+    few = hashes.join(cuts, "lang").where(place <= F.col("cut")).select("lang", "hash")
     order = Window.partitionBy("lang").orderBy("hash")
-    # Only hashes are ranked, and most of them are dropped before they are shuffled.
-    chosen = (
-        usable.select("lang", F.xxhash64("text").alias("hash"))
-        .distinct()
-        .withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= per_language)
-        .select("lang", "hash")
-    )
+    ranked = few.withColumn("rank", F.row_number().over(order))
+    chosen = staged(ranked.where(F.col("rank") <= per_language).select("lang", "hash"), "language-sample")
     rows = (
         usable.select(F.col("lang").cast("string").alias("lang"), "text", F.xxhash64("text").alias("hash"))
-        .join(F.broadcast(chosen), ["lang", "hash"], "left_semi")
+        .join(small_side(chosen), ["lang", "hash"], "left_semi")
         .dropDuplicates(["lang", "hash"])
         .collect()
     )
