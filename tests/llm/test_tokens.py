@@ -32,6 +32,19 @@ def test_pieces_give_the_ids_of_the_whole_text(name, parts, free):
         assert encoder(name).encode(text) == whole(name, text)
 
 
+@pytest.mark.parametrize("name", NAMES)
+def test_every_letter_of_a_plain_word(name):
+    for letter in tokens_module.LETTERS:
+        for text in (f"a {letter}{letter}b{letter}, x", f"{letter}tion", f"a\n{letter}the.", f"z{letter}!? a"):
+            assert encoder(name).encode(text) == whole(name, text)
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_white_space_of_another_kind_ends_a_piece(name):
+    for text in ("a é\xa0\xa0 'b c", "a é\xa0\xa0 'b c,\n,\xa0 d", "x\x1c y\u2003 z\u2003\n."):
+        assert encoder(name).encode(text) == whole(name, text)
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_a_full_store_begins_anew(name, monkeypatch):
     monkeypatch.setattr(tokens_module, "STORED_PIECES", 3)
