@@ -184,3 +184,10 @@ def test_prepare_replaces_one_day_of_two_years(spark, tmp_path):
     assert {r["ingest_status"]: r["lines"] for r in accounts} == {"kept": 1, "outside_period": 1, "bad_number": 1}
     rejected = spark.read.parquet(str(tmp_path / "out" / "rejects"))
     assert Counter(r[prepare.STATUS] for r in rejected.collect()) == {"short_line": 1, "outside_period": 1, "bad_number": 1}
+
+
+def test_each_line_is_parsed_once(spark, raw):
+    rows = screened(spark, raw)
+    kept = rows.filter(f"{prepare.STATUS} = 'kept'").groupBy("pickup_hour").count()
+    for frame in (kept, screen.bad_field_counts(rows), screen.line_accounting(rows), screen.rejects(rows)):
+        assert frame._jdf.queryExecution().optimizedPlan().toString().count("from_csv") == 1
