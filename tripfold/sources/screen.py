@@ -64,7 +64,7 @@ def screened_trips(
             unreadable.append(F.when(F.trim(text).isNotNull() & value.isNull(), F.lit(field)))
     parsed = lines.select(LINE, field_count(F.col(LINE)).alias("field_count"), found.alias("parsed"))
     rows = parsed.select(
-        LINE, "field_count", F.array_compact(F.array(*unreadable)).alias("bad_numbers"), F.struct(*typed).alias("typed")
+        LINE, "field_count", _named(unreadable).alias("bad_numbers"), F.struct(*typed).alias("typed")
     )
     timed = with_timestamps(_once(rows, "bad_numbers", "field_count", "typed").select(
         LINE, "field_count", "bad_numbers", "typed.*"
@@ -72,7 +72,7 @@ def screened_trips(
     missed = [
         F.when(F.col(raw).isNotNull() & F.col(parsed).isNull(), F.lit(raw)) for raw, parsed in TIMES.items()
     ]
-    timed = timed.withColumn("bad_times", F.array_compact(F.array(*missed)))
+    timed = timed.withColumn("bad_times", _named(missed))
     tests = {
         BLANK: F.trim(LINE) == "",
         SHORT: F.col("field_count") < least,
@@ -100,6 +100,11 @@ def screened_trips(
     ).drop("field_count", "bad_numbers", "bad_times")
 
 
+def _named(found: list[Column]) -> Column:
+    """The names that are not null; ``array_compact`` would have their tests interpreted, not compiled."""
+    return F.array_except(F.array(*found), F.array(F.lit(None).cast("string")))
+
+
 def _once(rows: DataFrame, *names: str) -> DataFrame:
     """The rows, with the named columns worked out once a row.
 
