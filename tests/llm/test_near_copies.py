@@ -5,6 +5,7 @@ import random
 import pytest
 
 from tripfold.llm import near_copies as nc
+from tripfold.llm import simhash
 
 from .conftest import CLASHING, ODD
 from .test_simhash import close, groups_of, plain_print
@@ -80,3 +81,27 @@ def test_repeated_rows_and_empty_tables(documents):
     kept = nc.one_of_each(documents([(7, "a b c d e"), (7, "a b c d e"), (None, "q r"), (None, "q r")]))
     assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == [("7", "a b c d e"), ("None", "q r")]
     assert nc.one_of_each(documents([])).collect() == []
+
+
+def test_fingerprints_in_vantage_point_trees_give_candidates(documents, monkeypatch):
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join([*base[:-1], f"end{i}"])) for i in range(4)] + [(9, edited(rng, base, 8))]
+    found = []
+
+    def links_of(prints):
+        found.append(simhash.close_links(prints).distinct().count())
+        return simhash.close_links(prints)
+
+    monkeypatch.setattr(nc, "close_links", links_of)
+    assert sorted(r.doc_id for r in nc.one_of_each(documents(rows)).collect()) == kept_of(rows)
+    assert found and found[0] > 0
+
+
+def test_only_a_shingle_that_may_be_the_first_makes_a_pair(spark):
+    rows = [(100, 100, 11, 11), (100, 100, 12, 11), (100, 100, 0, 12), (100, 125, 20, 25), (100, 125, 0, 26)]
+    frame = spark.createDataFrame(rows, "n_a bigint, n_b bigint, place_a int, place_b int")
+    # overlap 89 of sets of 100 and 100; 100 of 100 and 125
+    assert [r[0] for r in frame.select(nc._first(0.8)).collect()] == [True, False, False, False, False]
+    fits = spark.createDataFrame([(100, 125, 0, 25)], frame.schema)
+    assert fits.where(nc._first(0.8)).count() == 1

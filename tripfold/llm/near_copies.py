@@ -6,10 +6,13 @@ common order of shingles, the first n - ceil(t * n) + 1 of a set of n (its prefi
 every set that is similar enough. The order puts shingles that are common in a bounded sample
 last, so prefixes are made of rare ones; the sample changes the cost, not the result.
 
-Equal sets are one node. First every prefix shingle links its nodes to the least one of them;
-then all other pairs that share a prefix shingle and are not in one component yet are formed. The
-number of prefix shingles a pair shares bounds its overlap from above, and only pairs whose bound
-is high enough are compared, on the whole sets.
+Equal sets are one node. The candidates are the links of the vantage-point trees of ``simhash``
+between the SimHash fingerprints of the sets, and of every prefix shingle the links of its nodes to
+the least one of them; those similar enough make components. An exact pass follows for what
+fingerprints miss: all pairs of two components that share a shingle which may be the first they
+share, that is, at a place in both orders that leaves room for the overlap. The number of prefix
+shingles a pair shares bounds its overlap from above, and only pairs whose bound is high enough are
+compared, on the whole sets.
 
 Words are lower-cased (ASCII) and cut at ASCII white space, as in ``simhash``. Defined results:
 
@@ -29,6 +32,7 @@ from pyspark.sql import functions as F
 
 from tripfold.llm.common import matched_rows, row_key, small_side, staged, whole_text
 from tripfold.llm.components import components
+from tripfold.llm.simhash import close_links, print_of
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -115,23 +119,33 @@ def _common(documents: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prefixes(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, hash, key (of the set of shingles), n (its size) and prefix of every document."""
+    """doc_id, hash, key (of the set of shingles), n (its size), print and prefix of every document."""
     common, counts = _common(documents)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, sizes, firsts = [], [], []
+            keys, sizes, prints, firsts = [], [], [], []
             for text in batch.column(2):
                 shingles = shingles_of(text.as_py())
                 keys.append(key_of(shingles))
                 sizes.append(len(shingles))
+                prints.append(print_of(shingles.view(np.uint64)))
                 firsts.append(prefix_of(shingles, common, counts, similarity))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), _lists(firsts)],
-                names=["doc_id", "hash", "key", "n", "prefix"],
-            )
-
-    return _texts(documents).mapInArrow(cut, "doc_id bigint, hash bigint, key bigint, n bigint, prefix array<bigint>")
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array(keys, pa.int64()),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(np.array(prints, np.uint64).view(np.int64)),
+                    _lists(firsts),
+                ],
+                names=["doc_id", "hash", "key", "n", "print", "prefix"],
+            )
+
+    return _texts(documents).mapInArrow(
+        cut, "doc_id bigint, hash bigint, key bigint, n bigint, print bigint, prefix array<bigint>"
+    )
 
 
 def _needed(similarity: float) -> Column:
@@ -139,17 +153,41 @@ def _needed(similarity: float) -> Column:
     return F.ceil((F.col("n_a") + F.col("n_b")) * F.lit(similarity / (1 + similarity)) - SLACK)
 
 
-def _hopeful(pairs: DataFrame, similarity: float) -> DataFrame:
-    """a, b, n_a and n_b of pairs (a row per shared prefix shingle) that may overlap enough.
+def _hopeful(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """a, b, n_a and n_b of the pairs whose shared prefix shingles let them overlap enough.
 
     What the set whose prefix ends first shares lies in its prefix, and then in both, or behind it.
     """
     behind = F.ceil(F.greatest("n_a", "n_b") * F.lit(similarity) - SLACK) - 1
+    sides = [nodes.select(F.col("key").alias(side), F.col("prefix").alias(f"prefix_{side}")) for side in "ab"]
     return (
-        pairs.groupBy("a", "b", "n_a", "n_b")
-        .agg(F.count("*").alias("met"))
-        .where(F.col("met") + behind >= _needed(similarity))
-        .drop("met")
+        pairs.join(sides[0], "a")
+        .join(sides[1], "b")
+        .where(F.size(F.array_intersect("prefix_a", "prefix_b")) + behind >= _needed(similarity))
+        .select("a", "b", "n_a", "n_b")
+    )
+
+
+def _first(similarity: float) -> Column:
+    """Whether a shingle at place_a and place_b of two orders may be the first the sets share."""
+    needed = _needed(similarity)
+    return (F.col("n_a") - F.col("place_a") >= needed) & (F.col("n_b") - F.col("place_b") >= needed)
+
+
+def _close(nodes: DataFrame) -> DataFrame:
+    """Pairs a, b, n_a, n_b that connect all nodes whose fingerprints differ in a few bits."""
+    prints = staged(nodes.groupBy("print").agg(F.min(F.struct("key", "n")).alias("least")), "copy-prints")
+    links = staged(close_links(prints.select("print")).distinct(), "copy-print-links")
+    ends = [prints.select(F.col("print").alias(side), F.col("least").alias(f"least_{side}")) for side in "ab"]
+    between = links.join(ends[0], "a").join(ends[1], "b").select("least_a", "least_b")
+    # Different sets of one fingerprint hang on the least of them.
+    within = (
+        nodes.join(prints, "print")
+        .where("key <> least.key")
+        .select(F.col("least").alias("least_a"), F.struct("key", "n").alias("least_b"))
+    )
+    return between.union(within).select(
+        F.col("least_a.key").alias("a"), F.col("least_b.key").alias("b"), F.col("least_a.n").alias("n_a"), F.col("least_b.n").alias("n_b")
     )
 
 
@@ -192,7 +230,8 @@ def near_copies(documents: DataFrame, similarity: float = SIMILARITY) -> tuple[D
     several = small_side(staged(kept.where("rows > 1").select("key", "kept"), "copies"))
     other = (F.col("kept.doc_id").eqNullSafe(F.col("doc_id"))) & (F.col("kept.hash") == F.col("hash"))
     nodes = cut.join(several, "key", "left").where(F.col("kept").isNull() | other)
-    entries = nodes.select(F.explode("prefix").alias("shingle"), "key", "n")
+    nodes = staged(nodes.select("key", "n", "print", "prefix").dropDuplicates(["key"]), "copy-nodes")
+    entries = nodes.select(F.posexplode("prefix").alias("place", "shingle"), "key", "n")
     shared = (
         entries.groupBy("shingle")
         .agg(F.min(F.struct("key", "n")).alias("least"), F.max("key").alias("most"))
@@ -200,7 +239,7 @@ def near_copies(documents: DataFrame, similarity: float = SIMILARITY) -> tuple[D
         .select("shingle", "least")
     )
     shared = small_side(staged(shared, "copy-shingles"))
-    members = staged(entries.join(shared, "shingle").distinct(), "copy-members")
+    members = staged(entries.join(shared, "shingle"), "copy-members")
 
     sized = (F.col("n_a") >= F.ceil(F.col("n_b") * similarity - SLACK)) & (
         F.col("n_b") >= F.ceil(F.col("n_a") * similarity - SLACK)
@@ -208,21 +247,24 @@ def near_copies(documents: DataFrame, similarity: float = SIMILARITY) -> tuple[D
     stars = members.where("key <> least.key").select(
         F.col("least.key").alias("a"), F.col("key").alias("b"), F.col("least.n").alias("n_a"), F.col("n").alias("n_b")
     )
-    first = staged(_verified(_hopeful(stars.where(sized), similarity), documents, kept, similarity), "copy-links")
+    hopeful = _hopeful(staged(_close(nodes).union(stars).where(sized).distinct(), "copy-near"), nodes, similarity)
+    first = staged(_verified(hopeful, documents, kept, similarity), "copy-links")
     roots = staged(components(first), "copy-roots").select(F.col("node").alias("key"), "root")
     placed = members.join(small_side(roots), "key", "left").select(
-        "shingle", "key", "n", F.coalesce("root", "key").alias("root")
+        "shingle", "place", "key", "n", F.coalesce("root", "key").alias("root")
     )
     placed = staged(placed, "copy-placed")
     left, right = (
-        placed.select("shingle", *(F.col(c).alias(f"{c}_{side}") for c in ("key", "n", "root"))) for side in "ab"
+        placed.select("shingle", *(F.col(c).alias(f"{c}_{side}") for c in ("key", "place", "n", "root")))
+        for side in "ab"
     )
-    apart = (F.col("key_a") < F.col("key_b")) & (F.col("root_a") != F.col("root_b")) & sized
+    apart = (F.col("key_a") < F.col("key_b")) & (F.col("root_a") != F.col("root_b")) & sized & _first(similarity)
     rest = (
         left.join(right.withColumnRenamed("shingle", "own"), (F.col("shingle") == F.col("own")) & apart)
         .select(F.col("key_a").alias("a"), F.col("key_b").alias("b"), "n_a", "n_b")
+        .distinct()
     )
-    second = _verified(_hopeful(rest, similarity), documents, kept, similarity)
+    second = _verified(_hopeful(rest, nodes, similarity), documents, kept, similarity)
     links = first.union(second)
     final = small_side(staged(components(links), "copy-components").withColumnRenamed("node", "key"))
     rooted = staged(

@@ -64,8 +64,13 @@ def fingerprint_of(text: str) -> int:
         digest(joined[start:end], SEED)
         for start, end in zip(starts[:last], ends[min(SHINGLE_WORDS, len(words)) - 1 :])
     ]
+    return print_of(np.array(hashes, np.uint64))
+
+
+def print_of(hashes: np.ndarray) -> int:
+    """The bits that are set in over half the unsigned 64-bit hashes; 0 without any."""
     counts = np.zeros(64, np.int64)
-    data = np.array(hashes, dtype=">u8").view(np.uint8).reshape(-1, 8)
+    data = hashes.astype(">u8").view(np.uint8).reshape(-1, 8)
     for i in range(0, len(data), 1 << 16):
         counts += np.unpackbits(data[i : i + (1 << 16)], axis=1).sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(counts * 2 > len(hashes)).tobytes(), "big")
