@@ -19,6 +19,7 @@ from tripfold.operators import (
 )
 from tripfold.operators.window import window_trips, window_trips_by_calendar, window_trips_unpruned
 from tripfold.params import AdaptiveSupport, TripWindow
+from tripfold.plans.buckets import write_bucketed
 from tripfold.plans.dimensions import unique_zones
 from tripfold.reports import profile_report
 from tripfold.sql import variants
@@ -229,3 +230,11 @@ def test_tables_stored_by_zone_are_joined_where_they_lie(spark, sf_dir):
 def test_windows_of_zone_reach_read_no_trips(spark, sf_dir):
     plan = planned(REGISTRY["reach_of_windows"](spark, sf_dir))
     assert "lineitem" not in plan and "zone-bitmaps" in plan
+
+
+def test_a_hot_key_is_stored_by_several_tasks(spark, setting, tmp_path):
+    setting(spark__sql__adaptive__advisoryPartitionSizeInBytes="20000")
+    frame = spark.range(0, 40_000, 1, 8).selectExpr("1 AS zone", "uuid() AS text")
+    stored = write_bucketed(frame, "hot_zone", str(tmp_path / "hot"), 4, "zone")
+    assert len(stored.inputFiles()) > 1
+    assert stored.count() == 40_000

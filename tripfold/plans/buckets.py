@@ -14,10 +14,13 @@ from pyspark.sql import DataFrame
 
 
 def write_bucketed(frame: DataFrame, name: str, path: str, buckets: int, key: str) -> DataFrame:
-    """Overwrite a table of the catalog, its files under ``path``, one sorted file a bucket."""
+    """Overwrite a table of the catalog, its files under ``path``, sorted files in every bucket.
+
+    Rebalancing gathers each key into few tasks, and adaptive execution splits a key too large for
+    one: a task sorts a bounded share of a bucket, which then has several files.
+    """
     (
-        frame.repartition(buckets, key)
-        .sortWithinPartitions(key)
+        frame.hint("rebalance", key)
         .write.mode("overwrite")
         .bucketBy(buckets, key)
         .sortBy(key)
