@@ -232,6 +232,13 @@ def test_windows_of_zone_reach_read_no_trips(spark, sf_dir):
     assert "lineitem" not in plan and "zone-bitmaps" in plan
 
 
+def test_trips_by_day_move_no_wider_rows_than_their_sources(spark, sf_dir):
+    moved = raw_files.tables.made_trips(raw_files.tables.trip_sources(spark, sf_dir).hint("rebalance", "l_orderkey"))
+    plan = moved._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    below = next(line for i, line in enumerate(plan) if "RebalancePartitions" in plan[i - 1] and i)
+    assert "fare_amount" not in below and "l_extendedprice" in below
+
+
 def test_a_hot_key_is_stored_by_several_tasks(spark, setting, tmp_path):
     setting(spark__sql__adaptive__advisoryPartitionSizeInBytes="20000")
     frame = spark.range(0, 40_000, 1, 8).selectExpr("1 AS zone", "uuid() AS text")

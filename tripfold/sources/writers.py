@@ -19,7 +19,12 @@ def write_partitioned(
     task and value, while adaptive execution splits a value too large for one task. Sorting
     inside the files gives narrow row-group statistics on the columns queries filter by.
     """
-    arranged = frame.hint("rebalance", *by).sortWithinPartitions(*by, *sort_within)
+    write_rebalanced(frame.hint("rebalance", *by), path, *by, sort_within=sort_within)
+
+
+def write_rebalanced(frame: DataFrame, path: str, *by: str, sort_within: tuple[str, ...] = ()) -> None:
+    """As ``write_partitioned``, for rows that were rebalanced before their other columns were made."""
+    arranged = frame.sortWithinPartitions(*by, *sort_within)
     arranged.write.mode("overwrite").partitionBy(*by).parquet(path)
 
 

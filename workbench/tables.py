@@ -78,8 +78,15 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One trip per line item.
+# What the trips are made from; narrower than they are.
+SOURCES = (
+    *("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"),
+    *("l_returnflag", "l_linestatus", "l_shipdate", "o_orderdate", "c_nationkey", "s_nationkey"),
+)
+
+
+def trip_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns trips are made from, a row per line item.
 
     The order side is joined with its customers first, so line items, the big side, are
     shuffled once, by order. All joins are left to Spark's size check.
@@ -89,7 +96,17 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer")
     placed = orders.join(customer, orders.o_custkey == customer.c_custkey)
-    joined = lineitem.join(
-        placed, lineitem.l_orderkey == placed.o_orderkey
-    ).join(supplier, lineitem.l_suppkey == supplier.s_suppkey)
-    return with_measures(with_calendar(joined.selectExpr(*TRIP_COLUMNS)))
+    return (
+        lineitem.join(placed, lineitem.l_orderkey == placed.o_orderkey)
+        .join(supplier, lineitem.l_suppkey == supplier.s_suppkey)
+        .select(*SOURCES)
+    )
+
+
+def made_trips(sources: DataFrame) -> DataFrame:
+    return with_measures(with_calendar(sources.selectExpr(*TRIP_COLUMNS)))
+
+
+def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One trip per line item."""
+    return made_trips(trip_sources(spark, sf_dir))
