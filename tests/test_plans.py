@@ -245,3 +245,8 @@ def test_a_hot_key_is_stored_by_several_tasks(spark, setting, tmp_path):
     stored = write_bucketed(frame, "hot_zone", str(tmp_path / "hot"), 4, "zone")
     assert len(stored.inputFiles()) > 1
     assert stored.count() == 40_000
+
+
+def test_csv_copies_are_packed_in_small_files(spark, sf_dir):
+    for path in (raw_files.zoned_csv(spark, sf_dir), raw_files.gps_csv(spark, sf_dir)):
+        assert all(name.endswith(".csv.gz") for name in spark.read.text(path).inputFiles())

@@ -26,6 +26,9 @@ UNPARSABLE = "not a time"
 # Every so many zones get an id that is not a number.
 BAD_ZONE_EVERY = 10
 
+# A packed file is read by one task, so files are kept small.
+PACKED_CSV = {"header": True, "compression": "gzip", "maxRecordsPerFile": 250_000}
+
 _written: dict[tuple[str, str, str], str] = {}
 
 
@@ -78,7 +81,7 @@ def zoned_csv(spark: SparkSession, sf_dir: str) -> str:
             "total_amount",
             "congestion_surcharge",
             F.col("airport_fee").alias("Airport_fee"),
-        ).write.option("header", True).csv(path)
+        ).write.options(**PACKED_CSV).csv(path)
 
     return _once(spark, sf_dir, "zoned-csv", write)
 
@@ -158,7 +161,7 @@ def gps_csv(spark: SparkSession, sf_dir: str) -> str:
             "tolls_amount",
             "improvement_surcharge",
             "total_amount",
-        ).write.option("header", True).csv(path)
+        ).write.options(**PACKED_CSV).csv(path)
 
     return _once(spark, sf_dir, "gps-csv", write)
 
