@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 
@@ -133,3 +134,29 @@ def test_sample_is_the_least_by_hash(spark, documents):
         expected += [(text, lang) for _, text in own[:50]]
     assert li.sampled(frame, 50) == sorted(expected)
     assert li.sampled(frame.limit(0), 50) == []
+
+
+def test_held_out_texts_are_scored_in_slices(monkeypatch):
+    whole, at_once, marginals = li.trained(sample()).with_spelling().spelling, [], li.marginals
+    monkeypatch.setattr(li, "FITTED_WORDS", 300, raising=False)
+    monkeypatch.setattr(li, "marginals", lambda e, *rest: at_once.append(len(e)) or marginals(e, *rest))
+    sliced = li.trained(sample()).with_spelling().spelling
+    assert max(at_once) <= 300
+    assert np.allclose(sliced.floor, whole.floor, rtol=1e-12) and (sliced.table == whole.table).all()
+    assert sum(map(len, li._sliced([np.zeros(n) for n in (5, 900, 1, 299, 1)], 300))) == 5
+
+
+def test_fitting_holds_the_sample_once_and_a_slice_of_scores():
+    rng = random.Random(2)
+    texts = [(text(rng, language, 1000), language) for language in WORDS for _ in range(50)]
+    tracemalloc.start()
+    try:
+        model = li.trained(texts, epochs=1)
+        kept = tracemalloc.get_traced_memory()[0]
+        tracemalloc.reset_peak()
+        model.with_spelling()
+        fitting = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert kept < 4e6 and fitting < 16e6
+    assert model.texts is None and model.vocabulary is None

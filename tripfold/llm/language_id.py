@@ -24,6 +24,9 @@ that all their letters count. Defined results:
 * without any labelled document every text is ``und`` with score 0;
 * rows that repeat repeat their result; ids may be null; other columns are not looked at.
 
+The sample is fitted on the driver. Its texts are numbers of words there, and its held-out texts are scored
+``FITTED_WORDS`` at a time, so that only the words of the sample and one slice of scores are in memory.
+
 Words are scored once per worker and remembered; texts are processed whole, many at a time, in
 blocks of words joined exactly, so a very long text costs memory for its words only.
 """
@@ -32,7 +35,6 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -43,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripfold.llm.common import held_by_worker, matched_rows, row_key, small_side, staged, whole_text
+from tripfold.llm.common import give_back, held_by_worker, matched_rows, row_key, small_side, staged, whole_text
 
 SAMPLE = 300  # documents per language at most
 SAMPLE_WORDS = 250_000  # words of training sequences at most
@@ -51,6 +53,8 @@ LEXICON = 4000  # words of the lexicon at most
 BUCKETS = 1 << 15  # hashed features
 STORED_WORDS = 250_000
 SLICE_WORDS = 100_000  # words labelled at once, and one text at least
+FITTED_WORDS = 50_000  # words of held-out texts scored at once, and one text at least
+WORDS_AT_ONCE = 5000  # distinct words scored at once
 BATCH = 64  # sequences in a training step
 BLOCK = 256
 FOLDS = 5
@@ -97,13 +101,13 @@ class Spelling:
     floor: np.ndarray  # least log likelihood a letter, by the octave of the number of letters
 
     @staticmethod
-    def of(texts: list[tuple[list[str], int]], kinds: int) -> Spelling:
-        """Interpolated trigrams of labelled words."""
+    def of(texts: list[tuple[np.ndarray, int]], vocabulary: list[str], kinds: int) -> Spelling:
+        """Interpolated trigrams of labelled texts, each the numbers of its words."""
         grams: tuple[dict, dict, dict] = ({}, {}, {})
         for label in range(kinds):
-            words = Counter(chain.from_iterable(own for own, its in texts if its == label))
-            for word, n in words.items():
-                framed = f"^^{word}$"
+            codes, times, _ = _by_appearance([own for own, its in texts if its == label])
+            for code, n in zip(codes.tolist(), times.tolist()):
+                framed = f"^^{vocabulary[code]}$"
                 for i in range(2, len(framed)):
                     for length, found in enumerate(grams, 1):
                         part = framed[i + 1 - length : i + 1]
@@ -132,6 +136,9 @@ class Spelling:
 
     def likelihoods(self, words: list[str]) -> np.ndarray:
         """Log likelihood of every word in every language, its end included."""
+        if len(words) > WORDS_AT_ONCE:
+            some = (words[i : i + WORDS_AT_ONCE] for i in range(0, len(words), WORDS_AT_ONCE))
+            return np.vstack([self.likelihoods(part) for part in some])
         get, ids, begins = self.number.get, [], []
         for word in words:
             framed = f"^^{word}$"
@@ -175,46 +182,70 @@ def _letters(words: list[str]) -> int:
     return sum(map(len, words)) + len(words)
 
 
+def _by_appearance(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different numbers in the order they first appear, how often each does, and the place of every one there."""
+    every = np.concatenate([np.zeros(0, np.int32), *texts])
+    codes, first, place, times = np.unique(every, return_index=True, return_inverse=True, return_counts=True)
+    order = np.argsort(first)
+    rank = np.empty(len(order), np.int32)
+    rank[order] = np.arange(len(order), dtype=np.int32)
+    return codes[order], times[order], rank[place]
+
+
+def _sliced(texts: list[np.ndarray], words: int) -> Iterator[list[np.ndarray]]:
+    """Neighbouring texts of so many words together, or one text."""
+    held: list[np.ndarray] = []
+    waiting = 0
+    for own in texts:
+        if held and waiting + len(own) > words:
+            yield held
+            held, waiting = [], 0
+        held.append(own)
+        waiting += len(own)
+    if held:
+        yield held
+
+
 def mixed(p: np.ndarray, spelt: np.ndarray) -> np.ndarray:
     """Log likelihood of every word, its language as probable as the field says."""
     top = spelt.max(axis=1)
     return top + np.log((p * np.exp(spelt - top[:, None])).sum(axis=1) + 1e-30)
 
 
-def spelling_of(texts: list[tuple[list[str], int]], model: Field, seed: int = 3) -> Spelling:
+def spelling_of(texts: list[tuple[np.ndarray, int]], model: Field, seed: int = 3) -> Spelling:
     """Trigrams of all texts, with a floor fitted on each fold by the trigrams of the others."""
-    rng, kinds = np.random.default_rng(seed), len(model.languages)
+    rng, kinds, vocabulary = np.random.default_rng(seed), len(model.languages), model.vocabulary
     fold = rng.permutation(len(texts)) % FOLDS
-    row: dict[str, int] = {}
-    for words, _ in texts:
-        for word in words:
-            row.setdefault(word, len(row))
-    emission = model.emissions(list(row))
+    emission = model.emissions(vocabulary)
+    size_of = np.array([len(word) + 1 for word in vocabulary], np.int64)
     totals: list[float] = []
     letters: list[int] = []
     for k in range(FOLDS):
-        held = [words for (words, _), own in zip(texts, fold) if own == k and words]
-        rest = [text for text, own in zip(texts, fold) if own != k]
+        held = [own for (own, _), its in zip(texts, fold) if its == k and len(own)]
+        rest = [text for text, its in zip(texts, fold) if its != k]
         if not held or not rest:
             continue
         parts = list(held)
-        for words in held:  # parts of all sizes
+        for own in held:  # parts of all sizes
             size = 1
-            while size < len(words):
-                at = int(rng.integers(len(words) - size + 1))
-                parts.append(words[at : at + size])
+            while size < len(own):
+                at = int(rng.integers(len(own) - size + 1))
+                parts.append(own[at : at + size])
                 size *= 2
-        for words in held:  # code-switched
+        for own in held:  # code-switched
             other = held[int(rng.integers(len(held)))]
-            parts.append(words[: 1 + len(words) // 2] + other[len(other) // 2 :])
-        number: dict[str, int] = {}
-        at_word = np.array([number.setdefault(word, len(number)) for words in parts for word in words])
-        distinct, sizes = list(number), np.array([len(words) for words in parts])
-        p = marginals(emission[[row[word] for word in distinct]][at_word], sizes, model.transitions)
-        each = mixed(p, Spelling.of(rest, kinds).likelihoods(distinct)[at_word])
-        totals += np.add.reduceat(each, np.cumsum(sizes) - sizes).tolist()
-        letters += [_letters(words) for words in parts]
-    whole = Spelling.of(texts, kinds)
+            parts.append(np.concatenate([own[: 1 + len(own) // 2], other[len(other) // 2 :]]))
+        distinct, _, _ = _by_appearance(held)
+        place = np.zeros(len(vocabulary), np.int32)
+        place[distinct] = np.arange(len(distinct))
+        spelt = Spelling.of(rest, vocabulary, kinds).likelihoods([vocabulary[code] for code in distinct])
+        for some in _sliced(parts, FITTED_WORDS):
+            every, sizes = np.concatenate(some), np.array([len(own) for own in some])
+            begins = np.cumsum(sizes) - sizes
+            each = mixed(marginals(emission[every], sizes, model.transitions), spelt[place[every]])
+            totals += np.add.reduceat(each, begins).tolist()
+            letters += np.add.reduceat(size_of[every], begins).tolist()
+    whole = Spelling.of(texts, vocabulary, kinds)
     if totals:
         whole.fit_floor(totals, letters)
     return whole
@@ -229,20 +260,25 @@ class Field:
     weights: np.ndarray  # (BUCKETS, languages)
     transitions: np.ndarray  # (languages, languages)
     name: str = ""
-    texts: list[tuple[list[str], int]] | None = None  # learned from; stays on the driver
+    texts: list[tuple[np.ndarray, int]] | None = None  # learned from, as places in vocabulary; stay on the driver
+    vocabulary: list[str] | None = None
     spelling: Spelling | None = None
 
     def __getstate__(self):
-        return self.__dict__ | {"texts": None}
+        return self.__dict__ | {"texts": None, "vocabulary": None}
 
     def with_spelling(self) -> Field:
-        """The field, its spelling fitted if it was not."""
+        """The field, its spelling fitted if it was not; the texts it was learned from go."""
         if self.spelling is None and self.texts:
             self.spelling = spelling_of(self.texts, self)
+            self.texts = self.vocabulary = None
+            give_back()
         return self
 
     def emissions(self, words: list[str]) -> np.ndarray:
         """Scores of words, not remembered."""
+        if len(words) > WORDS_AT_ONCE:
+            return np.vstack([self.emissions(words[i : i + WORDS_AT_ONCE]) for i in range(0, len(words), WORDS_AT_ONCE)])
         lists = [features_of(word, self.lexicon) for word in words]
         sizes = np.array([len(ids) for ids in lists])
         begins = np.concatenate(([0], np.cumsum(sizes)[:-1]))
@@ -267,8 +303,8 @@ class WordScores:
         used = len(number)
         while used + len(new) > len(self.table):
             self.table = np.vstack([self.table, np.zeros_like(self.table)])
-        for at in range(0, len(new), 5000):
-            part = new[at : at + 5000]
+        for at in range(0, len(new), WORDS_AT_ONCE):
+            part = new[at : at + WORDS_AT_ONCE]
             kinds = len(self.model.languages)
             self.table[used : used + len(part), :kinds] = self.model.emissions(part)
             if self.spelt:
@@ -363,7 +399,9 @@ def marginals(emission: np.ndarray, sizes: np.ndarray, transitions: np.ndarray)
     return _normal(forward * backward)
 
 
-def _spliced(texts: list[tuple[list[str], int]], rng: np.random.Generator) -> tuple[list[list[str]], list[np.ndarray]]:
+def _spliced(
+    texts: list[tuple[np.ndarray, int]], rng: np.random.Generator
+) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Sequences of runs of 4 to 40 words, each from a document of its own, with their labels."""
     runs = []
     for words, label in texts:
@@ -376,7 +414,7 @@ def _spliced(texts: list[tuple[list[str], int]], rng: np.random.Generator) -> tu
     runs = runs[: SAMPLE_WORDS // 22]
     sequences, labels = [], []
     for i in range(0, len(runs), 4):
-        sequences.append([word for words, _ in runs[i : i + 4] for word in words])
+        sequences.append(np.concatenate([words for words, _ in runs[i : i + 4]]))
         labels.append(np.concatenate([np.full(len(words), label) for words, label in runs[i : i + 4]]))
     return sequences, labels
 
@@ -385,25 +423,30 @@ def trained(sample: list[tuple[str, str]], seed: int = 3, epochs: int = 6) -> Fi
     """A field fitted to (text, language) pairs by likelihood gradients (Adagrad)."""
     languages = sorted({language for _, language in sample})
     rng = np.random.default_rng(seed)
-    texts = [(words_of(text), languages.index(language)) for text, language in sample]
-    found: dict[str, np.ndarray] = {}
-    for words, label in texts:
-        for word in words:
-            found.setdefault(word, np.zeros(len(languages)))[label] += 1
-    frequent = sorted(found, key=lambda word: (-found[word].sum(), word))[:LEXICON]
+    number: dict[str, int] = {}
+    texts = []
+    for text, language in sample:
+        codes = [number.setdefault(word, len(number)) for word in words_of(text)]
+        texts.append((np.array(codes, np.int32), languages.index(language)))
+    vocabulary = list(number)
+    found = np.zeros((len(vocabulary), len(languages)))
+    for codes, label in texts:
+        np.add.at(found[:, label], codes, 1)
+    times = found.sum(axis=1)
+    frequent = sorted(number, key=lambda word: (-times[number[word]], word))[:LEXICON]
     # in which languages a word is usual, as a bit set
     lexicon = {
-        word: int(sum(1 << i for i, n in enumerate(found[word]) if n >= 0.2 * found[word].sum()))
+        word: int(sum(1 << i for i, n in enumerate(found[number[word]]) if n >= 0.2 * times[number[word]]))
         for word in frequent
     }
     kinds = len(languages)
-    model = Field(languages, lexicon, np.zeros((BUCKETS, kinds)), np.zeros((kinds, kinds)), texts=texts)
+    model = Field(languages, lexicon, np.zeros((BUCKETS, kinds)), np.zeros((kinds, kinds)), "", texts, vocabulary)
     if kinds < 2:
         return model
     sequences, labels = _spliced(texts, rng)
-    vocabulary: dict[str, int] = {}
-    coded = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in s]) for s in sequences]
-    lists = [np.array(features_of(word, lexicon)) for word in vocabulary]
+    met, _, places = _by_appearance(sequences)
+    coded = np.split(places, np.cumsum([len(s) for s in sequences])[:-1]) if sequences else []
+    lists = [np.array(features_of(vocabulary[code], lexicon), np.int32) for code in met]
     seen_weights, seen_steps = np.full((BUCKETS, kinds), 1e-8), np.full((kinds, kinds), 1e-8)
     for _ in range(epochs):
         order = rng.permutation(len(coded))
@@ -474,6 +517,7 @@ def fitted(documents: DataFrame, per_language: int = SAMPLE) -> Field:
     """A field fitted to a bounded sample of the documents with a language."""
     model = trained(sampled(documents, per_language))
     model.name = uuid.uuid4().hex
+    give_back()
     return model
 
 
